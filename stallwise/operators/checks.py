@@ -39,37 +39,58 @@ def data_quality(scores: DataFrame) -> DataFrame:
     )
 
 
-def completeness(tables: dict[str, DataFrame]) -> DataFrame:
-    """Share of fields that are neither NULL nor '' per table. Whole counts, so the mean is exact."""
+def profiles(tables: dict[str, DataFrame], as_of: Column, hours: int = schemas.STALE_HOURS) -> DataFrame:
+    """One row per table with the counts behind completeness, freshness and site coverage: one pass over each table."""
+    threshold = as_of - F.make_dt_interval(hours=F.lit(hours))
+
     def one(name: str, df: DataFrame) -> DataFrame:
         def filled(field) -> Column:
             held = F.col(field.name).isNotNull()
             return held & (F.col(field.name) != "") if field.dataType.simpleString() == "string" else held
 
         fields = df.schema.fields
-        total = reduce(lambda a, b: a + b, [F.count_if(filled(f)) for f in fields])
-        n = F.count("*")
-        mean = total / F.nullif(n * len(fields), F.lit(0))
+        # Only the expected sites are collected, so the set stays small whatever the column holds.
+        known = F.collect_set(F.when(F.col("site").isin(schemas.SITES), F.col("site")))
         return df.agg(
-            F.lit(name).alias("table"), mean.alias("avg_completeness"), n.alias("records_checked"),
-            _any_data(n, F.when(mean >= schemas.MIN_TABLE_COMPLETENESS, "PASS").otherwise("FAIL")).alias("status"),
+            F.lit(name).alias("table"), F.count("*").alias("records"), F.lit(len(fields)).alias("fields"),
+            reduce(lambda a, b: a + b, [F.count_if(filled(f)) for f in fields]).alias("filled"),
+            F.count_if(F.col("scraped_at") > threshold).alias("recent"), known.alias("sites"),
         )
 
     return _union([one(name, df) for name, df in tables.items()])
 
 
-def freshness(tables: dict[str, DataFrame], as_of: Column, hours: int = schemas.STALE_HOURS) -> DataFrame:
-    threshold = as_of - F.make_dt_interval(hours=F.lit(hours))
+def _rate(part: str, whole: Column) -> Column:
+    return F.col(part) / F.nullif(whole, F.lit(0))
 
-    def one(name: str, df: DataFrame) -> DataFrame:
-        n, recent = F.count("*"), F.count_if(F.col("scraped_at") > threshold)
-        rate = recent / F.nullif(n, F.lit(0))
-        return df.agg(
-            F.lit(name).alias("table"), rate.alias("freshness_rate"), recent.alias("recent_records"),
-            n.alias("total_checked"), _any_data(n, F.when(rate > 0.5, "PASS").otherwise("STALE")).alias("status"),
-        )
 
-    return _union([one(name, df) for name, df in tables.items()])
+def completeness(profile: DataFrame) -> DataFrame:
+    """Share of fields that are neither NULL nor '' per table. Whole counts, so the mean is exact."""
+    n, mean = F.col("records"), _rate("filled", F.col("records") * F.col("fields"))
+    return profile.select(
+        "table", mean.alias("avg_completeness"), n.alias("records_checked"),
+        _any_data(n, F.when(mean >= schemas.MIN_TABLE_COMPLETENESS, "PASS").otherwise("FAIL")).alias("status"),
+    )
+
+
+def freshness(profile: DataFrame) -> DataFrame:
+    n, rate = F.col("records"), _rate("recent", F.col("records"))
+    return profile.select(
+        "table", rate.alias("freshness_rate"), F.col("recent").alias("recent_records"), n.alias("total_checked"),
+        _any_data(n, F.when(rate > 0.5, "PASS").otherwise("STALE")).alias("status"),
+    )
+
+
+def site_coverage(profile: DataFrame) -> DataFrame:
+    """Expected sites that a table lacks; an empty table counts as covered."""
+    expected = F.array(*[F.lit(s) for s in schemas.SITES])
+    missing = F.when(F.col("records") == 0, F.array().cast("array<string>")).otherwise(
+        F.array_sort(F.array_except(expected, "sites"))
+    )
+    return profile.select(
+        "table", "records", F.array_join(missing, ",").alias("missing_sites"),
+        F.when(F.size(missing) == 0, "PASS").otherwise("PARTIAL").alias("status"),
+    )
 
 
 def duplicate_rate(tables: dict[str, DataFrame], as_of: Column | None = None) -> DataFrame:
@@ -86,24 +107,6 @@ def duplicate_rate(tables: dict[str, DataFrame], as_of: Column | None = None) ->
     return _union([one(name, df) for name, df in tables.items()])
 
 
-def site_coverage(tables: dict[str, DataFrame]) -> DataFrame:
-    """Expected sites that a table lacks; an empty table counts as covered."""
-    expected = F.array(*[F.lit(s) for s in schemas.SITES])
-
-    def one(name: str, df: DataFrame) -> DataFrame:
-        # A whole set of sites stays small only while the values are known, so other sites are not collected.
-        known = F.collect_set(F.when(F.col("site").isin(schemas.SITES), F.col("site")))
-        missing = F.when(F.count("*") == 0, F.array().cast("array<string>")).otherwise(
-            F.array_sort(F.array_except(expected, known))
-        )
-        return df.agg(F.lit(name).alias("table"), F.count("*").alias("records"), missing.alias("missing")).select(
-            "table", "records", F.array_join("missing", ",").alias("missing_sites"),
-            F.when(F.size("missing") == 0, "PASS").otherwise("PARTIAL").alias("status"),
-        )
-
-    return _union([one(name, df) for name, df in tables.items()])
-
-
 def missing_sites(df: DataFrame) -> DataFrame:
     """Expected sites without any row."""
     expected = df.sparkSession.createDataFrame([(s,) for s in schemas.SITES], "site string")
@@ -131,27 +134,28 @@ def run_checks(
     scores: DataFrame, tables: dict[str, DataFrame], jobs: DataFrame, as_of: Column, jobs_as_of: Column
 ) -> DataFrame:
     """All checks as rows (check, status, measure): the measure is the figure that decides the status."""
-    def all_pass(df: DataFrame, ok: list[str], bad: str) -> Column:
+    def all_pass(ok: list[str], bad: str) -> Column:
         return F.when(F.bool_and(F.col("status").isin(ok)), "PASS").otherwise(bad)
 
+    profile = profiles(tables, as_of)
     quality = data_quality(scores).select(
         F.lit("data_quality").alias("check"), "status", F.col("low_quality_rate").alias("measure")
     )
-    complete = completeness(tables).agg(
-        F.lit("completeness").alias("check"), all_pass(None, ["PASS", "NO_DATA"], "FAIL").alias("status"),
+    complete = completeness(profile).agg(
+        F.lit("completeness").alias("check"), all_pass(["PASS", "NO_DATA"], "FAIL").alias("status"),
         F.min("avg_completeness").alias("measure"),
     )
-    fresh = freshness(tables, as_of).agg(
+    fresh = freshness(profile).agg(
         F.lit("freshness").alias("check"),
         F.when(F.bool_or(F.col("status") == "PASS"), "PASS").otherwise("STALE").alias("status"),
         F.max("freshness_rate").alias("measure"),
     )
     copies = duplicate_rate(tables, as_of).agg(
-        F.lit("duplicates").alias("check"), all_pass(None, ["PASS", "NO_DATA"], "FAIL").alias("status"),
+        F.lit("duplicates").alias("check"), all_pass(["PASS", "NO_DATA"], "FAIL").alias("status"),
         F.max("duplicate_rate").alias("measure"),
     )
-    sites = site_coverage(tables).agg(
-        F.lit("site_coverage").alias("check"), all_pass(None, ["PASS"], "PARTIAL").alias("status"),
+    sites = site_coverage(profile).agg(
+        F.lit("site_coverage").alias("check"), all_pass(["PASS"], "PARTIAL").alias("status"),
         F.count_if(F.col("status") == "PARTIAL").cast("double").alias("measure"),
     )
     health = processing_health(jobs, jobs_as_of).select(
@@ -191,7 +195,8 @@ def health_metrics(checks: DataFrame, scores: DataFrame) -> DataFrame:
         F.when(F.col("status") == "PASS", 1.0).when(F.col("status").isin("FAIL", "STALE", "PARTIAL"), 0.5)
         .otherwise(0.0)
     )
-    quality = scores.agg(F.coalesce(exact_avg("overall_score", 12), F.lit(0.0))).scalar()
+    # The same aggregate as in the checks, so Spark computes it once.
+    quality = data_quality(scores).select(F.coalesce("avg_overall_score", F.lit(0.0))).scalar()
     return checks.agg(
         F.avg(points).alias("overall_health_score"), F.count("*").alias("checks")
     ).withColumn("avg_quality_score", quality)

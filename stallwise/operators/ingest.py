@@ -31,17 +31,12 @@ def ingest(df: DataFrame, entity: str, as_of: Column) -> DataFrame:
 def ingest_counts(df: DataFrame, entity: str, as_of: Column) -> DataFrame:
     """Counters (processed, duplicates, failures) of one ingest as rows (status, n)."""
     kept = F.col("overall_score") >= F.lit(schemas.GATE[entity])
-    outcome = score_unique(df, entity, as_of).agg(F.count_if(kept).alias("processed"), F.count("*").alias("unique"))
     total = df.agg(F.count("*").alias("n")).scalar()
-    return outcome.select(
-        F.inline(
-            F.array(
-                F.struct(F.lit("processed").alias("status"), F.col("processed").alias("n")),
-                F.struct(F.lit("duplicate"), total - F.col("unique")),
-                F.struct(F.lit("failed"), F.col("unique") - F.col("processed")),
-            )
-        )
+    outcome = score_unique(df, entity, as_of).agg(F.count_if(kept).alias("processed"), F.count("*").alias("unique"))
+    counters = outcome.select(
+        "processed", (total - F.col("unique")).alias("duplicate"), (F.col("unique") - F.col("processed")).alias("failed")
     )
+    return counters.unpivot([], ["processed", "duplicate", "failed"], "status", "n")
 
 
 def processing_stats(batches: DataFrame) -> DataFrame:

@@ -209,7 +209,7 @@ def extract_products(pages: DataFrame) -> DataFrame:
     """One product per page that names one."""
     walked = html.with_elements(pages.select("page_id", "site", "url", "html"))
     elements = F.col(ELEMENTS)
-    named = walked.withColumn("name", _per_site(lambda s: _name(s, elements))).filter("name is not null")
+    named = walked.withColumn("name", _per_site(lambda s: _name(s, elements))).filter(text.not_blank(F.col("name")))
     return named.select(
         "page_id", text.product_key(F.col("site"), F.col("url"), F.col("name")).alias("product_id"), "site", "name",
         _per_site(lambda s: _category(s, elements)).alias("category"),

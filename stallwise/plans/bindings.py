@@ -6,6 +6,8 @@ same tables, so that all of them grow with the data. `DEPENDS` lists the binding
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -181,13 +183,20 @@ def zone_free(df: DataFrame) -> DataFrame:
 
 
 def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    """Register the test tables and give the named bindings (or tables) as frames."""
+    """Register the test tables that the named bindings (or tables) read, and give each as a frame."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    for table in TABLES:
+    for table in sorted(set().union(*[tables_of(name) for name in names])):
         spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
     return [bound(spark, name) for name in names]
 
 
+def tables_of(name: str) -> set[str]:
+    if name not in SQL:
+        return {name}
+    read = {word for word in re.findall(r"(?:from|join) (\w+)", SQL[name]) if word in TABLES}
+    return read.union(*[tables_of(needed) for needed in DEPENDS.get(name, [])])
+
+
 def bound(spark: SparkSession, name: str) -> DataFrame:
     if name not in SQL:
         return spark.table(name)

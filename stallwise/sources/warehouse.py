@@ -12,42 +12,50 @@ from stallwise.sources import staging
 DAY = "dt"
 
 
-def append(df: DataFrame, path: str, table: str, max_records_per_file: int = 5_000_000) -> None:
-    """Append rows under their day.
+def _by_day(df: DataFrame, table: str, max_records_per_file: int):
+    """A writer of rows under their day.
 
     Rows are range-partitioned on day, clustering columns and key: a day with very many rows is spread over several
     tasks, and each task writes to few days. Sorted files let a reader skip row groups on the clustering columns.
     """
     order = [DAY, *schemas.CLUSTER_COLUMNS[table]]
     key = schemas.PRIMARY_KEY[table]
-    (
+    return (
         df.withColumn(DAY, F.to_date(schemas.DAY_COLUMN[table]))
         .repartitionByRange(*order, key).sortWithinPartitions(*order)
-        .write.mode("append").partitionBy(DAY).option("maxRecordsPerFile", max_records_per_file).parquet(path)
+        .write.partitionBy(DAY).option("maxRecordsPerFile", max_records_per_file)
     )
 
 
+def append(df: DataFrame, path: str, table: str, max_records_per_file: int = 5_000_000) -> None:
+    _by_day(df, table, max_records_per_file).mode("append").parquet(path)
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def load_pending(spark: SparkSession, root: str, table: str, limit: int | None = None) -> int:
-    """Load the unprocessed row versions of one staging table; gives the number of rows marked.
+def load_pending(
+    spark: SparkSession, root: str, table: str, limit: int | None = None, max_records_per_file: int = 5_000_000
+) -> int:
+    """Load the unprocessed row versions of one staging table as the next batch; gives the number of rows.
 
-    Safe to repeat: rows that reached the target before a crash are kept out by their version, and the ledger is
-    written last.
+    Safe to repeat: the target and the ledger keep a folder per batch, both are overwritten as a whole, and a batch
+    counts only once its ledger folder is there. A load that died is simply run again under the same number, without
+    looking through the target. The ledger is made from the rows that were written.
     """
     key = schemas.PRIMARY_KEY[table]
     target, ledger_path = f"{root}/warehouse/{table}", f"{root}/ledger/{table}"
     versions = spark.read.parquet(f"{root}/staging/{table}")
-    ledger = staging.read_or_empty(spark, ledger_path, staging.marks(versions, key))
+    empty = staging.marks(versions, key).withColumn("batch", F.lit(0).cast("long"))
+    ledger = staging.read_or_empty(spark, ledger_path, empty)
+    batch = ledger.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
     todo = staging.pending(staging.current(versions, key), ledger, key, limit)
-    loaded = staging.read_or_empty(spark, target, staging.marks(versions, key))
-    append(ingest.clean(todo.join(loaded, [key, "ingest_seq"], "left_anti"), table), target, table)
-    entries = staging.marks(todo, key)
-    before = ledger.count()
-    staging.append(entries, ledger_path)
-    return spark.read.parquet(ledger_path).count() - before
+    folder = f"{target}/batch={batch}"
+    _by_day(ingest.clean(todo, table), table, max_records_per_file).mode("overwrite").parquet(folder)
+    written = staging.read_or_empty(spark, folder, staging.marks(versions, key))
+    staging.marks(written, key).write.mode("overwrite").parquet(f"{ledger_path}/batch={batch}")
+    return spark.read.parquet(f"{ledger_path}/batch={batch}").count()
 
 
 def process_all_pending(

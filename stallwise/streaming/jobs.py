@@ -55,8 +55,10 @@ def ingest_batch(batch: DataFrame, batch_id: int, entity: str, as_of: Column, ro
     counts.write.mode("overwrite").parquet(f"{root}/counts/{folder}")
 
 
-def ingest(stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint: str) -> tuple[DataFrame, DataFrame]:
-    """Ingest a stream; gives (kept rows, latest version of each key; counters per batch)."""
+def ingest(
+    stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint: str, version: list[str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Ingest a stream; gives (kept rows, latest version of each key along `version`; counters per batch)."""
     query = (
         stream.writeStream.foreachBatch(lambda df, i: ingest_batch(df, i, entity, as_of, root))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -64,7 +66,7 @@ def ingest(stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint:
     query.awaitTermination()
     spark = stream.sparkSession
     kept = spark.read.parquet(f"{root}/scored").filter("kept").drop("kept", "signature", "batch")
-    return staging.current(kept, schemas.PRIMARY_KEY[entity]), spark.read.parquet(f"{root}/counts")
+    return dedup.latest_rows(kept, schemas.PRIMARY_KEY[entity], version), spark.read.parquet(f"{root}/counts")
 
 
 def first_within(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
