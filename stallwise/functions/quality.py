@@ -107,7 +107,7 @@ def review_rules(as_of: Column) -> dict[str, list[Rule]]:
         "accuracy": [
             _checked(length.between(*schemas.CONTENT_LENGTH), "Invalid content length", length),
             _checked(rating.between(1.0, 5.0), "Invalid rating", rating),
-            _checked(text.is_meaningful(content), "Low quality or spam content detected"),
+            _checked(F.col("meaningful"), "Low quality or spam content detected"),
             Rule(F.when(~_has_text("reviewer_name"), 0.5).otherwise(_points(text.not_blank(reviewer)))),
         ],
         "consistency": [
@@ -149,15 +149,18 @@ RECORD_TYPE = {"products": "product", "reviews": "review", "pricing": "pricing"}
 
 def with_scores(df: DataFrame, entity: str, as_of: Column) -> DataFrame:
     """Add the three part scores, their mean and the issues to each row; no shuffle, no Python."""
+    columns = df.columns
+    if entity == "reviews":
+        df = text.with_spam_checks(df, "content")
     rules = RULES[entity](as_of)
     parts = {
         f"{part}_score": reduce(lambda a, b: a + b, [r.points for r in group]) / len(group)
         for part, group in rules.items()
     }
     issues = [r.issue for group in rules.values() for r in group if r.issue is not None]
-    return df.withColumns({**parts, "issues": F.array_compact(F.array(*issues))}).withColumn(
-        "overall_score", (F.col("completeness_score") + F.col("accuracy_score") + F.col("consistency_score")) / 3
-    )
+    overall = (F.col("completeness_score") + F.col("accuracy_score") + F.col("consistency_score")) / 3
+    scored = df.withColumns({**parts, "issues": F.array_compact(F.array(*issues))}).withColumn("overall_score", overall)
+    return scored.select(*columns, *parts, "issues", "overall_score")
 
 
 def score_rows(df: DataFrame, entity: str, as_of: Column) -> DataFrame:

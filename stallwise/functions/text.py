@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What Unicode calls white space; the \s of Java is ASCII only.
@@ -45,24 +45,38 @@ def is_valid_url(c: Column) -> Column:
     return F.coalesce(c.rlike(URL_PATTERN), F.lit(False))
 
 
-def words(c: Column) -> Column:
-    return F.filter(F.split(F.lower(c), f"{SPACE}+"), lambda w: w != "")
+def words_of_lowered(c: Column) -> Column:
+    return F.array_remove(F.split(c, f"{SPACE}+"), "")
 
 
-def spam_checks(content: Column) -> dict[str, Column]:
-    """The separate reasons for which a text counts as not meaningful."""
-    lowered = F.lower(content)
-    return {
-        "too_short": F.length(strip(content)) < 10,
-        "repetitive": F.size(F.array_distinct(words(content))) < F.size(words(content)) * F.lit(0.3),
-        "repeated_character": lowered.rlike(r"(?d)(.)\1{10,}"),
-        "spam_phrase": any_of([lowered.contains(p) for p in SPAM_PHRASES]),
-        "long_number": content.rlike(r"(?:^|[^\p{L}\p{N}_])\p{Nd}{10,}(?:$|[^\p{L}\p{N}_])"),
-    }
+WORD_CHARACTER = r"[\p{L}\p{N}_]"
+SPAM_CHECKS = ["too_short", "repetitive", "repeated_character", "spam_phrase", "long_number"]
 
 
-def is_meaningful(content: Column) -> Column:
-    return F.coalesce(~any_of(list(spam_checks(content).values())), F.lit(False))
+def with_spam_checks(df: DataFrame, content: str) -> DataFrame:
+    """Add the separate reasons for which a text counts as not meaningful, and `meaningful`; a NULL text is not.
+
+    The lower-case text and its words are columns of their own, so that each is made once per row. The first number
+    pattern is cheap and keeps the bounded one away from nearly all rows.
+    """
+    c = F.col(content)
+    visible = SPACE.replace("[", "[^", 1)
+    lowered, ws = F.col("_lowered"), F.col("_words")
+    digits = rf"(?<!{WORD_CHARACTER})\p{{Nd}}{{10,}}(?!{WORD_CHARACTER})"
+    checks = {
+        # Ten characters from the first visible one to the last, without a stripped copy of the text.
+        "too_short": ~c.rlike(f"(?s){visible}.{{8,}}?{visible}"),
+        "repetitive": F.size(F.array_distinct(ws)) < F.size(ws) * F.lit(0.3),
+        "repeated_character": lowered.rlike(r"(?d)(.)\1{10}"),
+        "spam_phrase": any_of([lowered.contains(p) for p in SPAM_PHRASES]),
+        "long_number": c.rlike(r"\p{Nd}{10}") & c.rlike(digits),
+    }
+    named = {n: F.coalesce(check, F.lit(False)) for n, check in checks.items()}
+    return (
+        df.withColumn("_lowered", F.lower(c)).withColumn("_words", words_of_lowered(lowered)).withColumns(named)
+        .withColumn("meaningful", c.isNotNull() & ~any_of([F.col(n) for n in SPAM_CHECKS]))
+        .drop("_lowered", "_words")
+    )
 
 
 def first_number(c: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stallwise import schemas
 from stallwise.operators import ordered
+from stallwise.sources import scratch
 
 RULE_FIELDS = ["metric", "threshold", "operator", "severity", "message"]
 
@@ -65,6 +66,8 @@ def history(samples: DataFrame, rules: DataFrame, **limits) -> DataFrame:
     turns = ordered.previous_values(checked, *along, {"breach": "was"}, **limits).filter(
         F.col("breach") != F.coalesce("was", F.lit(False))
     ).drop("was")
+    # The second look reads the turns several times; they are few next to the samples they come from.
+    turns = scratch.cut(turns)
     return (
         ordered.next_values(turns, *along, {"ts": "resolved_at"}, **limits).filter("breach")
         .select(

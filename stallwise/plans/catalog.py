@@ -693,10 +693,7 @@ def url_validity(spark, products):
 
 @query("reviews")
 def spam_flags(spark, reviews):
-    return reviews.select(
-        "ingest_seq", *[F.coalesce(c, F.lit(False)).alias(n) for n, c in text.spam_checks(F.col("content")).items()],
-        text.is_meaningful(F.col("content")).alias("meaningful"),
-    )
+    return text.with_spam_checks(reviews, "content").select("ingest_seq", *text.SPAM_CHECKS, "meaningful")
 
 
 @query("products", "reviews", "pricing_2024")

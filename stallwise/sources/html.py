@@ -7,7 +7,7 @@ twice, and nothing about a page ever leaves its row: extraction needs no shuffle
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -22,11 +22,6 @@ VOID = frozenset(
 SILENT = frozenset("rp rt script style template".split())
 PAGES_PER_BATCH = 200
 
-_ELEMENT = pa.struct([
-    ("idx", pa.int32()), ("parent", pa.int32()), ("last", pa.int32()), ("tag", pa.string()), ("id", pa.string()),
-    ("classes", pa.list_(pa.string())), ("attrs", pa.map_(pa.string(), pa.string())),
-    ("text_from", pa.int32()), ("text_to", pa.int32()),
-])
 ELEMENT_DDL = (
     "struct<idx:int,parent:int,last:int,tag:string,id:string,classes:array<string>,attrs:map<string,string>,"
     "text_from:int,text_to:int>"
@@ -34,36 +29,68 @@ ELEMENT_DDL = (
 
 
 class _Walker(HTMLParser):
+    """Gathers the texts and elements of many pages as columns, one `read` per page."""
+
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.elements: list[dict] = []
         self.texts: list[str] = []
-        self.open: list[dict] = []
+        self.text_ends = [0]
+        self.element_ends = [0]
+        self.idx: list[int] = []
+        self.parent: list[int] = []
+        self.last: list[int] = []
+        self.tag: list[str] = []
+        self.id: list[str | None] = []
+        self.classes: list[list[str]] = []
+        self.attrs: list[list[tuple[str, str]]] = []
+        self.text_from: list[int] = []
+        self.text_to: list[int] = []
+
+    def read(self, html: str | None) -> None:
+        self.open: list[int] = []
         self.pending: list[str] = []
+        self.silent = 0
+        self.first, self.first_text = len(self.idx), len(self.texts)
+        self.reset()
+        self.feed(html or "")
+        self.close()
+        self._end_text()
+        while self.open:
+            self._close(self.open.pop())
+        self.element_ends.append(len(self.idx))
+        self.text_ends.append(len(self.texts))
+
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are not needed
 
     def _end_text(self) -> None:
-        piece = "".join(self.pending).strip()
-        self.pending.clear()
-        if piece and not any(e["tag"] in SILENT for e in self.open):
-            self.texts.append(piece)
+        if self.pending:
+            piece = "".join(self.pending).strip()
+            self.pending.clear()
+            if piece and not self.silent:
+                self.texts.append(piece)
 
-    def _close(self, element: dict) -> None:
-        element["last"] = len(self.elements) - 1
-        element["text_to"] = len(self.texts)
+    def _close(self, at: int) -> None:
+        self.silent -= self.tag[at] in SILENT
+        self.last[at] = len(self.idx) - 1 - self.first
+        self.text_to[at] = len(self.texts) - self.first_text
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._end_text()
         named = {k: v or "" for k, v in attrs}
-        element = {
-            "idx": len(self.elements), "parent": self.open[-1]["idx"] if self.open else -1, "tag": tag,
-            "id": named.get("id"), "classes": named.get("class", "").split(), "attrs": list(named.items()),
-            "text_from": len(self.texts),
-        }
-        self.elements.append(element)
-        if tag in VOID:
-            self._close(element)
-        else:
-            self.open.append(element)
+        at = len(self.idx)
+        self.idx.append(at - self.first)
+        self.parent.append(self.open[-1] - self.first if self.open else -1)
+        self.last.append(at - self.first)
+        self.tag.append(tag)
+        self.id.append(named.get("id"))
+        self.classes.append(named["class"].split() if "class" in named else [])
+        self.attrs.append(list(named.items()))
+        self.text_from.append(len(self.texts) - self.first_text)
+        self.text_to.append(len(self.texts) - self.first_text)
+        if tag not in VOID:
+            self.open.append(at)
+            self.silent += tag in SILENT
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -72,11 +99,11 @@ class _Walker(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         self._end_text()
-        if any(e["tag"] == tag for e in self.open):
+        if any(self.tag[at] == tag for at in self.open):
             while True:
-                element = self.open.pop()
-                self._close(element)
-                if element["tag"] == tag:
+                at = self.open.pop()
+                self._close(at)
+                if self.tag[at] == tag:
                     return
 
     def handle_data(self, data: str) -> None:
@@ -93,28 +120,40 @@ class _Walker(HTMLParser):
             self.pending.append(data[6:])
             self._end_text()
 
+    def columns(self) -> tuple[pa.Array, pa.Array]:
+        """(texts, elements), each one list per page."""
+        def whole(values: list[int]) -> pa.Array:
+            return pa.array(values, pa.int32())
+
+        attrs = pa.array(self.attrs, pa.map_(pa.string(), pa.string()))
+        fields = {
+            "idx": whole(self.idx), "parent": whole(self.parent), "last": whole(self.last),
+            "tag": pa.array(self.tag, pa.string()), "id": pa.array(self.id, pa.string()),
+            "classes": pa.array(self.classes, pa.list_(pa.string())), "attrs": attrs,
+            "text_from": whole(self.text_from), "text_to": whole(self.text_to),
+        }
+        elements = pa.StructArray.from_arrays(list(fields.values()), names=list(fields))
+        return (
+            pa.ListArray.from_arrays(whole(self.text_ends), pa.array(self.texts, pa.string())),
+            pa.ListArray.from_arrays(whole(self.element_ends), elements),
+        )
+
 
-def walk(html: str | None) -> tuple[list[str], list[dict]]:
+def walk(pages: Iterable[str | None]) -> tuple[pa.Array, pa.Array]:
     walker = _Walker()
-    walker.feed(html or "")
-    walker.close()
-    walker._end_text()
-    while walker.open:
-        walker._close(walker.open.pop())
-    return walker.texts, walker.elements
+    for html in pages:
+        walker.read(html)
+    return walker.columns()
 
 
 def _walk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for start in range(0, whole.num_rows, PAGES_PER_BATCH):
             batch = whole.slice(start, PAGES_PER_BATCH)
-            walked = [walk(html) for html in batch.column("html").to_pylist()]
             keep = [n for n in batch.schema.names if n != "html"]
+            columns = [batch.column(n) for n in keep]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(n) for n in keep]
-                + [pa.array([w[0] for w in walked], pa.list_(pa.string())),
-                   pa.array([w[1] for w in walked], pa.list_(_ELEMENT))],
-                names=[*keep, "texts", "elements"],
+                [*columns, *walk(batch.column("html").to_pylist())], names=[*keep, "texts", "elements"]
             )
 
 

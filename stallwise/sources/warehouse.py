@@ -42,7 +42,7 @@ def load_pending(
 
     Safe to repeat: the target and the ledger keep a folder per batch, both are overwritten as a whole, and a batch
     counts only once its ledger folder is there. A load that died is simply run again under the same number, without
-    looking through the target. The ledger is made from the rows that were written.
+    looking through the target. `todo` is fixed by the files listed here: rows staged later wait for the next batch.
     """
     key = schemas.PRIMARY_KEY[table]
     target, ledger_path = f"{root}/warehouse/{table}", f"{root}/ledger/{table}"
@@ -51,10 +51,9 @@ def load_pending(
     ledger = staging.read_or_empty(spark, ledger_path, empty)
     batch = ledger.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
     todo = staging.pending(staging.current(versions, key), ledger, key, limit)
-    folder = f"{target}/batch={batch}"
-    _by_day(ingest.clean(todo, table), table, max_records_per_file).mode("overwrite").parquet(folder)
-    written = staging.read_or_empty(spark, folder, staging.marks(versions, key))
-    staging.marks(written, key).write.mode("overwrite").parquet(f"{ledger_path}/batch={batch}")
+    rows = _by_day(ingest.clean(todo, table), table, max_records_per_file)
+    rows.mode("overwrite").parquet(f"{target}/batch={batch}")
+    staging.marks(todo, key).write.mode("overwrite").parquet(f"{ledger_path}/batch={batch}")
     return spark.read.parquet(f"{ledger_path}/batch={batch}").count()
 
 
