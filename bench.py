@@ -14,6 +14,7 @@ import time
 from pyspark.sql import SparkSession
 
 from stallwise.plans import catalog
+from stallwise.session import build
 
 HEADLINE = [
     "ingest_products", "ingest_reviews", "ingest_pricing", "dedup_pricing", "score_pricing", "score_reviews",
@@ -25,11 +26,9 @@ HEADLINE = [
 
 
 def session(cpus: str) -> SparkSession:
-    spark = (
-        SparkSession.builder.master(f"local[{cpus}]").appName("bench")
-        .config("spark.sql.shuffle.partitions", cpus).config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false").config("spark.driver.memory", "16g")
-        .config("spark.sql.session.timeZone", "UTC").getOrCreate()
+    spark = build(
+        "bench", spark__master=f"local[{cpus}]", spark__sql__shuffle__partitions=cpus, spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false", spark__driver__memory="16g",
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -29,7 +29,8 @@ def signature(entity: str, as_of: Column | None = None) -> list[Column]:
 
 def signature_hash(entity: str, as_of: Column | None = None) -> Column:
     """One fixed-length value per signature, for stored signatures and streams."""
-    return F.md5(F.to_json(F.struct(*[c.alias(f"s{i}") for i, c in enumerate(signature(entity, as_of))])))
+    parts = [F.coalesce(c.cast("string"), F.lit("\x00")) for c in signature(entity, as_of)]
+    return F.md5(F.concat_ws("\x1f", *parts))
 
 
 def first_rows(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:

