@@ -23,8 +23,12 @@ URL_PATTERN = (
 )
 
 
+VISIBLE = SPACE.replace("[", "[^", 1)
+
+
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, f"^{SPACE}+|{SPACE}+$", "")
+    """From the first visible character to the last: one search from the front, one step back from the end."""
+    return F.regexp_extract(c, f"(?s){VISIBLE}(?:.*{VISIBLE})?", 0)
 
 
 def present(c: Column) -> Column:
@@ -34,7 +38,7 @@ def present(c: Column) -> Column:
 
 def not_blank(c: Column) -> Column:
     """True when a text has anything but white space; one look for a visible character, no copy of the text."""
-    return F.coalesce(c.rlike(SPACE.replace("[", "[^", 1)), F.lit(False))
+    return F.coalesce(c.rlike(VISIBLE), F.lit(False))
 
 
 def any_of(conditions: list[Column]) -> Column:
@@ -60,12 +64,11 @@ def with_spam_checks(df: DataFrame, content: str) -> DataFrame:
     pattern is cheap and keeps the bounded one away from nearly all rows.
     """
     c = F.col(content)
-    visible = SPACE.replace("[", "[^", 1)
     lowered, ws = F.col("_lowered"), F.col("_words")
     digits = rf"(?<!{WORD_CHARACTER})\p{{Nd}}{{10,}}(?!{WORD_CHARACTER})"
     checks = {
         # Ten characters from the first visible one to the last, without a stripped copy of the text.
-        "too_short": ~c.rlike(f"(?s){visible}.{{8,}}?{visible}"),
+        "too_short": ~c.rlike(f"(?s){VISIBLE}.{{8,}}?{VISIBLE}"),
         "repetitive": F.size(F.array_distinct(ws)) < F.size(ws) * F.lit(0.3),
         "repeated_character": lowered.rlike(r"(?d)(.)\1{10}"),
         "spam_phrase": any_of([lowered.contains(p) for p in SPAM_PHRASES]),
@@ -136,8 +139,8 @@ def mask_name(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    collapsed = F.regexp_replace(strip(c), f"{SPACE}+", " ")
-    return F.coalesce(F.regexp_replace(collapsed, r"""[^\p{L}\p{N}_\s\-.,!?()'"]""", ""), F.lit(""))
+    collapsed = F.trim(F.regexp_replace(c, f"{SPACE}+", " "))
+    return F.coalesce(F.regexp_replace(collapsed, r"""[^a-zA-Z \p{L}\p{N}_\-.,!?()'"]+""", ""), F.lit(""))
 
 
 def domain(c: Column) -> Column:
