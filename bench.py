@@ -50,7 +50,7 @@ def main() -> None:
         seconds[name] = round(timed(spark, name, sf_dir), 3)
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(seconds.values()), 3), "unit": "sec", "queries": seconds,
-        "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
+        "sf": float(os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")),
     }))
     spark.stop()
 

@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # The JVM leaves methods above 8000 bytes interpreted, so wide scoring stages run faster split up.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Pages are large rows: bound what a Python worker holds at once.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
     # Sessions of activity are merged before the shuffle.

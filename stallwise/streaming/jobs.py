@@ -30,15 +30,21 @@ def run_to_end(df: DataFrame, path: str, checkpoint: str, mode: str = "append")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ingest_batch(batch: DataFrame, batch_id: int, entity: str, as_of: Column, root: str) -> None:
+def ingest_batch(
+    batch: DataFrame, batch_id: int, entity: str, as_of: Column, root: str, memory: int | None = None
+) -> None:
     """One micro-batch: unseen rows, scores and gate; kept rows, signatures and counters to this batch's folders.
 
     Every output goes to a folder named after the batch and is overwritten, so a replayed batch leaves the same state.
+    Signatures are remembered for ever, or for the last `memory` batches: their folders are partitions by batch, so
+    older ones are not read.
     """
     spark = batch.sparkSession
     key = dedup.signature_hash(entity, as_of).alias("signature")
     history = staging.read_or_empty(spark, f"{root}/signatures", batch.select(key, F.lit(0).cast("long").alias("batch")))
-    unseen = dedup.drop_seen(batch, history.filter(F.col("batch") < batch_id), entity, as_of)
+    oldest = 0 if memory is None else batch_id - memory
+    remembered = history.filter((F.col("batch") < batch_id) & (F.col("batch") >= oldest))
+    unseen = dedup.drop_seen(batch, remembered, entity, as_of)
     scored = quality.with_scores(unseen, entity, as_of).withColumn(
         "kept", F.col("overall_score") >= F.lit(schemas.GATE[entity])
     )
@@ -56,11 +62,12 @@ def ingest_batch(batch: DataFrame, batch_id: int, entity: str, as_of: Column, ro
 
 
 def ingest(
-    stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint: str, version: list[str] | None = None
+    stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint: str, version: list[str] | None = None,
+    memory: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Ingest a stream; gives (kept rows, latest version of each key along `version`; counters per batch)."""
     query = (
-        stream.writeStream.foreachBatch(lambda df, i: ingest_batch(df, i, entity, as_of, root))
+        stream.writeStream.foreachBatch(lambda df, i: ingest_batch(df, i, entity, as_of, root, memory))
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()

@@ -53,6 +53,9 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert len(counts) == 1 and counts[0].duplicates == 180
     jobs.ingest_batch(batch, 1, "pricing", as_of(), f"{tmp_path}/out")
     assert spark.read.parquet(f"{tmp_path}/out/counts").filter("batch = 1").first().duplicates == 300
+    # Batch 1 kept nothing new, so with a memory of one batch the rows are new again.
+    jobs.ingest_batch(batch, 2, "pricing", as_of(), f"{tmp_path}/out", memory=1)
+    assert spark.read.parquet(f"{tmp_path}/out/counts").filter("batch = 2").first().duplicates == 180
 
 
 def event_stream(spark, tmp_path, n=500):
