@@ -297,7 +297,7 @@ def clean_products(spark, products):
     cleaned = ingest.clean(broken, "products")
     return cleaned.select(
         "product_id", "scraped_at", F.try_element_at("specifications", F.lit("size")).alias("size"),
-        F.size("specifications").alias("n_specifications"), F.array_join("images", "|").alias("images"),
+        F.coalesce(F.size("specifications"), F.lit(0)).alias("n_specifications"), F.array_join("images", "|").alias("images"),
     )
 
 
@@ -624,7 +624,8 @@ def weekly_trends(spark, products, reviews, pricing, jobs, samples):
 @query("products", "jobs")
 def top_performing_sites(spark, products, jobs):
     scored = quality.with_scores(typed(products, "products"), "products", timestamp(AS_OF))
-    return rounded(reports.top_sites(products, jobs, scored), "success_rate", "avg_quality_score")
+    ranked = reports.top_sites(products, jobs, scored).withColumn("rank", F.col("rank").cast("long"))
+    return rounded(ranked, "success_rate", "avg_quality_score")
 
 
 @query("metrics")
@@ -654,7 +655,9 @@ def dashboard_rows(spark, products, reviews, pricing, jobs, samples):
 @query("reviews")
 def top_reviews_per_product(spark, reviews):
     order = [F.desc("rating"), F.desc("scraped_at"), "ingest_seq"]
-    return dedup.top_rows(reviews, ["product_id"], order, 20).select("product_id", "rank", "review_id", "rating")
+    return dedup.top_rows(reviews, ["product_id"], order, 20).select(
+        "product_id", F.col("rank").cast("long").alias("rank"), "review_id", "rating"
+    )
 
 
 @query("offer_texts")
@@ -757,7 +760,7 @@ def anonymize_reviewers(spark, reviews):
 @query("documents")
 def clean_text(spark, documents):
     cleaned = text.clean_text(F.col("text"))
-    return documents.select("doc_id", F.length(cleaned).alias("length"), F.md5(cleaned).alias("digest"))
+    return documents.select("doc_id", F.length(cleaned).cast("long").alias("length"), F.md5(cleaned).alias("digest"))
 
 
 @query("links")

@@ -294,7 +294,7 @@ for _entity, (_key, _as_of, _scores, _signature, _order) in KEYS.items():
 
 put("clean_products", f"""select product_id, case when ingest_seq % 5 = 0 then null else scraped_at end as scraped_at,
     case when ingest_seq % 7 = 0 then null else json_extract_string(specifications, '$.size') end as size,
-    case when ingest_seq % 7 = 0 then 0 when specifications is null then null else 2 end as n_specifications,
+    case when ingest_seq % 7 = 0 or specifications is null then 0 else 2 end as n_specifications,
     case when ingest_seq % 11 = 0 then '' else array_to_string(from_json(images, '["VARCHAR"]'), '|') end as images from products""", "products")
 put("clean_pricing", """select price_id, price_date, case when ingest_seq % 9 = 0 then null else scraped_at end as scraped_at,
     array_to_string(from_json(offers, '["VARCHAR"]'), '|') as offers from pricing""", "pricing")
