@@ -7,10 +7,12 @@ twice, and nothing about a page ever leaves its row: extraction needs no shuffle
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -157,6 +159,10 @@ def _walk_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             )
 
 
+# Ship the walker itself with each job, so that executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 def with_elements(pages: DataFrame) -> DataFrame:
     """Replace `html` by `texts` and `elements`; every other column is kept."""
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != "html"]
