@@ -138,7 +138,7 @@ def _sets(docs: DataFrame, k: int, alive: DataFrame) -> DataFrame:
     marks = np.zeros(MARK_BITS // 8, np.uint8)
     spots = alive.select(F.pmod(F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long"), F.lit(MARK_BITS)).alias("spot"))
     found = spots.groupBy((F.col("spot") / 8).cast("int").alias("cell")).agg(
-        F.bit_or(F.shiftleft(F.lit(1), (F.col("spot") % 8).cast("int"))).alias("bits")
+        F.bit_or(F.expr("shiftleft(1, cast(spot % 8 as int))")).alias("bits")
     ).toPandas()
     marks[found["cell"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint8)
     shipped = spark.sparkContext.broadcast(marks.tobytes())
