@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import bpe, jaccard, quality, sharding, words
+from stallwise.llm import bpe, jaccard, quality, sharding, toxicity, vectors, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,22 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
 
 
+@query("op5_nearest_toxicity")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = words.bucket_of_id("doc_id", 4) == 2
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"), "toxic", ~held_out)
+    scored = toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), F.col("toxicity.score").alias("score"), F.col("toxicity.evidence.doc_id").alias("evidence")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
+
+
+@query("op7_pruned_graph_neighbours")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
+
+
 @query("op8_byte_bpe")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
