@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import bpe, jaccard, quality, sharding, toxicity, vectors, words
+from stallwise.llm import bpe, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, vectors, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op2_license_windows")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.with_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", F.explode("licenses").alias("l")).select("doc_id", "l.*")
+
+
 @query("op3_pairwise_quality")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -35,6 +41,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= quality.CUT).cast("int"))
 
 
+@query("op4_edit_decontamination")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontamination.with_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", F.explode("leaks").alias("l")).select("doc_id", "l.*")
+
+
 @query("op5_nearest_toxicity")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -46,6 +59,14 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= toxicity.CUT).cast("int"))
 
 
+@query("op6_bootstrapped_pii")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.find(table(spark, sf_dir, "documents"))
+    counts = [personal.count("base", kind).alias(f"n_{kind}") for kind in personal.KINDS]
+    every = F.array_sort(F.array_union("base", "more"))
+    return found.select("doc_id", *counts, F.sha2(personal.listed(F.col("base")), 256).alias("base_sha256"), personal.listed(every).alias("spans"))
+
+
 @query("op7_pruned_graph_neighbours")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.nearest(table(spark, sf_dir, "embeddings"), k=5, every=50)
