@@ -33,8 +33,9 @@ from stallwise.sources import scratch
 
 RANGE = 1024
 WIDTH = 6
-# Shingles counted by one task of step 2.
-BUCKET = 2_000_000
+# Shingles counted by one task of step 2, and bytes of text that a task of it works on at once.
+BUCKET = 1_000_000
+CHUNK = 8_000_000
 # Bits of the map that tells which sets are still in play. A full map only costs time.
 MARK_BITS = 1 << 27
 SUFFIX_PARTS = 16
@@ -75,9 +76,9 @@ def _rare(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in batches:
+        for texts in words.chunks(batches, CHUNK):
             sets, names = [], []
-            for text in words.texts(batch.column(0)):
+            for text in texts:
                 own = words.shingle_set(text, k)
                 name = words.digest(own)
                 if len(own) and name not in seen:
@@ -146,9 +147,9 @@ def _sets(docs: DataFrame, k: int, alive: DataFrame) -> DataFrame:
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.frombuffer(shipped.value, np.uint8)
         seen: set[bytes] = set()
-        for batch in batches:
+        for texts in words.chunks(batches, CHUNK):
             names, sets = [], []
-            for text in words.texts(batch.column(0)):
+            for text in texts:
                 own = words.shingle_set(text, k)
                 name = words.digest(own)
                 spot = int.from_bytes(name[:4], "big") % MARK_BITS

@@ -27,6 +27,20 @@ def texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[bytes]]:
+    """The texts of the first column in lists of about `most` bytes, so that what a task holds doesn't depend on batches."""
+    held, size = [], 0
+    for batch in batches:
+        for text in texts(batch.column(0)):
+            held.append(text)
+            size += len(text)
+            if size >= most:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
 def words(text: bytes) -> list[bytes]:
     return text.lower().split()
 
