@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import bpe, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, vectors, words
+from stallwise.llm import bpe, classmodel, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, vectors, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -26,6 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_class_bigrams")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classmodel.score(table(spark, sf_dir, "documents"), words.bucket_of_id("doc_id", 5) == 1)
+
+
 @query("op2_license_windows")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = licenses.with_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"))
