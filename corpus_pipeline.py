@@ -34,14 +34,16 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     kept = groups.where("doc_id = component_id").select("doc_id").distinct()
     named = docs.join(kept, "doc_id", "left_semi")
     first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    named = named.withColumn("_place", F.row_number().over(first)).where("_place = 1").drop("_place")
+    place = words.free(docs, "_place")
+    named = named.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
     return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item within the edit distance."""
-    found = decontamination.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out="_leaks")
-    return found.where(F.size("_leaks") == 0).drop("_leaks")
+    leaks = words.free(docs, "_leaks")
+    found = decontamination.with_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), out=leaks)
+    return found.where(F.size(leaks) == 0).drop(leaks)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ item, so a window that holds fewer pairs of any item than an item has left with
 loses nothing.
 
 With a share q of equal steps, one table of SAMPLED steps retrieves an item with chance q^SAMPLED, all tables with
-1 - (1 - q^SAMPLED)^TABLES: 0.98 at q = 0.7.
+1 - (1 - q^SAMPLED)^TABLES: 0.986 at q = 0.5.
 """
 
 from __future__ import annotations
@@ -29,9 +29,9 @@ from stallwise.llm import words
 EDITS = 0.2
 # Shorter items say too little to accuse a text.
 LEAST_WORDS = 5
-WALKS = 4
-TABLES = 16
-SAMPLED = 4
+WALKS = 8
+TABLES = 32
+SAMPLED = 3
 # Steps of the walk per word of the shortest item of a length class; classes grow by this factor.
 PACE = 1.4
 GROWTH = 1.5

@@ -191,7 +191,7 @@ def _postings(sets: DataFrame, percent: int) -> DataFrame:
     return found.select(F.col("col.h").alias("h"), "node", "n", "alone", (F.col("alone") + F.col("pos")).alias("at"))
 
 
-@F.pandas_udf("long")
+@F.pandas_udf(T.LongType())
 def overlap(left: pd.Series, right: pd.Series, least: pd.Series) -> pd.Series:
     """Size of the intersection, or -1 where the suffix filter already rules `least` out."""
     out = []

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallwise.llm import words
 from stallwise.sources import scratch
 
 KINDS = ("email", "ip", "card", "phone")
@@ -168,11 +169,13 @@ def redact(docs: DataFrame) -> DataFrame:
 
     Where spans of two kinds overlap, the stretch that both cover goes under the first one's kind.
     """
+    own, hashed, spans = (words.free(docs, name) for name in ("_id", "_hash", "_spans"))
     found = find(docs).dropDuplicates(["doc_id", "text_hash"]).select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.array_sort(F.array_union("base", "more")).alias("_spans")
-    ).where(F.size("_spans") > 0)
+        F.col("doc_id").alias(own), F.col("text_hash").alias(hashed), F.array_sort(F.array_union("base", "more")).alias(spans)
+    ).where(F.size(spans) > 0)
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    joined = docs.join(found, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_hash")), "left")
+    same = docs["doc_id"].eqNullSafe(F.col(own)) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == F.col(hashed))
+    joined = docs.join(found, same, "left")
     kinds = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
     empty = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<string>").alias("parts"))
 
@@ -187,5 +190,5 @@ def redact(docs: DataFrame) -> DataFrame:
         rest = F.substring(F.col("text"), (state["at"] + 1).cast("int"), F.lit(2**31 - 1))
         return F.concat(F.array_join(state["parts"], ""), rest)
 
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.aggregate("_spans", empty, step, finish))
+    text = F.when(F.col(spans).isNull(), F.col("text")).otherwise(F.aggregate(spans, empty, step, finish))
     return joined.select(*[text.alias("text") if c == "text" else col for c, col in zip(docs.columns, columns)])

@@ -206,7 +206,7 @@ def learn(docs: DataFrame, labels: DataFrame, label: str, train: Column) -> Mode
     rows = rows.sort_values("doc_id", ignore_index=True)
     marks = rows["mark"].to_numpy(np.int64)
     prior = (marks.sum() + 0.5) / (len(marks) + 10)
-    some = rows[[len(x) > 0 for x in rows["ids"]]]
+    some = rows[rows["ids"].map(len) > 0]
     index = BlockMax(
         [np.asarray(x, np.int64) for x in some["ids"]], [np.asarray(x) for x in some["weights"]],
         some["mark"].to_numpy(np.int64), some["doc_id"].to_numpy(np.int64), len(place),

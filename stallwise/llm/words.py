@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -75,6 +75,14 @@ def digest(values: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(values.tobytes())
 
 
+def free(df: DataFrame, name: str) -> str:
+    """`name`, or a longer one that no column of `df` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def bucket_of_id(column: str, modulus: int) -> Column:
     """crc32 of the id written as text, modulo `modulus`; a NULL id counts as an empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit(""))) % modulus
