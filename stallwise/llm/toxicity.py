@@ -2,9 +2,9 @@
 
 Terms are words whose presence depends on the label (chi-squared), at most TERMS; their document frequencies cover all
 documents. The examples, at most SAMPLE distinct labelled texts, lie in blocks of similar vectors, and an inverted
-index holds each term's largest weight per block. A document adds these up to a bound per block and opens blocks from
-the highest bound on, until none can hold a nearer example: the K nearest found are exact. They vote by distance, and a
-logistic curve fitted on leave-one-out votes turns votes into scores.
+index holds each term's largest weight per block. A document adds these up to a bound per block, opens the blocks of
+the highest bounds, then all others that can still hold a nearer example: the K nearest found are exact. They vote by
+distance, and a logistic curve fitted on leave-one-out votes turns votes into scores.
 """
 
 from __future__ import annotations
@@ -21,12 +21,17 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stallwise.sources import scratch
+
 SAMPLE = 20_000
+PARTS = 16
 TERMS = 4096
 # Chi-squared of one degree of freedom at one in 10,000, and the fewest examples that show a term.
 DEPENDENT = 15.1
 SHOWN = 3
 BLOCK = 64
+# Blocks opened before the floor is known.
+FIRST = 8
 K = 15
 CUT = 0.3
 SPLIT = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(128)) + bytes(range(128, 256))
@@ -47,6 +52,11 @@ def vector(text: str | None, place: dict[bytes, int], idf: np.ndarray) -> tuple[
     return ids, weights / np.linalg.norm(weights)
 
 
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers of all ranges (start, size), one range after the other."""
+    return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 class BlockMax:
     """Examples in blocks, with each term's largest weight per block."""
 
@@ -60,47 +70,53 @@ class BlockMax:
         self.weight = np.concatenate([weights[i] for i in order]) if order else np.zeros(0)
         self.row = np.repeat(np.arange(len(order)), sizes)
         self.blocks = -(-len(order) // BLOCK)
-        top = Counter()
-        for t, b, w in zip(self.term.tolist(), (self.row // BLOCK).tolist(), self.weight.tolist()):
-            if w > top[t, b]:
-                top[t, b] = w
-        keys = sorted(top)
-        self.post_block = np.array([b for _, b in keys], np.int64)
-        self.post_max = np.array([top[k] for k in keys])
-        self.post_start = np.searchsorted([t for t, _ in keys], np.arange(terms + 1))
-        self.dense = np.zeros(terms)
+        # Postings by term, then row; one entry for each term and block names its span of them and its largest weight.
+        by_term = np.argsort(self.term, kind="stable")
+        self.post_row, self.post_weight = self.row[by_term], self.weight[by_term]
+        key = self.term[by_term] * max(1, self.blocks) + self.post_row // BLOCK
+        distinct, self.span_start, self.span_size = np.unique(key, return_index=True, return_counts=True)
+        self.span_block = distinct % max(1, self.blocks)
+        self.span_max = np.maximum.reduceat(self.post_weight, self.span_start) if len(key) else np.zeros(0)
+        self.term_start = np.searchsorted(distinct // max(1, self.blocks), np.arange(terms + 1))
 
     def nearest(self, ids: np.ndarray, weights: np.ndarray, k: int, but: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The k rows of largest positive cosine, ties to the smaller name; `but` names an example to leave out."""
         if not len(ids) or not self.blocks:
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = np.zeros(self.blocks)
-        for t, w in zip(ids, weights):
-            span = slice(self.post_start[t], self.post_start[t + 1])
-            bound[self.post_block[span]] += w * self.post_max[span]
-        queue = np.argsort(-bound, kind="stable")
-        self.dense[ids] = weights
-        rows, sims = np.zeros(0, np.int64), np.zeros(0)
-        for start in range(0, len(queue), 4):
-            open_now = queue[start : start + 4]
-            floor = sims[k - 1] - 1e-9 if len(sims) >= k else 0.0
-            open_now = open_now[bound[open_now] > floor]
-            if not len(open_now):
-                break
-            for b in open_now:
-                first, last = b * BLOCK, min((b + 1) * BLOCK, len(self.labels))
-                span = slice(self.start[first], self.start[last])
-                sim = np.bincount(self.row[span] - first, self.dense[self.term[span]] * self.weight[span], last - first)
-                hit = np.flatnonzero(sim > 0)
-                rows, sims = np.concatenate([rows, hit + first]), np.concatenate([sims, sim[hit]])
-            if but is not None:
-                other = self.names[rows] != but
-                rows, sims = rows[other], sims[other]
-            best = np.lexsort((self.names[rows], -sims.round(12)))[:k]
-            rows, sims = rows[best], sims[best]
-        self.dense[ids] = 0
+        sizes = self.term_start[ids + 1] - self.term_start[ids]
+        spans, factor = _ranges(self.term_start[ids], sizes), np.repeat(weights, sizes)
+        bound = np.bincount(self.span_block[spans], factor * self.span_max[spans], self.blocks)
+        # The most promising blocks give the floor that lets most others stay shut.
+        first = np.zeros(self.blocks, bool)
+        first[np.argsort(-bound, kind="stable")[:FIRST]] = True
+        rows, sims = self._best(*self._open(first & (bound > 0), spans, factor), k, but)
+        floor = sims[k - 1] - 1e-9 if len(sims) >= k else 0.0
+        rest = ~first & (bound > floor)
+        if rest.any():
+            more, near = self._open(rest, spans, factor)
+            rows, sims = self._best(np.concatenate([rows, more]), np.concatenate([sims, near]), k, but)
         return rows, sims
 
+    def _open(self, blocks: np.ndarray, spans: np.ndarray, factor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the given blocks with a positive cosine, and that cosine."""
+        inside = blocks[self.span_block[spans]]
+        spans, factor = spans[inside], factor[inside]
+        sizes = self.span_size[spans]
+        posts = _ranges(self.span_start[spans], sizes)
+        sim = np.bincount(self.post_row[posts], np.repeat(factor, sizes) * self.post_weight[posts], len(self.labels))
+        hit = np.flatnonzero(sim > 0)
+        return hit, sim[hit]
+
+    def _best(self, rows: np.ndarray, sims: np.ndarray, k: int, but: int | None) -> tuple[np.ndarray, np.ndarray]:
+        if but is not None:
+            other = self.names[rows] != but
+            rows, sims = rows[other], sims[other]
+        if len(rows) > 4 * k:
+            near = sims >= np.partition(sims, len(sims) - k)[len(sims) - k] - 1e-9
+            rows, sims = rows[near], sims[near]
+        best = np.lexsort((self.names[rows], -sims.round(12)))[:k]
+        return rows[best], sims[best]
+
 
 def vote(sims: np.ndarray, labels: np.ndarray, prior: float) -> float:
     """Share of toxic neighbours, weighted by the inverse of their distance, with one neighbour's worth of prior."""
@@ -179,7 +195,8 @@ def _vocabulary(examples: DataFrame) -> list[bytes]:
 def learn(docs: DataFrame, labels: DataFrame, label: str, train: Column) -> Model:
     """Fit on labelled documents for which `train` holds. No labels at all, or of one kind, give scores of that kind."""
     spark = docs.sparkSession
-    examples = _examples(docs, labels, label, train)
+    # Bounded by SAMPLE texts; cut once, as four passes read it.
+    examples = scratch.cut(_examples(docs, labels, label, train).repartition(PARTS))
     vocabulary = _vocabulary(examples)
     place = {term: i for i, term in enumerate(vocabulary)}
 
