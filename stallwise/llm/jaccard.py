@@ -117,15 +117,31 @@ def _rare(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
         distinct, where, counts = np.unique(np.concatenate([single, shared, shared]), return_inverse=True, return_counts=True)
         alone = (counts == 1)[where[: len(single)]]
         sizes = np.frombuffer(b"".join(rows["sizes"]), "<u4").astype(np.int64)
-        names = np.frombuffer(b"".join(rows["names"]), "V16")
+        names = np.frombuffer(b"".join(rows["names"]), "<u8").reshape(-1, 2)
         sums = np.concatenate([[0], np.cumsum(alone)])
         ends = np.cumsum(sizes)
         found = sums[ends] - sums[ends - sizes]
-        keep = found > 0
-        return pd.DataFrame({"digest": [x.tobytes() for x in names[keep]], "alone": found[keep].astype(np.int64)})
+        # One packed row for each part of the sets, not one for each set and bucket.
+        part = np.where(found > 0, (names[:, 0] % np.uint64(buckets)).astype(np.int64), -1)
+        order = np.argsort(part, kind="stable")
+        edges = np.searchsorted(part[order], np.arange(buckets + 1))
+        cut = [order[edges[i] : edges[i + 1]] for i in range(buckets)]
+        return pd.DataFrame({
+            "part": [i for i, own in enumerate(cut) if len(own)], "names": [names[own].tobytes() for own in cut if len(own)],
+            "alone": [found[own].astype("<u4").tobytes() for own in cut if len(own)],
+        })
+
+    def total(rows: pd.DataFrame) -> pd.DataFrame:
+        names = np.frombuffer(b"".join(rows["names"]), "<u8").reshape(-1, 2)
+        alone = np.frombuffer(b"".join(rows["alone"]), "<u4").astype(np.int64)
+        order = np.lexsort((names[:, 1], names[:, 0]))
+        names, alone = names[order], alone[order]
+        first = np.flatnonzero(np.concatenate([[True], (names[1:] != names[:-1]).any(axis=1)]))
+        return pd.DataFrame({"digest": [x.tobytes() for x in names[first]], "alone": np.add.reduceat(alone, first)})
 
     packed = docs.select("text").mapInArrow(gather, "bucket int, names binary, sizes binary, single binary, shared binary")
-    return packed.groupBy("bucket").applyInPandas(count, "digest binary, alone long").groupBy("digest").agg(F.sum("alone").alias("alone"))
+    counted = packed.groupBy("bucket").applyInPandas(count, "part int, names binary, alone binary")
+    return counted.groupBy("part").applyInPandas(total, "digest binary, alone long")
 
 
 def _bucket(values: np.ndarray, buckets: int) -> np.ndarray:
