@@ -37,6 +37,9 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[bytes]
             if size >= most:
                 yield held
                 held, size = [], 0
+        # Give the batch's memory back before the next one is read.
+        del batch
+        pa.default_memory_pool().release_unused()
     if held:
         yield held
 
