@@ -19,6 +19,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stallwise.llm import words
+
 # About this many characters of a long text are encoded at once.
 PIECE = 1 << 16
 SAFE = re.compile(r"(?<=\w) ")
@@ -82,13 +84,27 @@ def decode(tokens: DataFrame, ranks: str, pattern: str, ids: str = "ids", out: s
     return tokens.withColumn(out, run(F.col(f"`{ids}`")))
 
 
+def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Add `ids` and the bytes they decode to, as `decode(encode(docs))` does, with one encoder and one worker a task."""
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encoder = load(ranks, pattern)
+        for batch in batches:
+            packed = [ids_of(encoder, value or "").tobytes() for value in batch]
+            yield pd.DataFrame({"ids": packed, "decoded": [bytes_of(encoder, own) for own in packed]}, dtype=object)
+
+    both = words.free(docs, "_both")
+    found = docs.withColumn(both, run(F.col(f"`{text}`")))
+    return found.withColumn(ids, F.col(f"{both}.ids")).withColumn(out, F.col(f"{both}.decoded")).drop(both)
+
+
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """Per row of (doc_id, text): number of ids, SHA-256 of the packed ids, SHA-256 of the bytes decoded from them.
 
     Repeated rows stay repeated; NULL and empty texts have 0 ids; an empty table gives no rows.
     """
-    rows = encode(docs.select("doc_id", "text"), ranks, pattern).drop("text")
-    rows = decode(rows, ranks, pattern)
+    rows = round_trip(docs.select("doc_id", "text"), ranks, pattern).drop("text")
     return rows.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

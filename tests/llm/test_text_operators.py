@@ -41,6 +41,15 @@ def test_bpe_keeps_other_columns_and_replaces_its_own(table):
     assert (bytes(row.decoded), row.source) == (b"some text", "s")
 
 
+def test_bpe_round_trip_is_encode_then_decode(odd):
+    docs = odd.withColumn("_both", F.lit("kept")).withColumn("ids", F.lit("old"))
+    want = bpe.decode(bpe.encode(docs, RANKS, PATTERN), RANKS, PATTERN)
+    found = bpe.round_trip(docs, RANKS, PATTERN)
+    assert found.columns == want.columns
+    assert found.exceptAll(want).count() == want.exceptAll(found).count() == 0
+    assert bpe.round_trip(docs.limit(0), RANKS, PATTERN).count() == 0
+
+
 def test_bpe_of_an_empty_table(table):
     assert bpe.digests(table([]), RANKS, PATTERN).count() == 0
 
