@@ -163,13 +163,13 @@ def with_scores(df: DataFrame, entity: str, as_of: Column) -> DataFrame:
     return scored.select(*columns, *parts, "issues", "overall_score")
 
 
-def score_rows(df: DataFrame, entity: str, as_of: Column) -> DataFrame:
-    """Quality records of one entity's rows."""
+def score_rows(df: DataFrame, entity: str, as_of: Column, evaluated_at: Column | None = None) -> DataFrame:
+    """Quality records of one entity's rows. `evaluated_at` is the time of the run that scored them, `as_of` if not given."""
     return with_scores(df, entity, as_of).select(
         F.col(schemas.PRIMARY_KEY[entity]).alias("record_id"),
         F.lit(RECORD_TYPE[entity]).alias("record_type"),
         "completeness_score", "accuracy_score", "consistency_score", "overall_score", "issues",
-        F.col("scraped_at").alias("evaluated_at"),
+        (as_of if evaluated_at is None else evaluated_at).alias("evaluated_at"),
     )
 
 

@@ -148,18 +148,30 @@ def domain(c: Column) -> Column:
     return F.coalesce(F.regexp_extract(c, r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1), F.lit(""))
 
 
-def absolute_url(c: Column, base: Column) -> Column:
-    origin = F.regexp_extract(base, r"^[A-Za-z]+://[^/?#]*", 0)
-    folder = F.when(F.regexp_extract(base, r"^[A-Za-z]+://[^/?#]*(/[^?#]*/|/)", 1) != "",
-                    F.regexp_extract(base, r"^[A-Za-z]+://[^/?#]*(?:/[^?#]*/|/)", 0)).otherwise(
-        F.concat(origin, F.lit("/"))
+def _without_dots(path: Column) -> Column:
+    """A path, given without its leading slash, with its dot segments worked off; what climbs above the root stays there."""
+    open_end = F.when(path.rlike(r"(^|/)\.{1,2}$"), F.concat(path, F.lit("/"))).otherwise(path)
+    steps = F.filter(F.split(open_end, "/"), lambda s: s != ".")
+    kept = F.aggregate(
+        steps, F.array().cast("array<string>"),
+        lambda done, s: F.when(s == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(F.concat(done, F.array(s))),
     )
+    return F.array_join(kept, "/")
+
+
+def absolute_url(c: Column, base: Column) -> Column:
+    """A link as seen from a page: other schemes stay, queries and fragments keep the page's path, dots are worked off."""
+    origin = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*", 0)
+    folder = F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^?#]*/)?", 1)
+    path, rest = F.regexp_extract(c, r"^[^?#]*", 0), F.regexp_extract(c, r"[?#].*$", 0)
+    full = F.when(path.startswith("/"), F.substring(path, 2, 2**31 - 1)).otherwise(F.concat(folder, path))
     return (
-        F.when(c.startswith("http"), c)
-        .when(c.startswith("//"), F.concat(F.regexp_extract(base, r"^[A-Za-z]+:", 0), c))
-        .when(c.startswith("/"), F.concat(origin, c))
-        .when(F.coalesce(c, F.lit("")) == "", base)
-        .otherwise(F.concat(folder, c))
+        F.when(F.coalesce(c, F.lit("")) == "", base)
+        .when(c.rlike(r"^[A-Za-z][A-Za-z0-9+.\-]*:"), c)
+        .when(c.startswith("//"), F.concat(F.regexp_extract(base, r"^[A-Za-z][A-Za-z0-9+.\-]*:", 0), c))
+        .when(c.startswith("?"), F.concat(F.regexp_extract(base, r"^[^?#]*", 0), c))
+        .when(c.startswith("#"), F.concat(F.regexp_extract(base, r"^[^#]*", 0), c))
+        .otherwise(F.concat(origin, F.lit("/"), _without_dots(full), rest))
     )
 
 

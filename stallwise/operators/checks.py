@@ -32,10 +32,10 @@ def data_quality(scores: DataFrame) -> DataFrame:
         _any_data(n, F.when(rate <= schemas.LOW_QUALITY_RATE_LIMIT, "PASS").otherwise("FAIL")).alias("status"),
         n.alias("total_records"), high.alias("high_quality_records"), (n - high).alias("low_quality_records"),
         rate.alias("low_quality_rate"),
-        exact_avg("overall_score", 12).alias("avg_overall_score"),
-        exact_avg("completeness_score", 12).alias("avg_completeness_score"),
-        exact_avg("accuracy_score", 12).alias("avg_accuracy_score"),
-        exact_avg("consistency_score", 12).alias("avg_consistency_score"),
+        exact_avg("overall_score").alias("avg_overall_score"),
+        exact_avg("completeness_score").alias("avg_completeness_score"),
+        exact_avg("accuracy_score").alias("avg_accuracy_score"),
+        exact_avg("consistency_score").alias("avg_consistency_score"),
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from stallwise import schemas
 from stallwise.functions import text
 from stallwise.operators import dedup
-from stallwise.plans.views import exact_avg
+from stallwise.plans.views import exact_avg, exact_sum, unsummable
 
 TIMER_VALUES = 100
 
@@ -22,7 +22,7 @@ def keyed(samples: DataFrame) -> DataFrame:
 def counters(samples: DataFrame) -> DataFrame:
     return (
         keyed(samples.filter("type = 'counter'")).groupBy("key")
-        .agg(F.sum(F.col("value").cast("decimal(18,4)")).cast("double").alias("value"))
+        .agg(exact_sum("value").alias("value"))
     )
 
 
@@ -33,6 +33,12 @@ def gauges(samples: DataFrame) -> DataFrame:
     )
 
 
+def left_out(samples: DataFrame) -> DataFrame:
+    """Per metric: samples that no sum or average can take (NaN, infinite, out of range)."""
+    counted = keyed(samples).groupBy("type", "key").agg(unsummable("value").alias("left_out"))
+    return counted.filter("left_out > 0")
+
+
 def timer_stats(samples: DataFrame, kept: int = TIMER_VALUES) -> DataFrame:
     """Figures over the last `kept` values of each timer. Only `kept` rows per key and task reach the shuffle."""
     recent = dedup.top_rows(
@@ -71,7 +77,7 @@ def quality_gauges(scores: DataFrame) -> DataFrame:
     low = F.count_if(F.col("overall_score") < schemas.MIN_OVERALL_SCORE)
     return (
         scores.agg(
-            exact_avg("overall_score", 12).alias("data_quality_score"),
+            exact_avg("overall_score").alias("data_quality_score"),
             (low / F.nullif(F.count("*"), F.lit(0)) * 100).alias("validation_failure_rate"),
         )
         .unpivot([], ["data_quality_score", "validation_failure_rate"], "name", "value")

@@ -240,7 +240,7 @@ def _review(site: str, elements: Column, container: Column) -> Column:
     )
 
 
-def extract_reviews(pages: DataFrame, max_reviews: int = MAX_REVIEWS) -> DataFrame:
+def extract_reviews(pages: DataFrame, max_reviews: int | None = None) -> DataFrame:
     """Reviews of each page, without those that have no content.
 
     Reviews of the first site carry its item code as product_id, as the review pages name nothing else;
@@ -253,7 +253,8 @@ def extract_reviews(pages: DataFrame, max_reviews: int = MAX_REVIEWS) -> DataFra
         reviews = F.transform(
             first_nonempty(elements, *REVIEW[site]["container"]), lambda c: _review(site, elements, c)
         )
-        return F.slice(F.filter(reviews, lambda r: r["content"] != ""), 1, max_reviews)
+        found = F.filter(reviews, lambda r: r["content"] != "")
+        return found if max_reviews is None else F.slice(found, 1, max_reviews)
 
     item_code = text.present(F.regexp_extract("url", r"/(?:dp|product-reviews)/([A-Z0-9]{10})", 1))
     product = F.when(F.col("site") == "amazon", item_code).otherwise(

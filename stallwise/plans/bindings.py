@@ -93,6 +93,12 @@ select price_id, product_id, site, current_price, original_price, currency, disc
   price_date + interval '8117' day as price_date, scraped_at + interval '8117' day as scraped_at, ingest_seq
 from pricing
 """
+# Prices of a week in which one shop gave none.
+SQL["pricing_gap"] = """
+select price_id, product_id, case when site = 'myntra' then 'amazon' else site end as site, current_price, original_price, currency,
+  discount_percentage, discount_amount, offers, price_date, scraped_at, ingest_seq
+from pricing_2024
+"""
 SQL["jobs_2024"] = """
 select job_id, site, job_type, status, created_at + interval '8212' day as created_at, started_at, completed_at, products_scraped,
   reviews_scraped
@@ -130,8 +136,10 @@ SQL["links"] = """
 select p_partkey as row_id, case p_partkey % 3 when 0 then 'amazon' when 1 then 'flipkart' else 'myntra' end as site,
   case p_partkey % 4 when 0 then '/dp/' when 1 then '/p/' when 2 then '/buy/' else '/about/' end as folder,
   concat(case p_partkey % 5 when 0 then 'https://www.shop.example.com' when 1 then '' when 2 then '//cdn.example.com' when 3 then 'http://user@shop.example.com:8080' else 'https://shop.example.com' end,
-    case p_partkey % 4 when 0 then '/dp/' when 1 then '/p/' when 2 then '/buy/' else '/about/' end, upper(substring(md5(p_name), 1, 10)),
-    case p_partkey % 7 when 0 then '?utm_source=x&id=1&ref=y#top' when 1 then '?ref=y' when 2 then '?id=1&tag=z&k=2' when 3 then '#top' else '' end) as url
+    case when p_partkey % 5 = 1 and p_partkey % 3 = 1 then case p_partkey % 8 when 0 then '?page=2' when 1 then '#part' when 2 then '../up' when 3 then './here'
+        when 4 then 'a/../b' when 5 then '/x/../y/.' when 6 then 'mailto:a@b.c' else '../../../http-guide.html' end
+      else concat(case p_partkey % 4 when 0 then '/dp/' when 1 then '/p/' when 2 then '/buy/' else '/about/' end, upper(substring(md5(p_name), 1, 10))) end,
+    case when p_partkey % 5 = 1 and p_partkey % 3 = 1 then '' else case p_partkey % 7 when 0 then '?utm_source=x&id=1&ref=y#top' when 1 then '?ref=y' when 2 then '?id=1&tag=z&k=2' when 3 then '#top' else '' end end) as url
 from part
 """
 # Product pages of the three shops, one per product, with the product's own fields and its latest line of prices.
@@ -166,7 +174,7 @@ from (select r.*, cast(1 + ingest_seq % 5 as string) as stars, cast(1 + ingest_s
 """
 
 DEPENDS = {
-    "pricing_2024": ["pricing"], "jobs_2024": ["jobs"], "shop_pages": ["products"], "review_pages": ["reviews"],
+    "pricing_2024": ["pricing"], "pricing_gap": ["pricing_2024"], "jobs_2024": ["jobs"], "shop_pages": ["products"], "review_pages": ["reviews"],
 }
 AS_OF = "2024-01-25 00:00:00"
 PRICES_AS_OF = "2001-11-04 00:00:00"

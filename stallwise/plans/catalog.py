@@ -55,11 +55,12 @@ SCORES = ("completeness_score", "accuracy_score", "consistency_score", "overall_
 
 
 def all_scores(products: DataFrame, reviews: DataFrame, pricing: DataFrame) -> DataFrame:
-    as_of = timestamp(AS_OF)
+    """Scores as nightly runs leave them: each row is scored at two o'clock of the night after its scrape."""
+    as_of, night = timestamp(AS_OF), F.date_trunc("day", "scraped_at") + F.expr("interval 26 hours")
     return (
-        quality.score_rows(typed(products, "products"), "products", as_of)
-        .unionByName(quality.score_rows(reviews, "reviews", as_of))
-        .unionByName(quality.score_rows(typed(pricing, "pricing"), "pricing", as_of))
+        quality.score_rows(typed(products, "products"), "products", as_of, night)
+        .unionByName(quality.score_rows(reviews, "reviews", as_of, night))
+        .unionByName(quality.score_rows(typed(pricing, "pricing"), "pricing", as_of, night))
     )
 
 
@@ -85,10 +86,13 @@ def raw_landing_roundtrip(spark, products):
 @query("products", "reviews")
 def raw_file_listing(spark, products, reviews):
     root = scratch.new_folder(spark, "landing")
-    landing.write_raw(products.repartition("site"), root, "products", "20240125", "csv")
-    landing.write_raw(reviews.select("content"), root, "reviews", "20240125", "text")
-    files = landing.list_raw(spark, root, "products/")
-    return files.select(F.regexp_extract("path", "^[^/]*/[^/]*", 0).alias("folder")).distinct()
+    folder = F.regexp_extract("path", "^[^/]*/[^/]*", 0).alias("folder")
+    records = []
+    for data_type, df in (("products", products), ("reviews", reviews)):
+        path = landing.write_raw(df, root, data_type, "20240125")
+        records.append(landing.read_raw(spark, df.schema, path).agg(F.lit(f"{data_type}/20240125").alias("folder"), F.count("*").alias("records")))
+    files = landing.list_raw(spark, root).groupBy(folder).agg((F.sum("length") > 0).alias("has_bytes"))
+    return records[0].union(records[1]).join(files, "folder")
 
 
 def _changed(df: DataFrame, column: str, value) -> DataFrame:
@@ -453,15 +457,14 @@ def check_duplicate_rate(spark, *tables):
     return rounded(checks.duplicate_rate(_tables(*tables), timestamp(AS_OF)), "duplicate_rate")
 
 
-@query("products", "reviews", "pricing_2024")
-def check_site_coverage(spark, products, reviews, pricing):
-    tables = _tables(products, reviews, pricing.filter("site <> 'myntra'"))
-    return checks.site_coverage(checks.profiles(tables, timestamp(AS_OF)))
+@query("products", "reviews", "pricing_gap")
+def check_site_coverage(spark, *tables):
+    return checks.site_coverage(checks.profiles(_tables(*tables), timestamp(AS_OF)))
 
 
-@query("pricing")
+@query("pricing_gap")
 def missing_sites(spark, pricing):
-    return checks.missing_sites(pricing.filter("site <> 'flipkart'"))
+    return checks.missing_sites(pricing)
 
 
 @query("jobs_2024")
@@ -630,8 +633,7 @@ def top_performing_sites(spark, products, jobs):
 
 @query("metrics")
 def recommendations(spark, samples):
-    """The quality gauge is left out: without samples it reads 0.0."""
-    return reports.recommendations(metrics.gauges(unlabelled(samples)).filter("key <> 'data_quality_score'"))
+    return reports.recommendations(metrics.gauges(unlabelled(samples)))
 
 
 @query("pricing", "jobs")

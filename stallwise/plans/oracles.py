@@ -39,8 +39,17 @@ def valid_url(x: str) -> str:
     return f"regexp_matches(coalesce({x}, ''), '{URL_PATTERN}')"
 
 
-def mean(x: str, digits: int = 4) -> str:
-    return f"cast(sum(cast({x} as decimal(18, {digits}))) as double) / count({x})"
+def exact(x: str, digits: int = 10) -> str:
+    """The value if it can be summed; DuckDB turns doubles into decimals by multiplying, so no more digits than are exact."""
+    return f"case when isfinite({x}) and abs({x}) < 1e20 then cast({x} as decimal(38, {digits})) end"
+
+
+def plain_sum(x: str, where: str = "true") -> str:
+    return f"cast(sum({exact(x)}) filter ({where}) as double)"
+
+
+def mean(x: str, digits: int = 10) -> str:
+    return f"cast(sum({exact(x, digits)}) as double) / count({exact(x, digits)})"
 
 
 def joined(*issues: str) -> str:
@@ -58,7 +67,7 @@ def product_scores(as_of: str, source: str = "products") -> str:
     required = ["product_id", "name", "site", "category", "url"]
     return f"""
     select *, (completeness_score + accuracy_score + consistency_score) / 3 as overall_score from (
-    select product_id as record_id, 'product' as record_type, product_id, site, category, ingest_seq, scraped_at as evaluated_at,
+    select product_id as record_id, 'product' as record_type, product_id, site, category, ingest_seq, date_trunc('day', scraped_at) + interval 26 hour as evaluated_at,
       {total(*[points(held(c)) for c in required], points(visible('brand')), points(visible('description')), points('len(imgs) > 0'), points('specifications is not null'))} / 9e0 as completeness_score,
       {total(points('length(name) between 3 and 500'), points(valid_url('url')),
              f"case when not ({held('brand')}) then 0.5e0 when {visible('brand')} then 1e0 else 0e0 end",
@@ -94,7 +103,7 @@ def review_scores(as_of: str) -> str:
     required = ["review_id", "product_id", "site", "content"]
     return f"""
     select *, (completeness_score + accuracy_score + consistency_score) / 3 as overall_score from (
-    select review_id as record_id, 'review' as record_type, ingest_seq, scraped_at as evaluated_at,
+    select review_id as record_id, 'review' as record_type, ingest_seq, date_trunc('day', scraped_at) + interval 26 hour as evaluated_at,
       {total(*[points(held(c)) for c in required], points('rating <> 0'), points(held('title')), points(held('reviewer_name')), points('review_date is not null'))} / 8e0 as completeness_score,
       {total(points('length(content) between 10 and 5000'), points('rating between 1 and 5'), points('meaningful'),
              f"case when not ({held('reviewer_name')}) then 0.5e0 when {visible('reviewer_name')} then 1e0 else 0e0 end")} / 4e0 as accuracy_score,
@@ -113,7 +122,7 @@ def pricing_scores(as_of: str, source: str = "pricing") -> str:
     inside = "between 0.01 and 1000000"
     return f"""
     select *, (completeness_score + accuracy_score + consistency_score) / 3 as overall_score from (
-    select *, price_id as record_id, 'pricing' as record_type, scraped_at as evaluated_at,
+    select *, price_id as record_id, 'pricing' as record_type, date_trunc('day', scraped_at) + interval 26 hour as evaluated_at,
       {total(*[points(f'{c} is not null') for c in ('price_id', 'product_id', 'site', 'current_price', 'original_price', 'discount_percentage')], points("offers <> '[]'"))} / 7e0 as completeness_score,
       {total(points(f'current_price {inside}'), f"case when original_price is null then 0.5e0 when original_price {inside} then 1e0 else 0e0 end",
              "case when discount_percentage is null then 0.5e0 when discount_percentage between 0 and 100 then 1e0 else 0e0 end")} / 3e0 as accuracy_score,
@@ -223,7 +232,8 @@ def all_sql() -> dict[str, str]:
 # --- sources and sinks ---
 
 put("raw_landing_roundtrip", "select product_id, site, name, brand, url, in_stock, scraped_at from products", "products")
-put("raw_file_listing", "select 'products/20240125' as folder from products limit 1", "products")
+put("raw_file_listing", """select 'products/20240125' as folder, count(*) as records, true as has_bytes from products
+  union all select 'reviews/20240125', count(*), true from reviews""", "products", "reviews")
 put("upsert_products", """select product_id, name, in_stock, ingest_seq from (select *, row_number() over (partition by product_id order by ingest_seq desc) as rn from (
   select product_id, name, in_stock, ingest_seq from products union all select product_id, name, not in_stock, ingest_seq + 10000000000 from products where ingest_seq % 3 = 0) v) w where rn = 1""", "products")
 put("upsert_reviews", """select review_id, product_id, rating, ingest_seq from (select *, row_number() over (partition by review_id order by ingest_seq desc) as rn from (
@@ -361,9 +371,10 @@ put("check_completeness", f"""select tbl as "table", {r4('rate')} as avg_complet
 put("check_freshness", f"""select tbl as "table", {r4('recent / n')} as freshness_rate, recent as recent_records, n as total_checked, case when recent / n > 0.5 then 'PASS' else 'STALE' end as status from fresh""", "fresh")
 put("check_duplicate_rate", f"""select tbl as "table", n as records, d as duplicates, {r4('d / n')} as duplicate_rate, case when d / n > 0.1 then 'FAIL' else 'PASS' end as status, d / n <= 0.05 as within_target
   from (select tbl, count(*) as n, count(*) - count(distinct sig) as d from signed group by tbl) s""", "signed")
-put("check_site_coverage", """select tbl as "table", count(*) as records, case when count(*) filter (site = 'myntra') = 0 then 'myntra' else '' end as missing_sites,
-  case when count(*) filter (site = 'myntra') = 0 then 'PARTIAL' else 'PASS' end as status from signed where not (tbl = 'pricing' and site = 'myntra') group by tbl""", "signed")
-put("missing_sites", "select s.site from (values ('amazon'), ('flipkart'), ('myntra')) s(site) where s.site not in (select site from pricing where site <> 'flipkart')", "pricing")
+put("check_site_coverage", """select tbl as "table", count(*) as records, concat_ws(',', case when not bool_or(site = 'amazon') then 'amazon' end, case when not bool_or(site = 'flipkart') then 'flipkart' end,
+    case when not bool_or(site = 'myntra') then 'myntra' end) as missing_sites, case when count(distinct site) < 3 then 'PARTIAL' else 'PASS' end as status
+  from (select 'products' as tbl, site from products union all select 'reviews', site from reviews union all select 'pricing', site from pricing_gap) t group by tbl""", "products", "reviews", "pricing_gap")
+put("missing_sites", "select s.site from (values ('amazon'), ('flipkart'), ('myntra')) s(site) where s.site not in (select site from pricing_gap)", "pricing_gap")
 put("check_processing_health", f"""select case when failed / (done + failed) > 0.2 then 'FAIL' else 'PASS' end as status, {r4('done / (done + failed)')} as job_success_rate, active as active_jobs, queued as queue_size from health""", "health")
 put("job_status_counts", "select site, status, count(*) as jobs from jobs group by 1, 2", "jobs")
 put("health_metrics", f"""select {r4("avg(case status when 'PASS' then 1.0 when 'FAIL' then 0.5 when 'STALE' then 0.5 when 'PARTIAL' then 0.5 else 0 end)")} as overall_health_score, count(*) as checks,
@@ -376,7 +387,7 @@ put("quality_report_rows", f"""select "check" as check_type, status, cast({r4('m
 # --- metrics and alerts ---
 
 _LABELLED = "concat(name, '{site=', site_label, '}')"
-_COUNTERS = f"select {_LABELLED} as key, {r4('cast(sum(cast(value as decimal(18, 4))) as double)')} as value from metrics where type = 'counter' group by 1"
+_COUNTERS = f"select {_LABELLED} as key, {r4(plain_sum('value'))} as value from metrics where type = 'counter' group by 1"
 _GAUGES = f"select {_LABELLED} as key, {r4('arg_max(value, (ts, seq))')} as value from metrics where type = 'gauge' group by 1"
 _P95 = "case when n > 20 then vs[cast(floor(n * 0.95) as int) + 1] else hi end"
 put("metric_counters", _COUNTERS, "metrics")
@@ -457,13 +468,13 @@ put("weekly_trends", f"""select metric, {r4('cur')} as current_value, {r4('prev'
 ]) + ") c", "pricing_2024", "scores", "metrics", "jobs_2024")
 put("top_performing_sites", f"""select site, total_products, {r4('success')} as success_rate, {r4('quality')} as avg_quality_score, rank() over (order by success desc, quality desc, total_products desc, site) as rank
   from (select site, count(distinct product_id) as total_products, {mean('overall_score', 12)} as quality from ({product_scores(NOW)}) s group by site) q join (select site, {_SUCCESS} as success from jobs group by site) j using (site)""", "products", "jobs")
-put("recommendations", """select 'Consider implementing additional data validation rules' as recommendation where coalesce((select value from gauges where key = 'data_quality_score' and false), 0) < 0.8
+put("recommendations", """select 'Consider implementing additional data validation rules' as recommendation where coalesce((select value from gauges where key = 'data_quality_score'), 0) < 0.8
   union all select 'Monitor memory usage - consider optimizing batch sizes' where coalesce((select value from gauges where key = 'memory_usage_percentage'), 0) > 80""", "gauges")
 put("cost_report", f"""select month, n * 0.25e0 as storage_cost, n * 0.5e0 as query_cost, j * 1.5e0 as compute_cost, n * 0.25e0 + n * 0.5e0 + j * 1.5e0 as total_cost, 1515e0 - (n * 0.25e0 + n * 0.5e0 + j * 1.5e0) as remaining_budget,
   {r4('(n * 0.25e0 + n * 0.5e0 + j * 1.5e0) / 1515e0 * 100')} as utilization_percentage from (select month, cast(sum(n) as double) as n, cast(sum(j) as double) as j from (
   select cast(date_trunc('month', price_date) as date) as month, 1 as n, 0 as j from pricing union all select cast(date_trunc('month', created_at) as date), 0, 1 from jobs) u group by month) m""", "pricing", "jobs")
 put("dashboard_rows", f"""select section, metric, {r4('value')} as value from (
-  select 'current_metrics' as section, name as metric, cast(sum(cast(value as decimal(18, 4))) as double) as value from metrics where type = 'counter' group by name
+  select 'current_metrics' as section, name as metric, {plain_sum("value")} as value from metrics where type = 'counter' group by name
   union all select 'current_metrics', key, value from gauges union all select 'performance_indicators', concat('avg_', name), a from plain_timers
   union all {_figures('job_status', 'jobs_2024', running_jobs="count(*) filter (status = 'running')", queued_jobs="count(*) filter (status = 'pending')",
                       completed_today=f"count(*) filter (status = 'completed' and cast(created_at as date) = {_DAY})", failed_today=f"count(*) filter (status = 'failed' and cast(created_at as date) = {_DAY})")}
@@ -503,7 +514,11 @@ _CLEANED = f"""regexp_replace(regexp_replace({strip('text')}, '{SPACE}+', ' ', '
 put("clean_text", f"select doc_id, length(t) as length, md5(t) as digest from (select doc_id, coalesce({_CLEANED}, '') as t from documents) d")
 put("normalize_urls", r"""select row_id, concat(regexp_extract(u, '^[^?#]*'), case when kept <> '' then concat('?', kept) else '' end, regexp_extract(u, '#.*$')) as url from (
   select row_id, u, array_to_string(list_filter(string_split(regexp_extract(u, '\?([^#]*)', 1), '&'), lambda p: not regexp_matches(p, '^(utm_source|utm_medium|utm_campaign|ref|tag)(=|$)')), '&') as kept from (
-  select row_id, case when starts_with(url, 'http') then url when starts_with(url, '//') then concat('https:', url) else concat('https://www.shop.example.com', url) end as u from links) a) b""", "links")
+  select row_id, case when regexp_matches(url, '^[A-Za-z][A-Za-z0-9+.-]*:') then url when starts_with(url, '//') then concat('https:', url)
+    when url = '' or starts_with(url, '#') or starts_with(url, '?') then concat('https://www.shop.example.com/list/page.html', url)
+    else concat('https://www.shop.example.com/', array_to_string(list_reduce(list_transform(list_filter(string_split(concat(case when starts_with(path, '/') then '' else '/list/' end, path,
+      case when regexp_matches(path, '(^|/)[.]{1,2}$') then '/' else '' end), '/')[2:], lambda s: s <> '.'), lambda s: [s]), lambda x, y: case when y[1] = '..' then x[:-2] else list_concat(x, y) end, cast([] as varchar[])), '/'), rest) end as u
+  from (select row_id, url, regexp_extract(url, '^[^?#]*') as path, regexp_extract(url, '[?#].*$') as rest from links) l) a) b""", "links")
 put("pages_by_domain", r"select regexp_extract(url, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)', 1) as domain, count(*) as pages from pages group by 1")
 put("parse_review_dates", r"""select row_id, site, case when site = 'amazon' then try_strptime(nullif(regexp_extract(date_text, 'on ([0-9]{1,2} \w+ [0-9]{4})', 1), ''), '%d %B %Y')
   else coalesce(try_strptime(nullif(regexp_extract(date_text, '[0-9]{1,2} \w+ [0-9]{4}'), ''), '%d %b %Y'), try_strptime(nullif(regexp_extract(date_text, '\w+ [0-9]{1,2}, [0-9]{4}'), ''), '%b %d, %Y'),
@@ -544,7 +559,7 @@ put("stream_ingest", f"""select price_id, product_id, {r4('current_price')} as c
   from ({_counts('pricing')[0]}) s where overall_score >= {GATE['pricing']}) w where v = 1""", "pricing")
 put("stream_dedup", "select distinct user_id from fetch_log", "fetch_log")
 put("stream_metric_windows", f"""select * from (select date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval 1 hour as window_end, name, count(*) as samples,
-    {r4("cast(sum(cast(value as decimal(18, 4))) filter (type = 'counter') as double)")} as counter_sum, {r4("arg_max(value, (ts, seq)) filter (type = 'gauge')")} as gauge_last,
+    {r4(plain_sum("value", "type = 'counter'"))} as counter_sum, {r4("arg_max(value, (ts, seq)) filter (type = 'gauge')")} as gauge_last,
     {r4("min(value) filter (type = 'timer')")} as timer_min, {r4("max(value) filter (type = 'timer')")} as timer_max from metrics group by 1, 2, 3) w
   where window_end <= (select date_trunc('millisecond', max(ts)) from metrics) - interval 1 hour""", "metrics")
 put("stream_stale_users", """select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as rows from (select user_id, ts, sum(case when before is null or ts - before >= interval 24 hour then 1 else 0 end)

@@ -54,7 +54,7 @@ def daily_report(
     )
     overall = F.col("overall_score")
     judged = scores.filter(_on("evaluated_at", day)).agg(
-        exact_avg("overall_score", 12).alias("avg_quality_score"),
+        exact_avg("overall_score").alias("avg_quality_score"),
         F.count_if(overall >= 0.8).alias("high_quality_records"),
         F.count_if((overall >= 0.5) & (overall < 0.8)).alias("medium_quality_records"),
         F.count_if(overall < 0.5).alias("low_quality_records"),
@@ -139,7 +139,7 @@ def weekly_summary(
         _section(during(df, c, until).agg(F.count("*").alias(f"total_{name}")), "Summary")
         for name, (df, c, until) in tables.items()
     ]
-    judged = during(scores, "evaluated_at", end).agg(exact_avg("overall_score", 12).alias("avg_quality_score"))
+    judged = during(scores, "evaluated_at", end).agg(exact_avg("overall_score").alias("avg_quality_score"))
     uptime = during(jobs, "created_at", jobs_end).agg(_success().alias("uptime_percentage"))
     return _union([*totals, _section(judged, "Summary"), _section(uptime, "Summary")]).drop("section")
 
@@ -150,17 +150,17 @@ def weekly_trends(
 ) -> DataFrame:
     """Trend words of volume, quality, latency and failures: this week's figure against the week before."""
     def compared(df: DataFrame, c: str, until: Column, metrics: dict[str, callable]) -> DataFrame:
-        weeks = _two_weeks(df, c, until)
-        return _union([
-            weeks.agg(
+        figures = _two_weeks(df, c, until).agg(*[
+            F.struct(
                 F.lit(name).alias("metric"), figure("current").cast("double").alias("current_value"),
                 figure("previous").cast("double").alias("previous_value"),
-            )
+            ).alias(name)
             for name, figure in metrics.items()
         ])
+        return figures.select(F.inline(F.array(*metrics)))
 
-    def mean(c: str, digits: int):
-        return lambda week: exact_avg(F.when(_in(week), F.col(c)), digits)
+    def mean(c: str):
+        return lambda week: exact_avg(F.when(_in(week), F.col(c)))
 
     def failure_rate(week: str) -> Column:
         failed = F.count_if(_in(week) & (F.col("status") == "failed"))
@@ -170,10 +170,10 @@ def weekly_trends(
     parts = [
         compared(pricing, "price_date", prices_end, {"scraping_volume": lambda week: F.count_if(_in(week))}),
         compared(scores, "evaluated_at", end, {
-            f"{part}_quality": mean(f"{part}_score", 12)
+            f"{part}_quality": mean(f"{part}_score")
             for part in ("overall", "completeness", "accuracy", "consistency")
         }),
-        compared(samples.filter("type = 'timer'"), "ts", metrics_end, {"latency": mean("value", 4)}),
+        compared(samples.filter("type = 'timer'"), "ts", metrics_end, {"latency": mean("value")}),
         compared(jobs, "created_at", jobs_end, {"error_rate": failure_rate}),
     ]
     change = (F.col("current_value") - F.col("previous_value")) / F.nullif("previous_value", F.lit(0.0)) * 100
@@ -185,7 +185,7 @@ def weekly_trends(
 def top_sites(products: DataFrame, jobs: DataFrame, product_scores: DataFrame) -> DataFrame:
     """Sites ranked by job success, then quality, products and name. `product_scores` carries the site."""
     success = jobs.groupBy("site").agg(_success().alias("success_rate"))
-    quality = product_scores.groupBy("site").agg(exact_avg("overall_score", 12).alias("avg_quality_score"))
+    quality = product_scores.groupBy("site").agg(exact_avg("overall_score").alias("avg_quality_score"))
     volume = products.groupBy("site").agg(F.countDistinct("product_id").alias("total_products"))
     figures = volume.join(success, "site", "left").join(quality, "site", "left")
     # One row per site by now.

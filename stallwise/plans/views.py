@@ -8,10 +8,35 @@ from pyspark.sql import functions as F
 from stallwise.operators import ordered
 
 
-def exact_avg(c: str | Column, digits: int = 4) -> Column:
-    """Average over a decimal sum: the same on every run, whatever the order of the tasks."""
+def summable(c: str | Column) -> Column:
+    """A number with 18 decimals; NULL for NaN, infinite values and amounts of 10^20 or more."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.sum(c.cast(f"decimal(18,{digits})")).cast("double") / F.count(c)
+    return c.try_cast("decimal(38,18)")
+
+
+def exact_sum(c: str | Column) -> Column:
+    """Sum over decimals: the same on every run, whatever the order of the tasks.
+
+    Only where that sum itself passes 10^20 the plain sum of the same values takes its place.
+    """
+    return F.coalesce(F.try_sum(summable(c)).cast("double"), F.sum(summable(c).cast("double")))
+
+
+def exact_avg(c: str | Column) -> Column:
+    """Average of the values that can be summed; the others are in neither sum nor divisor."""
+    return exact_sum(c) / F.count(summable(c))
+
+
+def unsummable(c: str | Column) -> Column:
+    """How many values are left out of sums."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.count_if(c.isNotNull() & summable(c).isNull())
+
+
+def since(df: DataFrame, c: str, start: Column) -> Column:
+    """Rows from `start` on; in a table written by day also on the day, so that only those partitions are read."""
+    inside = F.col(c) >= start
+    return inside & (F.col("dt") >= F.to_date(start)) if "dt" in df.columns else inside
 
 
 def days_before(as_of: Column, days: int) -> Column:
@@ -27,7 +52,7 @@ def product_price_trends(
     Hot products are cut into time slices; the product row is repeated once per slice of its product and the join
     runs on (product_id, slice). That leaves join and window on one partitioning, with no hot task in either.
     """
-    recent = pricing.filter(F.col("price_date") >= days_before(as_of, days)).select(
+    recent = pricing.filter(since(pricing, "price_date", days_before(as_of, days))).select(
         "price_id", "product_id", "current_price", "original_price", "discount_percentage", "price_date", "ingest_seq"
     )
     keys, at, tie = ["product_id"], ordered.micros(F.col("price_date")), F.col("ingest_seq")
@@ -56,7 +81,7 @@ def product_review_summary(products: DataFrame, reviews: DataFrame) -> DataFrame
     """
     rating = F.col("rating")
     per_product = reviews.groupBy("product_id").agg(
-        F.count("review_id").alias("n"), F.sum(rating.cast("decimal(18,4)")).alias("rating_sum"),
+        F.count("review_id").alias("n"), F.sum(rating.try_cast("decimal(26,10)")).alias("rating_sum"),
         F.count("rating").alias("rating_n"), F.count_if("verified_purchase").alias("verified"),
         F.count_if(rating >= 4.0).alias("positive"), F.count_if(rating <= 2.0).alias("negative"),
         F.max("review_date").alias("latest"),
@@ -78,7 +103,7 @@ def product_review_summary(products: DataFrame, reviews: DataFrame) -> DataFrame
 def daily_scraping_summary(products: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
     described = F.coalesce(F.length("description") > 10, F.lit(False))
     return (
-        products.filter(F.col("scraped_at") >= days_before(as_of, days))
+        products.filter(since(products, "scraped_at", days_before(as_of, days)))
         .groupBy(F.to_date("scraped_at").alias("scrape_date"), "site")
         .agg(
             F.countDistinct("product_id").alias("products_scraped"),
@@ -92,14 +117,14 @@ def daily_scraping_summary(products: DataFrame, as_of: Column, days: int = 7) ->
 
 def quality_summary(scores: DataFrame, as_of: Column, days: int = 30) -> DataFrame:
     return (
-        scores.filter(F.col("evaluated_at") >= days_before(as_of, days))
+        scores.filter(since(scores, "evaluated_at", days_before(as_of, days)))
         .groupBy("record_type", F.to_date("evaluated_at").alias("evaluation_date"))
         .agg(
             F.count("*").alias("total_records"),
-            exact_avg("overall_score", 12).alias("avg_overall_score"),
-            exact_avg("completeness_score", 12).alias("avg_completeness"),
-            exact_avg("accuracy_score", 12).alias("avg_accuracy"),
-            exact_avg("consistency_score", 12).alias("avg_consistency"),
+            exact_avg("overall_score").alias("avg_overall_score"),
+            exact_avg("completeness_score").alias("avg_completeness"),
+            exact_avg("accuracy_score").alias("avg_accuracy"),
+            exact_avg("consistency_score").alias("avg_consistency"),
             F.count_if(F.col("overall_score") >= 0.8).alias("high_quality_records"),
             F.count_if(F.col("overall_score") < 0.5).alias("low_quality_records"),
         )
@@ -112,7 +137,7 @@ def _recent_prices(pricing: DataFrame, as_of: Column, days: int) -> DataFrame:
     inside = F.col("price_date").isNull() | (F.col("price_date") >= days_before(as_of, days))
 
     def money(c: str) -> Column:
-        return F.sum(F.when(inside, F.col(c)).cast("decimal(18,4)"))
+        return F.sum(F.when(inside, F.col(c)).try_cast("decimal(26,10)"))
 
     return pricing.groupBy("product_id").agg(
         F.count_if(inside).alias("prices"),
@@ -126,12 +151,12 @@ def _compared_products(products: DataFrame, pricing: DataFrame, reviews: DataFra
     """Recent products with one row of price figures and one of review figures each, and their matched review ids."""
     prices = _recent_prices(pricing, as_of, days)
     rated = reviews.groupBy("product_id").agg(
-        F.count("*").alias("reviews"), F.sum(F.col("rating").cast("decimal(18,4)")).alias("rating_sum"),
+        F.count("*").alias("reviews"), F.sum(F.col("rating").try_cast("decimal(26,10)")).alias("rating_sum"),
         F.count("rating").alias("rating_n"),
     )
     # A product whose prices are all older than the look-back drops out; one without any price stays.
     kept = (
-        products.filter(F.col("scraped_at") >= days_before(as_of, days)).select("product_id", "site", "category")
+        products.filter(since(products, "scraped_at", days_before(as_of, days))).select("product_id", "site", "category")
         .join(prices, "product_id", "left").filter(F.col("prices").isNull() | (F.col("prices") > 0))
         .join(rated, "product_id", "left")
     )
@@ -160,7 +185,7 @@ def site_comparison(
     by_prices = F.greatest(F.coalesce("prices", F.lit(0)), one) if fan_out else one
 
     def weighted(total: str, n: str, weight: Column) -> Column:
-        amount = F.sum(F.col(total).cast("decimal(24,4)") * weight.cast("decimal(12,0)"))
+        amount = F.sum(F.col(total).cast("decimal(26,10)") * weight.cast("decimal(11,0)"))
         return amount.cast("double") / F.nullif(F.sum(F.col(n) * weight), F.lit(0))
 
     figures = kept.groupBy("site", "category").agg(

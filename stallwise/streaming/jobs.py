@@ -8,16 +8,21 @@ from pyspark.sql import functions as F
 from stallwise import schemas
 from stallwise.functions import quality, text
 from stallwise.operators import dedup
+from stallwise.plans.views import exact_sum
 from stallwise.sources import staging
 
 
 def read_table(spark: SparkSession, folder: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream a table's parquet files; the folder may hold other tables too."""
-    schema = spark.read.parquet(f"{folder}/{table}.parquet").schema
-    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}*.parquet")
+    """Stream a table: a folder of part files, or one file of that name. The folder may hold other tables too."""
+    path = f"{folder.rstrip('/')}/{table}.parquet"
+    found = spark.read.parquet(path)
+    reader = spark.readStream.schema(found.schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.parquet(folder)
+    if any(file.rstrip("/").endswith(f"/{table}.parquet") for file in found.inputFiles()[:1]):
+        # A stream lists folders only: of this one, the single file by its whole name.
+        return reader.option("pathGlobFilter", f"{table}.parquet").parquet(folder)
+    return reader.parquet(path)
 
 
 def run_to_end(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
@@ -93,7 +98,7 @@ def window_rows(samples: DataFrame, width: str = "1 hour") -> DataFrame:
         samples.groupBy(F.window("ts", width).alias("w"), "name")
         .agg(
             F.count("*").alias("samples"),
-            F.sum(of("counter", "value").cast("decimal(18,4)")).cast("double").alias("counter_sum"),
+            exact_sum(of("counter", "value")).alias("counter_sum"),
             F.max_by(of("gauge", "value"), F.struct("ts", "seq")).alias("gauge_last"),
             F.min(of("timer", "value")).alias("timer_min"), F.max(of("timer", "value")).alias("timer_max"),
         )

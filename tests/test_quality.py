@@ -107,3 +107,14 @@ def test_scores_stay_between_zero_and_one(spark, rows):
     for row in quality.with_scores(df, "products", as_of()).collect():
         for part in ("completeness_score", "accuracy_score", "consistency_score", "overall_score"):
             assert 0 <= row[part] <= 1
+
+
+def test_sums_leave_out_what_no_decimal_holds(spark):
+    from pyspark.sql import functions as F
+
+    from stallwise.plans import views
+
+    rows = spark.createDataFrame([(0.00001,), (0.00002,), (None,), (float("nan"),), (float("inf"),), (1e25,)], "v double")
+    found = rows.agg(views.exact_sum("v").alias("s"), views.exact_avg("v").alias("a"), views.unsummable("v").alias("n")).first()
+    assert (round(found.s, 9), round(found.a, 9), found.n) == (0.00003, 0.000015, 3)
+    assert rows.where("v is null").agg(views.exact_avg("v").alias("a")).select(F.col("a").isNull()).first()[0]

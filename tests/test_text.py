@@ -83,6 +83,9 @@ def test_review_dates(one, shown, site, day):
     ("/dp/1", "https://s.example.com/dp/1"), ("//cdn.example.com/x", "https://cdn.example.com/x"),
     ("http://other.example.com/?utm_source=a&id=2#f", "http://other.example.com/?id=2#f"),
     ("page2?ref=x", "https://s.example.com/list/page2"), ("https://a.example.com/?reference=1&tag", "https://a.example.com/?reference=1"),
+    ("?page=2", "https://s.example.com/list/index.html?page=2"), ("#part", "https://s.example.com/list/index.html#part"),
+    ("../up", "https://s.example.com/up"), ("../../../up", "https://s.example.com/up"), ("./a/../b/.", "https://s.example.com/list/b/"),
+    ("mailto:a@b.c", "mailto:a@b.c"), ("http-guide.html", "https://s.example.com/list/http-guide.html"),
 ])
 def test_urls(one, url, made):
     base = F.lit("https://s.example.com/list/index.html")
