@@ -3,7 +3,8 @@
 Each task builds one encoder from the rank file and works text by text. A long text is cut where no match of the
 splitting pattern can reach across: before a space that follows a letter, digit or underscore. Every match begins with
 at most one space and holds no other, and only runs of white space look ahead, so the pieces give the ids of the whole.
-Decoding joins the bytes of the ids and never repairs them, so it is exact even where an id ends inside a character.
+A very long run of white space is one match of the pattern (but for its last sign, where anything follows) and goes past
+the pattern's matcher, whose stack such a run would overflow. Decoding joins the bytes of the ids and never repairs them, so it is exact even where an id ends inside a character.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from stallwise.llm import words
 # About this many characters of a long text are encoded at once.
 PIECE = 1 << 16
 SAFE = re.compile(r"(?<=\w) ")
+# The signs with Unicode's White_Space property, which are the pattern's white space.
+BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{4096,}")
 
 
 def load(path: str, pattern: str):
@@ -47,8 +50,19 @@ def pieces(text: str, size: int = PIECE) -> Iterator[str]:
     yield text[start:]
 
 
+def matches(encoder, part: str) -> Iterator[list[int]]:
+    """The ids of a piece, long runs of white space apart from what stands around them."""
+    start = 0
+    for run in BLANKS.finditer(part) if len(part) >= 4096 else ():
+        end = run.end() - (run.end() < len(part))
+        yield encoder.encode_ordinary(part[start : run.start()])
+        yield encoder._encode_single_piece(part[run.start() : end])
+        start = end
+    yield encoder.encode_ordinary(part[start:])
+
+
 def ids_of(encoder, text: str) -> np.ndarray:
-    parts = [np.asarray(encoder.encode_ordinary(part), dtype="<u4") for part in pieces(text)]
+    parts = [np.asarray(ids, dtype="<u4") for part in pieces(text) for ids in matches(encoder, part)]
     return parts[0] if len(parts) == 1 else np.concatenate(parts)
 
 
