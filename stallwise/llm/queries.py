@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import bpe, classmodel, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, vectors, words
+from stallwise.llm import alignment, bpe, classmodel, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, vectors, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -96,3 +96,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_ngram_jaccard")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks, pieces = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.digests(table(spark, sf_dir, "documents"), ranks, pieces, public_tokenizers.PATTERN)
