@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import alignment, bpe, classmodel, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, vectors, words
+from stallwise.llm import alignment, bpe, classmodel, content, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, vectors, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,6 +98,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar(table(spark, sf_dir, "documents"), k=3, percent=90)
 
 
+@query("op11_tag_path_text")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = content.with_main_text(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query("op13_token_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
