@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallwise.llm import alignment, bpe, classmodel, content, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, vectors, words
+from stallwise.llm import alignment, bpe, classmodel, content, decontamination, jaccard, licenses, personal, quality, sharding, toxicity, tries, vectors, words
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -104,6 +104,57 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+@query("op12_block_hash_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.trie(tries.shared_starts(tries.turns(table(spark, sf_dir, "conversations"))))
+
+
+# The CRC-32 of the id's digits, bit by bit; starts as digests of their turns' digests; subtrees by the smallest member's
+# starts.
+ORACLES["op12_block_hash_trie"] = r"""
+with own as (
+  select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+    row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as place
+  from conversations where conv_id is not null
+), ids as (
+  select conv_id, conv_id - conv_id % 20 as first_id, xor(4294967295, list_reduce(
+    list_prepend(4294967295::bigint, list_transform(string_split(conv_id::varchar, ''), lambda x: ascii(x)::bigint)),
+    lambda c, d: list_reduce(list_prepend(xor(c, d), [0, 0, 0, 0, 0, 0, 0, 0]::bigint[]), lambda v, z: xor(v >> 1, 3988292384 * (v & 1)))
+  )) % 4 as h
+  from (select distinct conv_id from own)
+), rebuilt as (
+  select i.conv_id, 0 as part, o.place, o.role, o.text from ids i join own o on o.conv_id = i.first_id and o.place <= i.h
+  union all
+  select o.conv_id, 1, o.place, o.role, o.text from own o join ids i using (conv_id) where o.place > i.h
+), placed as (
+  select conv_id, row_number() over (partition by conv_id order by part, place) as depth, text,
+    md5(concat(length(role), ':', role, text)) as own_key
+  from rebuilt
+), starts as (
+  select conv_id, depth, text, md5(array_to_string(list(own_key) over (partition by conv_id order by depth), ',')) as key from placed
+  union all
+  select conv_id, 0, '', '' from ids
+), linked as (
+  select *, lag(key) over w as up, lead(key) over w is null as ends from starts window w as (partition by conv_id order by depth)
+), nodes as (
+  select depth, key, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs,
+    (count(*) - 1) * any_value(len(regexp_extract_all(text, '[^ 	-]+'))) as saved,
+    sha256(coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (ends), '')) as ends_sha256
+  from linked group by depth, key
+), children as (
+  select depth - 1 as depth, up as key, count(*) as n_children from nodes where depth > 0 group by depth, up
+), weighed as (
+  select n.*, coalesce(c.n_children, 0) as n_children from nodes n left join children c using (depth, key)
+), sums as (
+  select l.depth, l.key, sum(w.saved) as saved_tokens, count(*) filter (w.n_children = 0) as n_leaves
+  from weighed w join linked l on l.conv_id = w.conv_id and l.depth <= w.depth group by l.depth, l.key
+)
+select w.conv_id, w.depth::bigint as depth, p.conv_id as parent_conv_id, w.n_convs, w.n_children, s.n_leaves,
+  s.saved_tokens::bigint as saved_tokens, w.ends_sha256
+from weighed w join sums s using (depth, key) left join weighed p on p.depth = w.depth - 1 and p.key = w.up
+"""
+
+
 @query("op13_token_alignment")
 def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
