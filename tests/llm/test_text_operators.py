@@ -124,6 +124,37 @@ def test_leaks(spark, table):
     assert all(found[i] <= want[i] for i in want)
 
 
+@pytest.mark.parametrize("n", [5, 12, 20, 33, 80, 200])
+def test_leaks_are_recalled_at_each_share_of_edits(n):
+    rng = np.random.default_rng(n)
+    word = lambda m: [f"w{x}" for x in rng.integers(0, 3000, m)]
+    items = [word(n) for _ in range(60)]
+    known = decontamination.Items(list(range(60)), [" ".join(t) for t in items])
+    for share in (0.05, 0.1, 0.15, 0.2):
+        for other in (lambda: word(1), lambda: [f"x{rng.integers(0, 10**9)}"], None):
+            texts = []
+            for item in items:
+                item = list(item)
+                for spot in sorted(rng.choice(n, int(share * n), replace=False).tolist(), reverse=True):
+                    new = other() if other else word(1)
+                    item[spot : spot + 1] = new if other else [new, [], [item[spot], *new]][int(rng.integers(0, 3))]
+                texts.append(known.sequence(decontamination.split(" ".join(word(40) + item + word(40)))))
+            found = known.find(texts)
+            assert sum(any(x["item_id"] == i for x in own) for i, own in enumerate(found)) >= 0.95 * 60
+
+
+def test_short_items_and_scripts_without_spaces(spark, table):
+    items = ["Was ist das?", "日本で一番高い山の名前は何ですか。", "ประเทศไทยมีกี่จังหวัด", "« Où est la gare ? »", "42", None, " ?! "]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [
+        (0, "Er fragt: was ist das? Nichts."), (1, "問題。日本で一番高い山の名前は、何ですか?それは富士山です。"), (2, "ก่อน ประเทศไทยมีกี่จังหวัด หลัง"),
+        (3, "elle dit “où est la gare” et part"), (4, "the answer is 42."), (5, "was das ist, 421"), (6, "日本で一番長い川は利根川です"),
+    ]
+    docs = table(rows).withColumn("leaks", F.lit("old"))
+    found = {r.doc_id: [(x.item_id, x.distance) for x in r.leaks] for r in decontamination.with_leaks(docs, bench).collect()}
+    assert found == {0: [(0, 0)], 1: [(1, 0)], 2: [(2, 0)], 3: [(3, 0)], 4: [(4, 0)], 5: [], 6: []}
+
+
 def test_leaks_without_items_or_documents(spark, table):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.with_leaks(table([(1, "a b c d e f")]), none).first().leaks == []
