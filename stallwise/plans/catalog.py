@@ -14,6 +14,7 @@ from stallwise.plans import bindings, reports, views
 from stallwise.plans.bindings import AS_OF, METRICS_AS_OF, PRICES_AS_OF, timestamp
 from stallwise.sources import export, html, landing, scratch, staging, warehouse
 from stallwise.streaming import jobs as streams
+from stallwise.streaming import silence
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -903,3 +904,16 @@ def stream_metric_windows(spark, samples, folder):
 def stream_stale_users(spark, log, folder):
     rows = streams.run_to_end(streams.active_spells(log, "user_id"), f"{folder}/out", f"{folder}/checkpoint")
     return bindings.zone_free(rows)
+
+
+@stream_query("events", "fetch_log")
+def stream_silence_alerts(spark, log, folder):
+    with silence.keyed_state(spark):
+        rows = streams.run_to_end(silence.silence_alerts(log, "user_id"), f"{folder}/out", f"{folder}/checkpoint")
+    return bindings.zone_free(rows)
+
+
+@stream_query("lineitem", "pricing")
+def stream_ingest_counts(spark, pricing, folder):
+    _, counts = streams.ingest(typed(pricing, "pricing"), "pricing", timestamp(PRICES_AS_OF), f"{folder}/out", f"{folder}/checkpoint")
+    return counts.groupBy("entity").agg(*[F.sum(c).alias(c) for c in ("rows", "processed", "duplicates", "failures")])

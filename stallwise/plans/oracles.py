@@ -562,5 +562,10 @@ put("stream_metric_windows", f"""select * from (select date_trunc('hour', ts) as
     {r4(plain_sum("value", "type = 'counter'"))} as counter_sum, {r4("arg_max(value, (ts, seq)) filter (type = 'gauge')")} as gauge_last,
     {r4("min(value) filter (type = 'timer')")} as timer_min, {r4("max(value) filter (type = 'timer')")} as timer_max from metrics group by 1, 2, 3) w
   where window_end <= (select date_trunc('millisecond', max(ts)) from metrics) - interval 1 hour""", "metrics")
+put("stream_silence_alerts", """select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as rows, max(ts) + interval 24 hour as alert_at
+  from (select user_id, ts, sum(case when before is null or ts - before > interval 24 hour then 1 else 0 end) over (partition by user_id order by ts, seq) as spell from gaps) s
+  group by user_id, spell having max(ts) + interval 24 hour < (select date_trunc('millisecond', max(ts)) from fetch_log) - interval 1 hour""", "gaps")
+put("stream_ingest_counts", f"""select 'pricing' as entity, (select count(*) from pricing) as rows, count(*) filter (overall_score >= {GATE['pricing']}) as processed,
+    (select count(*) from pricing) - count(*) as duplicates, count(*) filter (not coalesce(overall_score >= {GATE['pricing']}, false)) as failures from ({_counts('pricing')[0]}) s""", "pricing")
 put("stream_stale_users", """select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as rows from (select user_id, ts, sum(case when before is null or ts - before >= interval 24 hour then 1 else 0 end)
     over (partition by user_id order by ts, seq) as spell from gaps) s group by user_id, spell having max(ts) + interval 24 hour <= (select date_trunc('millisecond', max(ts)) from fetch_log) - interval 1 hour""", "gaps")

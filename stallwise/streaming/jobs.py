@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterator
+
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +15,7 @@ from stallwise import schemas
 from stallwise.functions import quality, text
 from stallwise.operators import dedup
 from stallwise.plans.views import exact_sum
-from stallwise.sources import staging
+from stallwise.streaming import silence
 
 
 def read_table(spark: SparkSession, folder: str, table: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -35,50 +41,83 @@ def run_to_end(df: DataFrame, path: str, checkpoint: str, mode: str = "append")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ingest_batch(
-    batch: DataFrame, batch_id: int, entity: str, as_of: Column, root: str, memory: int | None = None
-) -> None:
-    """One micro-batch: unseen rows, scores and gate; kept rows, signatures and counters to this batch's folders.
+def first_of_batch(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The first row along `order` of each `key` within a micro-batch, whatever tasks and files its rows come from.
 
-    Every output goes to a folder named after the batch and is overwritten, so a replayed batch leaves the same state.
-    Signatures are remembered for ever, or for the last `memory` batches: their folders are partitions by batch, so
-    older ones are not read.
+    Done once before the shuffle, where a key that very many rows share becomes a row per Arrow batch, and once after
+    it, where a task holds its share of the micro-batch's distinct keys.
     """
-    spark = batch.sparkSession
-    key = dedup.signature_hash(entity, as_of).alias("signature")
-    history = staging.read_or_empty(spark, f"{root}/signatures", batch.select(key, F.lit(0).cast("long").alias("batch")))
-    oldest = 0 if memory is None else batch_id - memory
-    remembered = history.filter((F.col("batch") < batch_id) & (F.col("batch") >= oldest))
-    unseen = dedup.drop_seen(batch, remembered, entity, as_of)
-    scored = quality.with_scores(unseen, entity, as_of).withColumn(
-        "kept", F.col("overall_score") >= F.lit(schemas.GATE[entity])
-    )
-    folder = f"batch={batch_id}"
-    # The scored rows are written once; signatures, kept rows and counters are read from there, not computed again.
-    scored.write.mode("overwrite").parquet(f"{root}/scored/{folder}")
-    written = spark.read.parquet(f"{root}/scored/{folder}")
-    written.select("signature").write.mode("overwrite").parquet(f"{root}/signatures/{folder}")
-    outcome = written.agg(F.count_if("kept").alias("processed"), F.count("*").alias("unique"))
-    counts = outcome.select(
-        F.lit(entity).alias("entity"), "processed", (batch.agg(F.count("*")).scalar() - F.col("unique")).alias(
-            "duplicates"), (F.col("unique") - F.col("processed")).alias("failures"),
-    )
-    counts.write.mode("overwrite").parquet(f"{root}/counts/{folder}")
+    sorting = [(c, "ascending") for c in (key, *order)]
+
+    def firsts(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        if rows.num_rows:
+            rows = rows.take(pc.sort_indices(rows, sorting, null_placement="at_start"))
+            keys = rows.column(key).combine_chunks()
+            opens = pa.concat_arrays([pa.array([True]), pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1))])
+            yield from rows.filter(opens).combine_chunks().to_batches()
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from firsts(pa.Table.from_batches([batch]))
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            yield from firsts(pa.Table.from_batches(held))
+
+    return stream.mapInArrow(each, stream.schema).repartition(key).mapInArrow(whole, stream.schema)
+
+
+def unseen(stream: DataFrame, entity: str, as_of: Column) -> DataFrame:
+    """Rows with `signature`, the first of each signature over the whole stream.
+
+    Signatures live in keyed state: a micro-batch looks up its own and adds the new ones, so its cost doesn't grow with
+    the batches before it, and none is ever forgotten. To be started within `silence.keyed_state`, which keeps state on
+    disk.
+    """
+    signed = stream.withColumn("signature", dedup.signature_hash(entity, as_of))
+    return first_of_batch(signed, "signature", dedup.ORDER[entity]).dropDuplicates(["signature"])
+
+
+def ingest_batch(fresh: DataFrame, batch_id: int, entity: str, as_of: Column, root: str) -> None:
+    """One micro-batch of unseen rows: scored and marked `kept` or not, in a folder named after the batch.
+
+    The folder is overwritten as a whole, and the rows depend on the batch's input alone, so a replay leaves the same.
+    """
+    scored = quality.with_scores(fresh, entity, as_of).withColumn("kept", F.col("overall_score") >= F.lit(schemas.GATE[entity]))
+    scored.write.mode("overwrite").parquet(f"{root}/scored/batch={batch_id}")
 
 
 def ingest(
-    stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint: str, version: list[str] | None = None,
-    memory: int | None = None,
+    stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint: str, version: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Ingest a stream; gives (kept rows, latest version of each key along `version`; counters per batch)."""
-    query = (
-        stream.writeStream.foreachBatch(lambda df, i: ingest_batch(df, i, entity, as_of, root, memory))
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
+    """Ingest a stream; gives (kept rows, latest version of each key along `version`; counters per batch).
+
+    Counters (entity, batch, rows, processed, duplicates, failures) take the number of rows read from the stream's own
+    metrics, so nothing is read again to be counted.
+    """
     spark = stream.sparkSession
-    kept = spark.read.parquet(f"{root}/scored").filter("kept").drop("kept", "signature", "batch")
-    return dedup.latest_rows(kept, schemas.PRIMARY_KEY[entity], version), spark.read.parquet(f"{root}/counts")
+    counted = stream.observe("read", F.count(F.lit(1)).alias("rows"))
+    with silence.keyed_state(spark, {"spark.sql.streaming.numRecentProgressUpdates": "1000000"}):
+        query = (
+            unseen(counted, entity, as_of).writeStream.foreachBatch(lambda df, i: ingest_batch(df, i, entity, as_of, root))
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    progress = [(p.batchId, p.observedMetrics["read"]["rows"]) for p in query.recentProgress if "read" in p.observedMetrics]
+    read = spark.createDataFrame(progress, "batch long, rows long")
+    read.write.mode("append").parquet(f"{root}/read")
+    scored = spark.read.parquet(f"{root}/scored")
+    outcome = scored.groupBy("batch").agg(F.count_if("kept").alias("processed"), F.count("*").alias("unique"))
+    # A replayed batch reads the same rows again.
+    read = spark.read.schema("batch long, rows long").parquet(f"{root}/read").groupBy("batch").agg(F.max("rows").alias("rows"))
+    filled = read.join(outcome, "batch", "left").fillna(0, ["processed", "unique"])
+    counts = filled.select(
+        F.lit(entity).alias("entity"), "batch", "rows", "processed", (F.col("rows") - F.col("unique")).alias("duplicates"),
+        (F.col("unique") - F.col("processed")).alias("failures"),
+    )
+    kept = scored.filter("kept").drop("kept", "signature", "batch")
+    return dedup.latest_rows(kept, schemas.PRIMARY_KEY[entity], version), counts
 
 
 def first_within(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
@@ -130,3 +169,6 @@ def active_spells(stream: DataFrame, key: str, delay: str = "1 hour", hours: int
 def keyed_by_text(stream: DataFrame, content: str) -> DataFrame:
     """Add the key under which two texts count as copies."""
     return stream.withColumn("copy_key", F.md5(text.strip(F.lower(content))))
+
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
+import random
 
 from pyspark.sql import functions as F
 
 from stallwise.operators import dedup, ingest
 from stallwise.plans import bindings
-from stallwise.streaming import jobs
+from stallwise.streaming import jobs, silence
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -45,17 +47,70 @@ def test_stream_ingest_equals_batch(spark, tmp_path):
     assert total.processed + total.failures == 120 and kept.count() == total.processed
 
 
+def run_ingest(spark, schema, tmp_path):
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    kept, counts = jobs.ingest(stream, "pricing", as_of(), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    return sorted(map(str, kept.collect())), sorted(map(str, counts.collect()))
+
+
 def test_replayed_batch_changes_nothing(spark, tmp_path):
     batch = price_files(spark, f"{tmp_path}/in")
-    for _ in range(2):
-        jobs.ingest_batch(batch, 0, "pricing", as_of(), f"{tmp_path}/out")
-    counts = spark.read.parquet(f"{tmp_path}/out/counts").collect()
-    assert len(counts) == 1 and counts[0].duplicates == 180
-    jobs.ingest_batch(batch, 1, "pricing", as_of(), f"{tmp_path}/out")
-    assert spark.read.parquet(f"{tmp_path}/out/counts").filter("batch = 1").first().duplicates == 300
-    # Batch 1 kept nothing new, so with a memory of one batch the rows are new again.
-    jobs.ingest_batch(batch, 2, "pricing", as_of(), f"{tmp_path}/out", memory=1)
-    assert spark.read.parquet(f"{tmp_path}/out/counts").filter("batch = 2").first().duplicates == 180
+    first = run_ingest(spark, batch.schema, tmp_path)
+    # The last batch was written, but the job died before it was committed.
+    commits = sorted((tmp_path / "checkpoint" / "commits").glob("[0-9]*"), key=lambda p: int(p.name))
+    commits[-1].unlink()
+    (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+    assert run_ingest(spark, batch.schema, tmp_path) == first
+    assert run_ingest(spark, batch.schema, tmp_path) == first
+
+
+def test_signatures_are_never_forgotten(spark, tmp_path):
+    schema = price_files(spark, f"{tmp_path}/in").schema
+    kept, _ = run_ingest(spark, schema, tmp_path)
+    # The same rows again, in files and a run of their own: all are duplicates, and nothing of earlier batches is read.
+    spark.read.parquet(f"{tmp_path}/in").coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    again, counts = run_ingest(spark, schema, tmp_path)
+    assert again == kept and "batch=3, rows=300, processed=0, duplicates=300, failures=0" in counts[-1]
+
+
+def test_first_of_a_batch_is_chosen_by_order(spark, tmp_path):
+    rows = spark.range(4000).select((F.col("id") % 7).cast("string").alias("signature"), (-F.col("id")).alias("ingest_seq"), F.array("id").alias("own"))
+    rows.repartition(5).write.parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
+    found = jobs.run_to_end(jobs.first_of_batch(stream, "signature", ["ingest_seq"]), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert sorted(r.own[0] for r in found.collect()) == list(range(3993, 4000))
+
+
+def test_a_silence_alerts_once_and_the_key_is_armed_again(spark, tmp_path):
+    def hour(h):
+        return T0 + dt.timedelta(hours=h)
+
+    files = [
+        [(1, hour(0)), (1, hour(30)), (2, hour(0)), (None, hour(1)), (3, None)], [(2, hour(24)), (1, hour(29)), (4, hour(40))], [(4, hour(64.5))],
+        [(2, hour(90)), (1, hour(90))], [(2, hour(150))],
+    ]
+    for i, rows in enumerate(files):
+        spark.createDataFrame(rows, "user_id long, ts timestamp_ntz").coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+        name = next((tmp_path / "in" / str(i)).glob("*.parquet"))
+        # Files are read in order of their times.
+        os.utime(name, (1_700_000_000 + i, 1_700_000_000 + i))
+    stream = spark.readStream.schema("user_id long, ts timestamp_ntz").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(f"{tmp_path}/in")
+    with silence.keyed_state(spark):
+        rows = jobs.run_to_end(silence.silence_alerts(stream, "user_id", "2 hours"), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    found = sorted((str(r.user_id), r.first_seen, r.last_seen, r.rows, r.alert_at) for r in rows.collect())
+    # User 2 comes back after exactly 24 hours, which is no silence yet; user 1's row of hour 29 comes late but counts.
+    spells = [("1", 0, 0, 1), ("1", 29, 30, 2), ("1", 90, 90, 1), ("2", 0, 24, 2), ("2", 90, 90, 1), ("4", 40, 40, 1), ("4", 64.5, 64.5, 1), ("None", 1, 1, 1)]
+    assert found == [(k, hour(a), hour(b), n, hour(b + 24)) for k, a, b, n in spells]
+
+
+def test_spells_join_whatever_their_order(spark):
+    rng = random.Random(4)
+    for _ in range(50):
+        times = [rng.randrange(0, 400) for _ in range(30)]
+        spells = silence.joined([(t, t, 1) for t in times], 10)
+        assert sum(n for *_, n in spells) == 30 and all(b[0] - a[1] > 10 for a, b in zip(spells, spells[1:]))
+        halves = silence.joined(silence.joined([(t, t, 1) for t in times[:15]], 10) + [(t, t, 1) for t in times[15:]], 10)
+        assert halves == spells
 
 
 def event_stream(spark, tmp_path, n=500):
