@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from stallwise.sources import scratch
 
+# Edges that a task of a turn is worth.
+EDGES = 10_000
+
 
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
@@ -28,12 +31,15 @@ def connected(edges: DataFrame) -> DataFrame:
     stars = scratch.cut(turned)
     before = _state(stars)
     while before[0]:
-        both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        # Turns over few edges write few files: each shuffle's map side has no more tasks than the edges fill.
+        parts = 1 + before[0] // EDGES
+        both = stars.union(stars.select(F.col("b").alias("a"), F.col("a").alias("b"))).coalesce(parts)
         least = both.groupBy("a").agg(F.least(F.min("b"), F.min("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
+        large = large.coalesce(parts).distinct().coalesce(parts)
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
-        stars = scratch.cut(small.where("a <> b").distinct())
+        stars = scratch.cut(small.where("a <> b").coalesce(parts).distinct().coalesce(parts))
         after = _state(stars)
         if after == before:
             break
