@@ -9,17 +9,16 @@ from stallwise import schemas
 from stallwise.operators import ordered
 
 
-def _with_gap(log: DataFrame, key: str, **limits) -> DataFrame:
-    ts = ordered.micros(F.col("ts"))
+def _with_gap(log: DataFrame, key: str, partitions: int | None) -> DataFrame:
     slim = log.select(key, "ts", "seq")
-    gapped = ordered.previous_values(slim, [key], ts, F.col("seq"), ["ts", "seq"], {"ts": "previous_ts"}, **limits)
-    return gapped.withColumn("gap_micros", ts - ordered.micros(F.col("previous_ts")))
+    gapped = ordered.previous_values(slim, [key], ["ts", "seq"], {"ts": "previous_ts"}, partitions)
+    return gapped.withColumn("gap_micros", ordered.micros(F.col("ts")) - ordered.micros(F.col("previous_ts")))
 
 
-def stale_gaps(log: DataFrame, key: str, as_of: Column, hours: int = schemas.STALE_HOURS, **limits) -> DataFrame:
+def stale_gaps(log: DataFrame, key: str, as_of: Column, hours: int = schemas.STALE_HOURS, partitions: int | None = None) -> DataFrame:
     """Times without any row for longer than `hours`, with the open one up to `as_of` (its end is NULL)."""
     longest = hours * 3_600_000_000
-    closed = _with_gap(log, key, **limits).filter(F.col("gap_micros") > longest).select(
+    closed = _with_gap(log, key, partitions).filter(F.col("gap_micros") > longest).select(
         key, F.col("previous_ts").alias("gap_start"), F.col("ts").alias("gap_end")
     )
     last = log.groupBy(key).agg(F.max("ts").alias("gap_start"))
@@ -30,11 +29,11 @@ def stale_gaps(log: DataFrame, key: str, as_of: Column, hours: int = schemas.STA
 
 
 def politeness_audit(
-    log: DataFrame, key: str = "domain", per_second: float = schemas.MAX_REQUESTS_PER_SECOND, **limits
+    log: DataFrame, key: str = "domain", per_second: float = schemas.MAX_REQUESTS_PER_SECOND, partitions: int | None = None
 ) -> DataFrame:
     """Requests per domain that came too soon after the one before, and the smallest gap in seconds."""
     shortest = int(1_000_000 / per_second)
-    return _with_gap(log, key, **limits).groupBy(key).agg(
+    return _with_gap(log, key, partitions).groupBy(key).agg(
         F.count("*").alias("requests"), F.count_if(F.col("gap_micros") < shortest).alias("too_soon"),
         (F.min("gap_micros") / 1_000_000).alias("smallest_gap"),
     )

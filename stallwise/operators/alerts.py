@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from stallwise import schemas
 from stallwise.operators import ordered
-from stallwise.sources import scratch
 
 RULE_FIELDS = ["metric", "threshold", "operator", "severity", "message"]
 
@@ -51,10 +50,10 @@ def active(gauges: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def history(samples: DataFrame, rules: DataFrame, **limits) -> DataFrame:
+def history(samples: DataFrame, rules: DataFrame, partitions: int | None = None) -> DataFrame:
     """Episodes per rule: from the first sample that meets it to the next that does not (NULL while it lasts).
 
-    A handful of rules means every group is hot, so both looks along the samples use the sliced windows.
+    A handful of rules means every group is hot, so both looks along the samples are windows over ranges.
     """
     checked = (
         samples.filter("type = 'gauge'").select(F.col("name").alias("metric"), "ts", "seq", "value")
@@ -62,14 +61,12 @@ def history(samples: DataFrame, rules: DataFrame, **limits) -> DataFrame:
         .withColumn("breach", holds(F.col("value"), F.col("threshold"), F.col("operator")))
         .select("rule_name", "metric", "severity", "ts", "seq", "value", "breach")
     )
-    along = (["rule_name"], ordered.micros(F.col("ts")), F.col("seq"), ["ts", "seq"])
-    turns = ordered.previous_values(checked, *along, {"breach": "was"}, **limits).filter(
+    along = (["rule_name"], ["ts", "seq"])
+    turns = ordered.previous_values(checked, *along, {"breach": "was"}, partitions).filter(
         F.col("breach") != F.coalesce("was", F.lit(False))
     ).drop("was")
-    # The second look reads the turns several times; they are few next to the samples they come from.
-    turns = scratch.cut(turns)
     return (
-        ordered.next_values(turns, *along, {"ts": "resolved_at"}, **limits).filter("breach")
+        ordered.next_values(turns, *along, {"ts": "resolved_at"}, partitions).filter("breach")
         .select(
             "rule_name", "metric", "severity", F.col("value").alias("current_value"), F.col("ts").alias("started_at"),
             F.col("seq").alias("started_seq"), "resolved_at",

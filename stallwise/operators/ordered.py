@@ -1,133 +1,81 @@
-"""Previous row, next row and row number per key, safe for keys that hold a large share of all rows.
-
-A plain window sends each key to one task. Here keys above a share of all rows are cut into ordered slices at
-percentiles of the order column (and, where one order value alone is that frequent, at even steps of the tie-break
-number). The window runs per (key, slice); the value that crosses a slice boundary comes from one summary row per
-slice. Keys below the share keep a single slice, so ordinary data pays for one key count only.
+"""Previous row, next row and row number per key, whatever share of all rows a key holds.
+
+A plain window sends each key to one task. Here the rows are range-partitioned along (keys, order) instead, so tasks get
+equal shares: a key with ten times the rows lies in ten times the tasks, and even rows of one key and moment are parted
+by the rest of the order. The window then runs per (partition, key). What crosses a boundary is the end of the partition
+before: one small row per partition, carried along all of them. The frame is read twice, once to choose the ranges and
+once to deal the rows out; the dealt rows are cut, so that both the window and the boundaries see the same partitions,
+also after an executor was lost.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than 1/HOT_SHARE of all rows, so there are fewer than HOT_SHARE hot keys.
-HOT_SHARE = 1000
-HOT_ROWS = 1_000_000
-CUTS = 64
-TIE_BLOCKS = 16
-SLICE = "_slice"
+from stallwise.sources import scratch
+
+PART = "_part"
 
 
 def micros(c: Column) -> Column:
     return F.unix_micros(c.cast("timestamp"))
 
 
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS, share: int = HOT_SHARE) -> DataFrame:
-    """Keys with at least `hot_rows` rows and more than 1/`share` of all rows: fewer than `share` of them."""
-    total = df.agg(F.count(F.lit(1))).scalar()
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.filter((F.col("_n") >= hot_rows) & (F.col("_n") * share > total)).select(*keys)
+def lined_up(df: DataFrame, keys: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """Rows dealt to `partitions` ranges (None: as the session shuffles) of (keys, order), numbered in `_part`."""
+    along = [*keys, *order]
+    dealt = df.repartitionByRange(partitions, *along) if partitions else df.repartitionByRange(*along)
+    return scratch.cut(dealt.withColumn(PART, F.spark_partition_id()))
 
 
-def slice_marks(
-    df: DataFrame, keys: list[str], at: Column, tie: Column, hot_rows: int = HOT_ROWS, share: int = HOT_SHARE
-) -> DataFrame:
-    """One row per hot key: where its rows are cut. Mergeable digests, bounded by the number of hot keys."""
-    hot = F.broadcast(hot_keys(df, keys, hot_rows, share))
-    cuts = F.percentile_approx(at, [i / CUTS for i in range(1, CUTS)], 10_000)
-    return df.join(hot, keys, "left_semi").groupBy(*keys).agg(
-        cuts.alias("_cuts"), F.min(tie).alias("_lo"), F.max(tie).alias("_hi")
-    )
+def _ends(rows: DataFrame, keys: list[str], order: list[str], kept: list[str], first: bool = False) -> DataFrame:
+    """(_part, _end): keys and `kept` columns of each partition's last row, or its first."""
+    pick = F.min_by if first else F.max_by
+    own = F.struct(*[F.col(c).alias(f"key_{i}") for i, c in enumerate(keys)], *kept)
+    return rows.groupBy(PART).agg(pick(own, F.struct(*keys, *order)).alias("_end"))
 
 
-def with_slices(df: DataFrame, keys: list[str], at: Column, tie: Column, marks: DataFrame) -> DataFrame:
-    """Number each row's slice. The number never falls along (at, tie), so slices are in row order."""
-    position = F.size(F.filter(F.col("_cuts"), lambda cut: cut < at))
-    step = F.floor((tie - F.col("_lo")) / (F.col("_hi") - F.col("_lo") + 1.0) * TIE_BLOCKS)
-    block = F.when(F.array_contains("_cuts", at), 1 + F.least(step, F.lit(TIE_BLOCKS - 1))).otherwise(0)
-    number = F.when(F.col("_cuts").isNotNull(), position * (TIE_BLOCKS + 1) + F.coalesce(block, F.lit(0))).otherwise(0)
-    # The broadcast side has fewer than HOT_SHARE rows of CUTS numbers.
-    return (
-        df.join(F.broadcast(marks), keys, "left")
-        .withColumns({SLICE: number.cast("long"), "_hot": F.col("_cuts").isNotNull()})
-        .drop("_cuts", "_lo", "_hi")
-    )
+def _same_key(keys: list[str], end: str = "_carried") -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"{end}.key_{i}")) for i, c in enumerate(keys)])
 
 
-def _shifted(df: DataFrame, keys, at, tie, order, values: dict[str, str], ahead: bool, hot_rows, share) -> DataFrame:
-    marks = slice_marks(df, keys, at, tie, hot_rows, share)
-    sliced = with_slices(df, keys, at, tie, marks)
-    return shifted_within_slices(sliced, keys, order, values, ahead).drop(SLICE, "_hot")
+def _shifted(df: DataFrame, keys, order, values: dict[str, str], ahead: bool, partitions) -> DataFrame:
+    rows = lined_up(df, keys, order, partitions)
+    # One row per partition, so a single task can look along them and every task can hold them.
+    along = W.orderBy(F.col(PART).desc() if ahead else F.col(PART).asc())
+    carried = _ends(rows, keys, order, list(values), ahead).select(PART, F.lag("_end").over(along).alias("_carried"))
+    window = W.partitionBy(PART, *keys).orderBy(*[F.col(c).desc() if ahead else F.col(c).asc() for c in order])
+    moved = rows.withColumns({alias: F.lag(c).over(window) for c, alias in values.items()} | {"_first": F.row_number().over(window) == 1})
+    crossing = {alias: F.when(F.col("_first"), F.when(_same_key(keys), F.col("_carried")[c])).otherwise(F.col(alias)) for c, alias in values.items()}
+    return moved.join(F.broadcast(carried), PART, "left").withColumns(crossing).drop(PART, "_first", "_carried")
 
 
-def shifted_within_slices(
-    sliced: DataFrame, keys: list[str], order: list[str], values: dict[str, str], ahead: bool = False,
-    slices: DataFrame | None = None,
-) -> DataFrame:
-    """Shift values by one row along `order`, given rows that carry their slice.
-
-    `slices` is where the boundary rows are read from; pass it when it can be cheaper than `sliced`.
-    """
-    source = sliced if slices is None else slices
-    group = [*keys, SLICE]
-    directions = [F.col(c).desc() if ahead else F.col(c).asc() for c in order]
-    window = W.partitionBy(*group).orderBy(*directions)
-    pick = F.min_by if ahead else F.max_by
-    boundary = pick(F.struct(*[F.col(c) for c in values]), F.struct(*[F.col(c) for c in order]))
-    slice_order = F.col(SLICE).desc() if ahead else F.col(SLICE).asc()
-    # At most CUTS * (TIE_BLOCKS + 1) rows for each of the hot keys.
-    edges = (
-        source.filter("_hot").groupBy(*group).agg(boundary.alias("_end"))
-        .withColumn("_carried", F.lag("_end").over(W.partitionBy(*keys).orderBy(slice_order)))
-        .drop("_end")
-    )
-    rows = sliced.withColumns(
-        {alias: F.lag(c).over(window) for c, alias in values.items()}
-        | {"_first": F.row_number().over(window) == 1}
-    )
-    carried = {
-        alias: F.when(F.col("_first"), F.col("_carried")[c]).otherwise(F.col(alias)) for c, alias in values.items()
-    }
-    return rows.join(edges, group, "left").withColumns(carried).drop("_first", "_carried")
-
-
-def previous_values(
-    df: DataFrame, keys: list[str], at: Column, tie: Column, order: list[str], values: dict[str, str],
-    hot_rows: int = HOT_ROWS, share: int = HOT_SHARE,
-) -> DataFrame:
+def previous_values(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], partitions: int | None = None) -> DataFrame:
     """Add, for each `column: alias`, the column's value in the previous row of the same key along `order`.
 
-    `at` is the leading order column as a whole number and `tie` a number that orders rows with equal `at`.
+    Rows with equal keys and order stand in any order among themselves: end `order` with a tie-break.
     """
-    return _shifted(df, keys, at, tie, order, values, False, hot_rows, share)
+    return _shifted(df, keys, order, values, False, partitions)
 
 
-def next_values(
-    df: DataFrame, keys: list[str], at: Column, tie: Column, order: list[str], values: dict[str, str],
-    hot_rows: int = HOT_ROWS, share: int = HOT_SHARE,
-) -> DataFrame:
+def next_values(df: DataFrame, keys: list[str], order: list[str], values: dict[str, str], partitions: int | None = None) -> DataFrame:
     """Like `previous_values`, looking at the next row."""
-    return _shifted(df, keys, at, tie, order, values, True, hot_rows, share)
-
-
-def row_numbers(
-    df: DataFrame, keys: list[str], at: Column, tie: Column, order: list[str], alias: str = "row_number",
-    hot_rows: int = HOT_ROWS, share: int = HOT_SHARE,
-) -> DataFrame:
-    """Number each key's rows from 1 along `order`: the number within the slice plus the size of the slices before."""
-    marks = slice_marks(df, keys, at, tie, hot_rows, share)
-    sliced = with_slices(df, keys, at, tie, marks)
-    group = [*keys, SLICE]
-    before = W.partitionBy(*keys).orderBy(SLICE).rowsBetween(W.unboundedPreceding, -1)
-    offsets = (
-        sliced.filter("_hot").groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
-        .withColumn("_before", F.sum("_size").over(before)).drop("_size")
-    )
-    numbered = sliced.withColumn("_local", F.row_number().over(W.partitionBy(*group).orderBy(*order)))
-    return (
-        numbered.join(offsets, group, "left")
-        .withColumn(alias, F.col("_local") + F.coalesce(F.col("_before"), F.lit(0)))
-        .drop(SLICE, "_hot", "_local", "_before")
-    )
+    return _shifted(df, keys, order, values, True, partitions)
+
+
+def row_numbers(df: DataFrame, keys: list[str], order: list[str], alias: str = "row_number", partitions: int | None = None) -> DataFrame:
+    """Number each key's rows from 1 along `order`: the number within the partition plus the key's rows in those before."""
+    rows = lined_up(df, keys, order, partitions)
+    ends = F.broadcast(_ends(rows, keys, order, []))
+    # Of each partition only its last key can go on in the next.
+    tails = rows.join(ends, PART).where(_same_key(keys, "_end")).groupBy(PART, "_end").agg(F.count(F.lit(1)).alias("_rows"))
+    so_far = F.sum("_rows").over(W.partitionBy("_end").orderBy(PART))
+    carried = tails.select(PART, F.struct("_end.*", so_far.alias("rows")).alias("_end"))
+    carried = carried.select(PART, F.lag("_end").over(W.orderBy(PART)).alias("_carried"))
+    numbered = rows.withColumn(alias, F.row_number().over(W.partitionBy(PART, *keys).orderBy(*order)))
+    before = F.when(_same_key(keys), F.col("_carried.rows")).otherwise(0)
+    return numbered.join(F.broadcast(carried), PART, "left").withColumn(alias, F.col(alias) + F.coalesce(before, F.lit(0))).drop(PART, "_carried")

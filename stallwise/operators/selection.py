@@ -59,7 +59,7 @@ def few_reviews(products: DataFrame, reviews: DataFrame, wanted: int = 3) -> Dat
     )
 
 
-def assign_batches(df: DataFrame, key: str, at: str = "ingest_seq", size: int = 100, **limits) -> DataFrame:
+def assign_batches(df: DataFrame, key: str, at: str = "ingest_seq", size: int = 100, partitions: int | None = None) -> DataFrame:
     """Number each key's rows in groups of `size` along `at`."""
-    numbered = ordered.row_numbers(df, [key], F.col(at).cast("long"), F.lit(0), [at], "_position", **limits)
+    numbered = ordered.row_numbers(df, [key], [at], "_position", partitions)
     return numbered.withColumn("batch", F.floor((F.col("_position") - 1) / size)).drop("_position")

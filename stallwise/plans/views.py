@@ -44,30 +44,20 @@ def days_before(as_of: Column, days: int) -> Column:
 
 
 def product_price_trends(
-    products: DataFrame, pricing: DataFrame, as_of: Column, days: int = 30,
-    hot_rows: int = ordered.HOT_ROWS, share: int = ordered.HOT_SHARE,
+    products: DataFrame, pricing: DataFrame, as_of: Column, days: int = 30, partitions: int | None = None
 ) -> DataFrame:
     """Each price of the last `days` with the product's price before it and the change.
 
-    Hot products are cut into time slices; the product row is repeated once per slice of its product and the join
-    runs on (product_id, slice). That leaves join and window on one partitioning, with no hot task in either.
+    The look back runs on the prices alone, over ranges of (product, time), before the product's columns are joined on:
+    products are keyed by product_id, so a price has the same row before it on either side of the join, and the join has
+    no order to keep, so adaptive execution may split a product with very many prices.
     """
     recent = pricing.filter(since(pricing, "price_date", days_before(as_of, days))).select(
         "price_id", "product_id", "current_price", "original_price", "discount_percentage", "price_date", "ingest_seq"
     )
-    keys, at, tie = ["product_id"], ordered.micros(F.col("price_date")), F.col("ingest_seq")
-    marks = ordered.slice_marks(recent, keys, at, tie, hot_rows, share)
-    sliced = ordered.with_slices(recent, keys, at, tie, marks)
-    # At most CUTS * (TIE_BLOCKS + 1) slices for each of the hot products.
-    hot_slices = sliced.filter("_hot").select("product_id", ordered.SLICE).distinct()
-    spread = (
-        products.select("product_id", "name", "brand", "category", "site")
-        .join(hot_slices, "product_id", "left").fillna(0, [ordered.SLICE])
-    )
-    priced = spread.join(sliced, ["product_id", ordered.SLICE])
     order = ["price_date", "ingest_seq", "price_id", "current_price"]
-    trends = ordered.shifted_within_slices(priced, keys, order, {"current_price": "previous_price"})
-    return trends.select(
+    trends = ordered.previous_values(recent, ["product_id"], order, {"current_price": "previous_price"}, partitions)
+    return products.select("product_id", "name", "brand", "category", "site").join(trends, "product_id").select(
         "product_id", "name", "brand", "category", "site", "price_id", "current_price", "original_price",
         "discount_percentage", "price_date", "previous_price",
         (F.col("current_price") - F.col("previous_price")).alias("price_change"),

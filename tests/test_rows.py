@@ -9,6 +9,7 @@ from itertools import groupby
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stallwise.operators import activity, dedup, ingest, ordered, selection
@@ -79,55 +80,59 @@ def skewed_log(seed: int, n: int = 400):
     return rows
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 20, "share": 10}, {"hot_rows": 1, "share": 10_000}])
+@pytest.mark.parametrize("partitions", [None, 1, 7, 60])
 @pytest.mark.parametrize("seed", [1, 2])
-def test_ordered_windows_equal_brute_force(spark, limits, seed):
+def test_ordered_windows_equal_brute_force(spark, partitions, seed):
     rows = skewed_log(seed)
+    # A NULL is a key like any other.
+    rows = [(None if k == "e" else k, *rest) for k, *rest in rows]
     df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, seq long, v long").repartition(5)
-    along = (["k"], ordered.micros(F.col("ts")), F.col("seq"), ["ts", "seq"])
+    along = (["k"], ["ts", "seq"])
     previous, following, position = {}, {}, {}
-    for _, group in groupby(sorted(rows), key=lambda r: r[0]):
+    for _, group in groupby(sorted(rows, key=lambda r: (str(r[0]), r[1:])), key=lambda r: r[0]):
         group = list(group)
         for i, r in enumerate(group):
             previous[r[2]] = group[i - 1][3] if i else None
             following[r[2]] = group[i + 1][3] if i + 1 < len(group) else None
             position[r[2]] = i + 1
-    back = ordered.previous_values(df, *along, {"v": "other"}, **limits)
+    back = ordered.previous_values(df, *along, {"v": "other"}, partitions)
     assert {r.seq: r.other for r in back.collect()} == previous
-    ahead = ordered.next_values(df, *along, {"v": "other"}, **limits)
+    ahead = ordered.next_values(df, *along, {"v": "other"}, partitions)
     assert {r.seq: r.other for r in ahead.collect()} == following
-    numbered = ordered.row_numbers(df, *along, "at", **limits)
+    numbered = ordered.row_numbers(df, *along, "at", partitions)
     assert {r.seq: r["at"] for r in numbered.collect()} == position
+    assert back.columns == [*df.columns, "other"] and numbered.columns == [*df.columns, "at"]
+    empty = df.where("false")
+    assert ordered.row_numbers(empty, *along).count() == ordered.next_values(empty, *along, {"v": "o"}).count() == 0
 
 
-def test_hot_key_is_cut_into_many_slices_in_row_order(spark):
-    rows = skewed_log(3, 2000)
-    df = spark.createDataFrame(rows, "k string, ts timestamp_ntz, seq long, v long")
-    at, tie = ordered.micros(F.col("ts")), F.col("seq")
-    marks = ordered.slice_marks(df, ["k"], at, tie, 500, 3)
-    assert [r.k for r in marks.collect()] == ["hot"]
-    sliced = ordered.with_slices(df, ["k"], at, tie, marks).orderBy("k", "ts", "seq").collect()
-    hot = [r["_slice"] for r in sliced if r.k == "hot"]
-    assert hot == sorted(hot) and len(set(hot)) > 40
-    assert max(hot.count(s) for s in set(hot)) < len(hot) / 10
-    assert {r["_slice"] for r in sliced if r.k != "hot"} == {0}
+def test_tasks_get_equal_shares_whatever_the_keys(spark):
+    # Key 1 has ten times the rows of key 0, most of them at one moment, and a third key has a few.
+    rows = [(0, T0 + dt.timedelta(minutes=i), i) for i in range(300)] + [(1, T0, i) for i in range(3000)] + [(2, T0, i) for i in range(5)]
+    df = spark.createDataFrame(rows, "k long, ts timestamp_ntz, seq long").repartition(6)
+    parts = ordered.lined_up(df, ["k"], ["ts", "seq"], 66)
+    slices = {r.k: r.n for r in parts.groupBy("k").agg(F.count_distinct(ordered.PART).alias("n")).collect()}
+    assert 4 <= slices[0] <= 8 and 50 <= slices[1] <= 62 and slices[2] <= 2
+    assert max(r["count"] for r in parts.groupBy(ordered.PART).count().collect()) < 150
 
 
-def test_price_trends_with_and_without_slices(spark):
+def test_price_trends_over_many_ranges(spark):
     rng = random.Random(5)
     rows = [("hot" if rng.random() < 0.7 else rng.choice("ab"), rng.randrange(20), rng.randrange(1, 90)) for _ in range(300)]
     pricing = prices(spark, rows)
     products = spark.createDataFrame(
-        [(p, p, "x", "books", "amazon") for p in ("hot", "a", "b", "none", "a")],
+        [(p, p, "x", "books", "amazon") for p in ("hot", "a", "none")],
         "product_id string, name string, brand string, category string, site string",
     )
-    plain = views.product_price_trends(products, pricing, as_of())
-    sliced = views.product_price_trends(products, pricing, as_of(), hot_rows=10, share=5)
-    columns = ["product_id", "price_id", "current_price", "previous_price", "price_change"]
-    # Product a is listed twice, so its rows come twice; their order among themselves is free.
-    both = [sorted(map(str, df.filter("product_id <> 'a'").select(*columns).collect())) for df in (plain, sliced)]
-    assert both[0] == both[1] and len(both[0]) > 200
-    assert plain.count() == sliced.count()
+    found = [
+        sorted(map(str, views.product_price_trends(products, pricing, as_of(), partitions=n).collect())) for n in (1, 40)
+    ]
+    assert found[0] == found[1] and len(found[0]) > 200
+    window = W.partitionBy("product_id").orderBy("price_date", "ingest_seq", "price_id", "current_price")
+    plain = pricing.filter(views.since(pricing, "price_date", views.days_before(as_of(), 30))).withColumn("previous_price", F.lag("current_price").over(window))
+    plain = plain.where("product_id <> 'b'").select("price_id", "current_price", "previous_price")
+    trends = views.product_price_trends(products, pricing, as_of(), partitions=40).select("price_id", "current_price", "previous_price")
+    assert sorted(map(str, plain.collect())) == sorted(map(str, trends.collect()))
 
 
 def test_gaps_and_politeness(spark):
@@ -160,8 +165,8 @@ def test_selection(spark):
 
 def test_batches_of_a_hot_site(spark):
     df = spark.range(1050).select(F.when(F.col("id") < 50, "b").otherwise("a").alias("site"), F.col("id").alias("ingest_seq"))
-    for limits in ({}, {"hot_rows": 100, "share": 4}):
-        out = selection.assign_batches(df, "site", **limits).groupBy("site", "batch").count().collect()
+    for partitions in (None, 30):
+        out = selection.assign_batches(df, "site", partitions=partitions).groupBy("site", "batch").count().collect()
         assert {(r.site, r.batch): r["count"] for r in out} == {("a", i): 100 for i in range(10)} | {("b", 0): 50}
 
 

@@ -159,14 +159,14 @@ def test_alerts(spark):
         alerts.rules_frame(spark, {"bad": {"metric": "x"}})
 
 
-@pytest.mark.parametrize("limits", [{}, {"hot_rows": 1, "share": 100}])
-def test_alert_episodes(spark, limits):
+@pytest.mark.parametrize("partitions", [None, 25])
+def test_alert_episodes(spark, partitions):
     values = [1, 20, 30, 5, 6, 40, 50]
     df = samples(spark, [(i, "error_rate", v, "gauge", None) for i, v in enumerate(values)])
-    found = alerts.history(df, alerts.rules_frame(spark), **limits).orderBy("started_seq").collect()
+    found = alerts.history(df, alerts.rules_frame(spark), partitions).orderBy("started_seq").collect()
     ends = [None if r.resolved_at is None else (r.resolved_at - T0).seconds for r in found]
     assert [(r.started_seq, r.current_value) for r in found] == [(1, 20.0), (5, 40.0)] and ends == [3, None]
-    episodes = alerts.history(df, alerts.rules_frame(spark), **limits)
+    episodes = alerts.history(df, alerts.rules_frame(spark), partitions)
     assert [r.started_seq for r in alerts.recent(episodes, 1).collect()] == [5]
     assert tuple(alerts.summary(episodes).first())[1:] == ("HIGH", 2, 1)
 
