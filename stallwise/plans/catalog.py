@@ -202,19 +202,48 @@ def process_all_pending(spark, products, reviews, pricing):
     root = scratch.new_folder(spark, "load")
     tables = {"products": products, "reviews": reviews, "pricing": pricing}
     for name, df in tables.items():
-        staging.append(df, f"{root}/staging/{name}")
+        warehouse.stage(df, root, name)
     first = warehouse.process_all_pending(spark, root)
-    staging.append(_changed(products, "in_stock", ~F.col("in_stock")), f"{root}/staging/products")
+    warehouse.stage(_changed(products, "in_stock", ~F.col("in_stock")), root, "products")
     second = warehouse.process_all_pending(spark, root)
     rows = [(t, first[t], second[t]) for t in tables]
     marked = spark.createDataFrame(rows, "table string, first_round long, second_round long")
     in_target = checks._union([
-        warehouse.read(spark, f"{root}/warehouse/{t}").agg(F.lit(t).alias("table"), F.count("*").alias("target_rows"))
+        warehouse.read_versions(spark, root, t).agg(F.lit(t).alias("table"), F.count("*").alias("target_rows"))
         for t in tables
     ])
     return marked.join(in_target, "table")
 
 
+def _loaded(spark, products) -> str:
+    """Four staged batches of products in three loads, compacted after the second: the root of the tables."""
+    root = scratch.new_folder(spark, "load")
+    for part in (0, 1):
+        warehouse.stage(products.filter(F.col("ingest_seq") % 2 == part), root, "products")
+    warehouse.load_pending(spark, root, "products", batches=1)
+    warehouse.load_pending(spark, root, "products")
+    warehouse.compact(spark, root, "products")
+    warehouse.stage(_changed(products, "in_stock", ~F.col("in_stock")), root, "products")
+    # Late rows: older than what is loaded, so they change nothing.
+    warehouse.stage(products.filter("ingest_seq % 5 = 0").withColumns({"name": F.lit("late"), "ingest_seq": F.col("ingest_seq") - 1_000_000_000}), root, "products")
+    warehouse.load_pending(spark, root, "products")
+    return root
+
+
+@query("products")
+def current_after_loads(spark, products):
+    """Merge on read: the latest version of each product over a base and a delta."""
+    rows = warehouse.read_current(spark, _loaded(spark, products), "products")
+    return rows.select("product_id", "name", "in_stock", F.array_join("images", "|").alias("images"), "ingest_seq", "dt")
+
+
+@query("products")
+def loaded_versions(spark, products):
+    """The row versions in the warehouse, each with its load."""
+    rows = warehouse.read_versions(spark, _loaded(spark, products), "products")
+    return rows.select("load", "product_id", "in_stock", "ingest_seq")
+
+
 @query("products")
 def retention_cleanup(spark, products):
     latest, ledger = _staged(products)

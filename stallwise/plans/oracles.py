@@ -254,6 +254,14 @@ put("process_all_pending", """select 'products' as "table", count(distinct produ
     count(distinct product_id) + (select count(*) from products where ingest_seq % 3 = 0) as target_rows from products
   union all select 'reviews', count(distinct review_id), 0, count(distinct review_id) from reviews
   union all select 'pricing', count(distinct price_id), 0, count(distinct price_id) from pricing""", "products", "reviews", "pricing")
+put("current_after_loads", """select product_id, name, in_stock, array_to_string(from_json(images, '["VARCHAR"]'), '|') as images, ingest_seq, cast(scraped_at as date) as dt
+  from (select *, row_number() over (partition by product_id order by ingest_seq desc) as rn from (select product_id, name, in_stock, images, ingest_seq, scraped_at from products
+    union all select product_id, name, not in_stock, images, ingest_seq + 10000000000, scraped_at from products where ingest_seq % 3 = 0) v) w where rn = 1""", "products")
+# The first two loads are merged to the base, entry 5 of the manifest; the third load, entry 8, holds the later of its versions of each key.
+put("loaded_versions", """select 5 as load, product_id, in_stock, ingest_seq from (select *, row_number() over (partition by product_id order by ingest_seq desc) as rn from products) p where rn = 1
+  union all select 8, product_id, in_stock, ingest_seq from (select *, row_number() over (partition by product_id order by ingest_seq desc) as rn from (
+    select product_id, not in_stock as in_stock, ingest_seq + 10000000000 as ingest_seq from products where ingest_seq % 3 = 0
+    union all select product_id, in_stock, ingest_seq - 1000000000 from products where ingest_seq % 5 = 0) v) w where rn = 1""", "products")
 put("retention_cleanup", """select * from (select product_id, scraped_at, (ingest_seq % 2 = 0 and ingest_seq < 10000000000) as processed from latest) l
   where not (processed and scraped_at < timestamp '2024-01-11')""", "latest")
 put("metrics_export", """select strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, name as metric, value, type, concat('{"site":"', site_label, '"}') as labels from metrics""", "metrics")

@@ -64,6 +64,22 @@ def product_price_trends(
     )
 
 
+def part_sums(c: str, name: str, where: Column | None = None) -> list[Column]:
+    """Of one group: the exact sum, the plain one for where that overflows, and the number of values that can be summed."""
+    value = summable(c) if where is None else F.when(where, summable(c))
+    return [F.try_sum(value).alias(f"{name}_exact"), F.sum(value.cast("double")).alias(f"{name}_plain"), F.count(value).alias(f"{name}_n")]
+
+
+def average_of_parts(name: str, weight: Column | None = None) -> Column:
+    """The average over the groups of `part_sums`, each group counting `weight` times; NULL where nothing can be summed."""
+    exact, plain, n = F.col(f"{name}_exact"), F.col(f"{name}_plain"), F.col(f"{name}_n")
+    if weight is not None:
+        # Wide enough for the product; what isn't leaves the exact sum.
+        exact, plain, n = exact.try_cast("decimal(27,10)") * weight.try_cast("decimal(10,0)"), plain * weight, n * weight
+    whole = F.count_if((n > 0) & exact.isNull()) == 0
+    return F.coalesce(F.when(whole, F.try_sum(exact).cast("double")), F.sum(plain)) / F.nullif(F.sum(n), F.lit(0))
+
+
 def product_review_summary(products: DataFrame, reviews: DataFrame) -> DataFrame:
     """Review figures per product; products without reviews stay.
 
@@ -71,8 +87,7 @@ def product_review_summary(products: DataFrame, reviews: DataFrame) -> DataFrame
     """
     rating = F.col("rating")
     per_product = reviews.groupBy("product_id").agg(
-        F.count("review_id").alias("n"), F.sum(rating.try_cast("decimal(26,10)")).alias("rating_sum"),
-        F.count("rating").alias("rating_n"), F.count_if("verified_purchase").alias("verified"),
+        F.count("review_id").alias("n"), *part_sums("rating", "rating"), F.count_if("verified_purchase").alias("verified"),
         F.count_if(rating >= 4.0).alias("positive"), F.count_if(rating <= 2.0).alias("negative"),
         F.max("review_date").alias("latest"),
     )
@@ -83,8 +98,7 @@ def product_review_summary(products: DataFrame, reviews: DataFrame) -> DataFrame
         return F.coalesce(F.sum(c), F.lit(0))
 
     return joined.groupBy(*keys).agg(
-        total("n").alias("total_reviews"),
-        (F.sum("rating_sum").cast("double") / F.nullif(F.sum("rating_n"), F.lit(0))).alias("avg_rating"),
+        total("n").alias("total_reviews"), average_of_parts("rating").alias("avg_rating"),
         total("verified").alias("verified_reviews"), total("positive").alias("positive_reviews"),
         total("negative").alias("negative_reviews"), F.max("latest").alias("latest_review_date"),
     )
@@ -122,37 +136,32 @@ def quality_summary(scores: DataFrame, as_of: Column, days: int = 30) -> DataFra
     )
 
 
-def _recent_prices(pricing: DataFrame, as_of: Column, days: int) -> DataFrame:
-    """Per product: the price rows in the look-back, and whether rows exist at all."""
-    inside = F.col("price_date").isNull() | (F.col("price_date") >= days_before(as_of, days))
-
-    def money(c: str) -> Column:
-        return F.sum(F.when(inside, F.col(c)).try_cast("decimal(26,10)"))
-
-    return pricing.groupBy("product_id").agg(
-        F.count_if(inside).alias("prices"),
-        money("current_price").alias("price_sum"), F.count(F.when(inside, F.col("current_price"))).alias("price_n"),
-        money("discount_percentage").alias("discount_sum"),
-        F.count(F.when(inside, F.col("discount_percentage"))).alias("discount_n"),
-    )
-
-
 def _compared_products(products: DataFrame, pricing: DataFrame, reviews: DataFrame, as_of: Column, days: int):
-    """Recent products with one row of price figures and one of review figures each, and their matched review ids."""
-    prices = _recent_prices(pricing, as_of, days)
-    rated = reviews.groupBy("product_id").agg(
-        F.count("*").alias("reviews"), F.sum(F.col("rating").try_cast("decimal(26,10)")).alias("rating_sum"),
-        F.count("rating").alias("rating_n"),
+    """Recent products with one row of price figures and one of review figures each, and their matched review ids.
+
+    Prices and reviews are reduced to the recent products' before anything is aggregated, and of prices older than the
+    look-back only the product ids are read: whether a product has any price at all.
+    """
+    start = days_before(as_of, days)
+    recent = products.filter(since(products, "scraped_at", start)).select("product_id", "site", "category")
+    keys = recent.select("product_id").distinct()
+    inside = F.col("price_date").isNull() | (F.col("price_date") >= start)
+    if "dt" in pricing.columns:
+        inside &= F.col("dt").isNull() | (F.col("dt") >= F.to_date(start))
+    prices = pricing.filter(inside).join(keys, "product_id", "left_semi").groupBy("product_id").agg(
+        F.count("*").alias("prices"), *part_sums("current_price", "price"), *part_sums("discount_percentage", "discount"),
     )
+    priced = pricing.select("product_id").join(keys, "product_id", "left_semi").distinct().withColumn("priced", F.lit(True))
+    own = reviews.join(keys, "product_id", "left_semi")
+    rated = own.groupBy("product_id").agg(F.count("*").alias("reviews"), *part_sums("rating", "rating"))
     # A product whose prices are all older than the look-back drops out; one without any price stays.
     kept = (
-        products.filter(since(products, "scraped_at", days_before(as_of, days))).select("product_id", "site", "category")
-        .join(prices, "product_id", "left").filter(F.col("prices").isNull() | (F.col("prices") > 0))
-        .join(rated, "product_id", "left")
+        recent.join(prices, "product_id", "left").join(priced, "product_id", "left")
+        .filter(F.col("prices").isNotNull() | F.col("priced").isNull()).join(rated, "product_id", "left")
     )
     owners = kept.select("product_id", "site", "category").distinct()
     # Pairs first, so that a product with very many copies of a review joins once per review.
-    pairs = reviews.select("product_id", "review_id").distinct()
+    pairs = own.select("product_id", "review_id").distinct()
     ids = (
         pairs.join(owners, "product_id").groupBy("site", "category")
         .agg(F.countDistinct("review_id").alias("total_reviews"))
@@ -174,15 +183,11 @@ def site_comparison(
     by_reviews = F.greatest(F.coalesce("reviews", F.lit(0)), one) if fan_out else one
     by_prices = F.greatest(F.coalesce("prices", F.lit(0)), one) if fan_out else one
 
-    def weighted(total: str, n: str, weight: Column) -> Column:
-        amount = F.sum(F.col(total).cast("decimal(26,10)") * weight.cast("decimal(11,0)"))
-        return amount.cast("double") / F.nullif(F.sum(F.col(n) * weight), F.lit(0))
-
     figures = kept.groupBy("site", "category").agg(
         F.countDistinct("product_id").alias("total_products"),
-        weighted("price_sum", "price_n", by_reviews).alias("avg_current_price"),
-        weighted("discount_sum", "discount_n", by_reviews).alias("avg_discount"),
-        weighted("rating_sum", "rating_n", by_prices).alias("avg_rating"),
+        average_of_parts("price", by_reviews).alias("avg_current_price"),
+        average_of_parts("discount", by_reviews).alias("avg_discount"),
+        average_of_parts("rating", by_prices).alias("avg_rating"),
     )
     return (
         figures.join(ids, ["site", "category"], "left").fillna(0, ["total_reviews"])

@@ -1,64 +1,136 @@
-"""Day-partitioned warehouse tables, append loads and the incremental load from staging."""
+"""Day-partitioned warehouse tables, append loads and the incremental load from staging.
+
+Staged batches and loads are numbered folders with a manifest. A load reads the staged batches above the high-water mark
+and nothing else, and writes them as one more delta; its cost is that of the new batches. Readers merge on read: a base,
+in which each key is unique, under the deltas loaded since. Compaction writes a new base now and then.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stallwise import schemas
-from stallwise.operators import ingest
-from stallwise.sources import staging
+from stallwise.operators import dedup, ingest
+from stallwise.sources import manifest
 
 DAY = "dt"
 
 
-def _by_day(df: DataFrame, table: str, max_records_per_file: int):
-    """A writer of rows under their day.
+def _by_day(df: DataFrame, table: str) -> DataFrame:
+    """Rows under their day, dealt out for writing.
 
     Rows are range-partitioned on day, clustering columns and key: a day with very many rows is spread over several
     tasks, and each task writes to few days. Sorted files let a reader skip row groups on the clustering columns.
     """
     order = [DAY, *schemas.CLUSTER_COLUMNS[table]]
-    key = schemas.PRIMARY_KEY[table]
-    return (
-        df.withColumn(DAY, F.to_date(schemas.DAY_COLUMN[table]))
-        .repartitionByRange(*order, key).sortWithinPartitions(*order)
-        .write.partitionBy(DAY).option("maxRecordsPerFile", max_records_per_file)
+    days = df.withColumn(DAY, F.to_date(schemas.DAY_COLUMN[table]))
+    return days.repartitionByRange(*order, schemas.PRIMARY_KEY[table]).sortWithinPartitions(*order)
+
+
+def _written(dealt: DataFrame, path: str, table: str, mode: str, max_records_per_file: int) -> None:
+    """Files by day; a bloom filter on the key lets look-ups by key skip row groups that can't hold it."""
+    (
+        dealt.write.partitionBy(DAY).mode(mode).option("maxRecordsPerFile", max_records_per_file)
+        .option(f"parquet.bloom.filter.enabled#{schemas.PRIMARY_KEY[table]}", "true").parquet(path)
     )
 
 
 def append(df: DataFrame, path: str, table: str, max_records_per_file: int = 5_000_000) -> None:
-    _by_day(df, table, max_records_per_file).mode("append").parquet(path)
+    _written(_by_day(df, table), path, table, "append", max_records_per_file)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stage(df: DataFrame, root: str, table: str) -> int:
+    """Write rows as the next staged batch; gives its number."""
+    spark = df.sparkSession
+    number = manifest.next_number(manifest.entries(spark, root, table))
+    df.write.mode("overwrite").parquet(f"{root}/staging/{table}/batch={number}")
+    manifest.commit(spark, root, table, number, "staged")
+    return number
+
+
+def _folders(spark: SparkSession, path: str, part: str, numbers: list[int]) -> DataFrame:
+    """Only the named batches are listed and read."""
+    return spark.read.option("basePath", path).parquet(*[f"{path}/{part}={n}" for n in numbers])
+
+
+def pending(spark: SparkSession, root: str, table: str, batches: int | None = None) -> tuple[DataFrame | None, int]:
+    """Rows of the staged batches above the high-water mark (the first `batches` of them), and the last one's number."""
+    found = manifest.entries(spark, root, table)
+    todo = manifest.numbers(found, "staged", manifest.mark(found, "load"))[:batches]
+    if not todo:
+        return None, 0
+    return _folders(spark, f"{root}/staging/{table}", "batch", todo).drop("batch"), todo[-1]
+
+
 def load_pending(
-    spark: SparkSession, root: str, table: str, limit: int | None = None, max_records_per_file: int = 5_000_000
+    spark: SparkSession, root: str, table: str, batches: int | None = None, max_records_per_file: int = 5_000_000
 ) -> int:
-    """Load the unprocessed row versions of one staging table as the next batch; gives the number of rows.
+    """Load the staged batches that no load holds yet as one delta; gives the number of rows.
+
+    Of several versions of a key in these batches the latest is loaded. The rows are counted while they are written. A
+    load that died before its manifest entry is run again under the same number and overwrites what it left.
+    """
+    versions, upto = pending(spark, root, table, batches)
+    if versions is None:
+        return 0
+    number = manifest.next_number(manifest.entries(spark, root, table))
+    counted = Observation("load")
+    rows = _by_day(ingest.clean(dedup.latest_rows(versions, schemas.PRIMARY_KEY[table]), table), table)
+    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+    _written(rows, f"{root}/warehouse/{table}/load={number}", table, "overwrite", max_records_per_file)
+    manifest.commit(spark, root, table, number, "load", upto, counted.get["rows"])
+    return counted.get["rows"]
+
+
+def _live(spark: SparkSession, root: str, table: str) -> tuple[list[int], list[int]]:
+    """The base (one number or none) and the deltas loaded since."""
+    found = manifest.entries(spark, root, table)
+    return manifest.numbers(found, "base")[-1:], manifest.numbers(found, "load", manifest.mark(found, "base"))
+
+
+def read_versions(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """All row versions that are loaded and not compacted away, with the number of their load (`load`)."""
+    base, deltas = _live(spark, root, table)
+    return _folders(spark, f"{root}/warehouse/{table}", "load", base + deltas)
+
+
+def read_current(spark: SparkSession, root: str, table: str) -> DataFrame:
+    """The latest version of each key: the deltas' merged over the base.
 
-    Safe to repeat: the target and the ledger keep a folder per batch, both are overwritten as a whole, and a batch
-    counts only once its ledger folder is there. A load that died is simply run again under the same number, without
-    looking through the target. `todo` is fixed by the files listed here: rows staged later wait for the next batch.
+    Only keys that the deltas hold are compared; all other rows come from the base as they are.
     """
-    key = schemas.PRIMARY_KEY[table]
-    target, ledger_path = f"{root}/warehouse/{table}", f"{root}/ledger/{table}"
-    versions = spark.read.parquet(f"{root}/staging/{table}")
-    empty = staging.marks(versions, key).withColumn("batch", F.lit(0).cast("long"))
-    ledger = staging.read_or_empty(spark, ledger_path, empty)
-    batch = ledger.agg(F.coalesce(F.max("batch") + 1, F.lit(0))).first()[0]
-    todo = staging.pending(staging.current(versions, key), ledger, key, limit)
-    rows = _by_day(ingest.clean(todo, table), table, max_records_per_file)
-    rows.mode("overwrite").parquet(f"{target}/batch={batch}")
-    staging.marks(todo, key).write.mode("overwrite").parquet(f"{ledger_path}/batch={batch}")
-    return spark.read.parquet(f"{ledger_path}/batch={batch}").count()
+    base, deltas = _live(spark, root, table)
+    key, path = schemas.PRIMARY_KEY[table], f"{root}/warehouse/{table}"
+    if not deltas:
+        return _folders(spark, path, "load", base)
+    new = _folders(spark, path, "load", deltas)
+    if not base:
+        return dedup.latest_rows(new, key)
+    old, keys = _folders(spark, path, "load", base), new.select(key).distinct()
+    merged = dedup.latest_rows(old.join(keys, key, "left_semi").unionByName(new), key)
+    return old.join(keys, key, "left_anti").unionByName(merged)
+
+
+def compact(spark: SparkSession, root: str, table: str, max_records_per_file: int = 5_000_000) -> int:
+    """Write the current rows as a new base; gives their number. The folders merged into it are no longer read."""
+    base, deltas = _live(spark, root, table)
+    if not deltas:
+        return 0
+    number = manifest.next_number(manifest.entries(spark, root, table))
+    counted = Observation("compact")
+    rows = _by_day(read_current(spark, root, table).drop("load", DAY), table).observe(counted, F.count(F.lit(1)).alias("rows"))
+    _written(rows, f"{root}/warehouse/{table}/load={number}", table, "overwrite", max_records_per_file)
+    manifest.commit(spark, root, table, number, "base", deltas[-1], counted.get["rows"])
+    return counted.get["rows"]
 
 
 def process_all_pending(
     spark: SparkSession, root: str, tables: tuple[str, ...] = ("products", "reviews", "pricing"),
-    limit: int | None = None,
+    batches: int | None = None,
 ) -> dict[str, int]:
-    return {table: load_pending(spark, root, table, limit) for table in tables}
+    return {table: load_pending(spark, root, table, batches) for table in tables}

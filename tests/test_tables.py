@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from stallwise import schemas
-from stallwise.operators import alerts, checks, metrics
+from stallwise.operators import alerts, checks, ingest, metrics
 from stallwise.plans import reports, views
 from stallwise.sources import export, landing, staging, warehouse
 
@@ -39,24 +41,103 @@ def test_landing(spark, tmp_path):
         landing.write_raw(df, str(tmp_path), "things", "b", "xml")
 
 
+def rows_of(df):
+    return sorted((r.product_id, r.in_stock, r.ingest_seq) for r in df.collect())
+
+
 def test_incremental_load_and_replay(spark, tmp_path):
-    root = str(tmp_path)
-    staging.append(staged(spark, [("a", True, 1), ("b", True, 2)]), f"{root}/staging/products")
-    assert warehouse.load_pending(spark, root, "products", limit=1) == 1
-    assert warehouse.load_pending(spark, root, "products") == 1
-    assert warehouse.load_pending(spark, root, "products") == 0
-    staging.append(staged(spark, [("a", False, 3)]), f"{root}/staging/products")
-    # A load that died after writing rows and before its ledger entry: its folder is written again, not added to.
-    died = staged(spark, [("a", False, 3)]).drop("processed")
-    warehouse.append(died, f"{root}/warehouse/products/batch=2", "products")
-    assert warehouse.load_pending(spark, root, "products") == 1
-    assert warehouse.load_pending(spark, root, "products") == 0
-    rows = sorted((r.product_id, r.in_stock, r.ingest_seq) for r in warehouse.read(spark, f"{root}/warehouse/products").collect())
-    assert rows == [("a", False, 3), ("a", True, 1), ("b", True, 2)]
-    stored = warehouse.read(spark, f"{root}/warehouse/products").first()
+    root, load = str(tmp_path), lambda **k: warehouse.load_pending(spark, str(tmp_path), "products", **k)
+    assert load() == 0
+    warehouse.stage(staged(spark, [("a", True, 1), ("b", True, 2), ("b", False, 3)]), root, "products")
+    warehouse.stage(staged(spark, [("c", True, 4)]), root, "products")
+    assert [load(batches=1), load(), load()] == [2, 1, 0]
+    warehouse.stage(staged(spark, [("a", False, 5)]), root, "products")
+    # A load that died after writing rows and before its manifest entry: its folder is written again, not added to.
+    warehouse.append(staged(spark, [("x", False, 9)]).drop("processed"), f"{root}/warehouse/products/load=6", "products")
+    # So did a staged batch; it is not read until it is staged again under its number.
+    staged(spark, [("y", False, 9)]).write.parquet(f"{root}/staging/products/batch=7")
+    assert [load(), load()] == [1, 0]
+    assert rows_of(warehouse.read_versions(spark, root, "products")) == [("a", False, 5), ("a", True, 1), ("b", False, 3), ("c", True, 4)]
+    current = warehouse.read_current(spark, root, "products")
+    assert rows_of(current) == [("a", False, 5), ("b", False, 3), ("c", True, 4)]
+    stored = current.first()
     assert stored.images == ["x"] and str(stored.dt) == "2024-01-20"
 
 
+def test_a_load_lists_only_the_new_batch(spark, tmp_path):
+    root = str(tmp_path)
+    for n in range(3):
+        warehouse.stage(staged(spark, [("a", True, n), (f"k{n}", True, n)]), root, "products")
+        rows, upto = warehouse.pending(spark, root, "products")
+        assert rows.count() == 2 and upto == 2 * n + 1
+        assert {f.split("/")[-2] for f in rows.inputFiles()} == {f"batch={upto}"}
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        assert "InMemoryFileIndex(1 paths)" in plan and "Join" not in plan
+        assert warehouse.load_pending(spark, root, "products") == 2
+
+
+def test_compaction_and_merge_on_read(spark, tmp_path):
+    root = str(tmp_path)
+
+    def loaded(rows):
+        warehouse.stage(staged(spark, rows), root, "products")
+        return warehouse.load_pending(spark, root, "products")
+
+    assert warehouse.compact(spark, root, "products") == 0
+    loaded([("a", True, 1), ("b", True, 2)])
+    loaded([("a", False, 3)])
+    before = rows_of(warehouse.read_current(spark, root, "products"))
+    assert warehouse.compact(spark, root, "products") == 2
+    assert rows_of(warehouse.read_current(spark, root, "products")) == before == rows_of(warehouse.read_versions(spark, root, "products"))
+    assert warehouse.compact(spark, root, "products") == 0
+    # New, changed and late rows over the base.
+    loaded([("c", True, 4), ("b", False, 5), ("a", True, 0)])
+    want = [("a", False, 3), ("b", False, 5), ("c", True, 4)]
+    assert rows_of(warehouse.read_current(spark, root, "products")) == want
+    assert warehouse.compact(spark, root, "products") == 3
+    assert rows_of(warehouse.read_current(spark, root, "products")) == want
+
+
+def test_views_prune_days_and_keys_skip_row_groups(spark, tmp_path):
+    day = [T0 - dt.timedelta(days=n) for n in range(0, 120, 10)]
+    products = spark.createDataFrame(
+        [(f"p{i}", "amazon", f"n{i}", "b", "books", "d", "{}", "[]", True, d, i) for i, d in enumerate(day)],
+        "product_id string, site string, name string, brand string, category string, description string, specifications string, images string, in_stock boolean, scraped_at timestamp_ntz, ingest_seq long",
+    )
+    pricing = products.select(
+        F.concat(F.lit("x"), "product_id").alias("price_id"), "product_id", "site", F.lit(5.0).alias("current_price"), F.lit(6.0).alias("original_price"),
+        F.lit(1.0).alias("discount_percentage"), F.lit("[]").alias("offers"), F.col("scraped_at").alias("price_date"), "scraped_at", "ingest_seq",
+    )
+    reviews = spark.createDataFrame([], "review_id string, product_id string, rating double, verified_purchase boolean, review_date timestamp_ntz")
+    scores = products.select(
+        F.col("product_id").alias("record_id"), F.lit("product").alias("record_type"), *[F.lit(0.5).alias(f"{c}_score") for c in ("completeness", "accuracy", "consistency", "overall")],
+        F.col("scraped_at").alias("evaluated_at"), F.to_date("scraped_at").alias("dt"),
+    )
+    for name, df in (("products", products), ("pricing", pricing)):
+        warehouse.append(ingest.clean(df.withColumn("processed", F.lit(False)), name), f"{tmp_path}/{name}", name)
+    scores.write.partitionBy("dt").parquet(f"{tmp_path}/scores")
+    stored = {t: warehouse.read(spark, f"{tmp_path}/{t}") for t in ("products", "pricing", "scores")}
+    found = {
+        "daily": views.daily_scraping_summary(stored["products"], at()), "quality": views.quality_summary(stored["scores"], at()),
+        "comparison": views.site_comparison(stored["products"], stored["pricing"], reviews, at()),
+    }
+    plain = {
+        "daily": views.daily_scraping_summary(products, at()), "quality": views.quality_summary(scores.drop("dt"), at()),
+        "comparison": views.site_comparison(products, pricing, reviews, at()),
+    }
+    for name, df in found.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^]]*dt#\d+ >= 20", plan), (name, plan)
+        assert sorted(map(str, df.collect())) == sorted(map(str, plain[name].collect()))
+    assert views.product_price_trends(stored["products"], stored["pricing"], at()).count() == 4
+    recent = stored["pricing"].filter(views.since(stored["pricing"], "price_date", views.days_before(at(), 30)))
+    assert "PartitionFilters: [isnotnull(dt" in recent._jdf.queryExecution().executedPlan().toString()
+    file = next((tmp_path / "pricing").rglob("*.parquet"))
+    column = pq.ParquetFile(file).metadata.row_group(0)
+    names = [column.column(i).path_in_schema for i in range(column.num_columns)]
+    assert b"price_id" in file.read_bytes() and names.index("price_id") >= 0
+
+
 def test_partition_filter_reaches_the_scan(spark, tmp_path):
     path = f"{tmp_path}/w"
     warehouse.append(staged(spark, [("a", True, 1)]).drop("processed"), path, "products")
