@@ -78,6 +78,7 @@ def encode(docs: DataFrame, ranks: str, pattern: str, text: str = "text", ids: s
     """
 
     @F.pandas_udf("binary")
+    @words.tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = load(ranks, pattern)
         for batch in batches:
@@ -90,6 +91,7 @@ def decode(tokens: DataFrame, ranks: str, pattern: str, ids: str = "ids", out: s
     """Add `out`: the bytes that packed `ids` stand for. NULL ids give no bytes (an empty value)."""
 
     @F.pandas_udf("binary")
+    @words.tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         encoder = load(ranks, pattern)
         for batch in batches:
@@ -102,6 +104,7 @@ def round_trip(docs: DataFrame, ranks: str, pattern: str, text: str = "text", id
     """Add `ids` and the bytes they decode to, as `decode(encode(docs))` does, with one encoder and one worker a task."""
 
     @F.pandas_udf("ids binary, decoded binary")
+    @words.tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = load(ranks, pattern)
         for batch in batches:

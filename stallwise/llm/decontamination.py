@@ -255,6 +255,7 @@ def _finder(spark: SparkSession, known: Items):
     shipped = spark.sparkContext.broadcast(cloudpickle.dumps(known))
 
     @F.pandas_udf(LEAKS)
+    @words.tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         held = cloudpickle.loads(shipped.value)
         for batch in batches:

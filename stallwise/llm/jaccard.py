@@ -56,6 +56,7 @@ def membership(docs: DataFrame, k: int, text: str = "text") -> DataFrame:
     """`docs` with `digest` (binary, of the set) and `n_shingles`."""
 
     @F.pandas_udf(T.StructType([T.StructField("digest", T.BinaryType()), T.StructField("n", T.LongType())]))
+    @words.tidy
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [words.shingle_set(value or b"", k) for value in batch]
@@ -74,6 +75,7 @@ def _rare(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
     """(digest, alone): shingles of each set that no other set has, within the counted part of the hash range."""
     part = np.uint64(min(RANGE, (100 - percent) * 3 * RANGE // 100))
 
+    @words.tidy
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for texts in words.chunks(batches, CHUNK):
@@ -160,6 +162,7 @@ def _sets(docs: DataFrame, k: int, alive: DataFrame) -> DataFrame:
     marks[found["cell"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).astype(np.uint8)
     shipped = spark.sparkContext.broadcast(marks.tobytes())
 
+    @words.tidy
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = np.frombuffer(shipped.value, np.uint8)
         seen: set[bytes] = set()
@@ -182,6 +185,7 @@ def _sets(docs: DataFrame, k: int, alive: DataFrame) -> DataFrame:
 
 
 def _elements(sets: DataFrame) -> DataFrame:
+    @words.tidy
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes, elems = batch.column("node").to_numpy(), batch.column("elems").to_pylist()

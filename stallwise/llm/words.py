@@ -6,8 +6,10 @@ else is. A NULL text is an empty one.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +29,30 @@ def texts(column: pa.Array) -> Iterator[bytes]:
         yield value.as_py() or b""
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker lives on between tasks, next to those of other stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(work: Callable) -> Callable:
+    """A worker function over batches that gives memory back after each batch and at the end of the task."""
+
+    @functools.wraps(work)
+    def run(batches):
+        try:
+            for out in work(batches):
+                yield out
+                del out
+                give_back()
+        finally:
+            give_back()
+
+    return run
+
+
 def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[bytes]]:
     """The texts of the first column in lists of about `most` bytes, so that what a task holds doesn't depend on batches."""
     held, size = [], 0
@@ -39,7 +65,7 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[bytes]
                 held, size = [], 0
         # Give the batch's memory back before the next one is read.
         del batch
-        pa.default_memory_pool().release_unused()
+        give_back()
     if held:
         yield held
 
