@@ -1,9 +1,13 @@
 """Personal data by patterns and by bootstrapped contexts, in DataFrame functions only.
 
 Four kinds of base spans come from regular expressions and checks. Bootstrapping: base spans are seeds; the words to
-their left are lexical patterns; identifier-like tokens share these patterns. Pattern and instance trust feed each
-other over a graph of (pattern, instance) edges for a few turns, and tokens under trusted patterns become spans of the
-seeds' kind. Edges are counted before anything is shuffled by pattern or by instance.
+their left are lexical patterns; identifier-like tokens share these patterns. In each turn, patterns that show enough
+trusted instances become strong and the tokens they show become trusted instances, which in the next turn support
+patterns that no seed ever stood under. Tokens under patterns that end up strong are spans of the seeds' kind. Edges
+(pattern, instance) are counted before anything is shuffled by pattern or by instance.
+
+A pattern is the last word of the LEFT signs before a span, so a context is bounded whatever the text. A token of more
+than 64 signs is no identifier.
 
 Spans are found without positions from the engine: the matches and the gaps between them partition the text, so their
 running lengths are the places, in code points.
@@ -26,28 +30,52 @@ CARD = r"[0-9](?:[\x20-]?[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 # A token that may be an identifier: groups of digits, or six signs and more with a digit among them.
-TOKEN = r"[0-9]{2,}+(?:[\x20.-][0-9]{2,}+)++|(?:\G|(?<![A-Za-z0-9._%+@-]))(?=[A-Za-z._%+@-]*+[0-9])[A-Za-z0-9._%+@-]{6,64}+(?![A-Za-z0-9._%+@-])"
+TOKEN = r"(?:\G|(?<![0-9]))[0-9]{2,}+(?:[\x20.-][0-9]{2,}+)++|(?:\G|(?<![A-Za-z0-9._%+@-]))(?=[A-Za-z._%+@-]*+[0-9])[A-Za-z0-9._%+@-]{6,64}+(?![A-Za-z0-9._%+@-])"
 # What a pattern is made of: the last word of the 48 characters before a span, with the signs after it.
 LEFT = 48
 WORD_LEFT = r"([\p{L}\p{N}_-]+[^\p{L}\p{N}]{1,6})$"
 TURNS = 3
-# Weight of doubt in a pattern, fewest seeds of one kind that it must show, and trust that it needs.
+# Weight of doubt in a pattern, the trusted instances of one kind that it must show, and the trust that it needs.
 DOUBT = 3.0
 SEEDS = 5
 TRUST = 0.75
+# Sums are taken in blocks of SUM_BLOCK, of which LEVELS are nested: enough for 16 million matches in one text.
 SUM_BLOCK = 64
+LEVELS = 4
 SPAN = "struct<start:long,end:long,found:string,left:string>"
 
 
+def _bound(value: Column, use) -> Column:
+    """`use(value)` with the value evaluated once, however often `use` names it inside lambdas."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _running(lengths: Column) -> Column:
-    """Sum of all earlier items for each item, in blocks so that long arrays stay far from quadratic."""
-    add = lambda part: F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x)
-    blocks = F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(lengths) - 1) / SUM_BLOCK)).cast("int"))
-    sums = F.transform(blocks, lambda b: add(F.slice(lengths, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))))
-    return F.flatten(F.transform(blocks, lambda b: F.transform(
-        F.slice(lengths, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK)),
-        lambda _, i: add(F.slice(sums, F.lit(1), b)) + add(F.slice(lengths, b * SUM_BLOCK + 1, i)),
-    )))
+    """Sum of all earlier items for each item: of those in its block, of the blocks before in its block of blocks, and so on.
+
+    Each item adds up at most SUM_BLOCK numbers per level, so the work is linear in the items.
+    """
+    def add(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    def blocks_of(items: Column) -> Column:
+        last = F.greatest(F.lit(0), F.floor((F.size(items) - 1) / SUM_BLOCK)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda b: add(F.slice(items, b * SUM_BLOCK + 1, F.lit(SUM_BLOCK))))
+
+    def before(levels: list[Column], i: Column) -> Column:
+        parts = []
+        for depth, level in enumerate(levels):
+            at = F.floor(i / SUM_BLOCK**depth).cast("int")
+            first = F.lit(0) if depth == LEVELS - 1 else F.floor(at / SUM_BLOCK).cast("int") * SUM_BLOCK
+            parts.append(add(F.slice(level, first + 1, at - first)))
+        return sum(parts[1:], parts[0])
+
+    def nested(levels: list[Column]) -> Column:
+        if len(levels) == LEVELS:
+            return F.transform(levels[0], lambda _, i: before(levels, i))
+        return _bound(blocks_of(levels[-1]), lambda level: nested([*levels, level]))
+
+    return _bound(lengths, lambda items: nested([items]))
 
 
 def _with_spans(df: DataFrame, name: str, text: str, pattern: str, hint: Column, fits=None) -> DataFrame:
@@ -106,23 +134,27 @@ def with_tokens(docs: DataFrame) -> DataFrame:
 
 
 def trusted(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """(pattern, kind): patterns of high trust out of edges (pattern, instance, n) and seeds (instance, kind).
+    """(pattern, kind): strong patterns out of edges (pattern, instance, n) and seeds (instance, kind).
 
-    Trust in a pattern is the trusted share of what it shows, with DOUBT unseen bad instances added; trust in an
-    instance is that some pattern around it is right. Seeds are always trusted.
+    Trust in a pattern is the trusted share of what it shows, with DOUBT unseen bad instances added; its support is the
+    trust of all distinct instances of the kind that it shows. It is strong with a trust of TRUST and a support of
+    SEEDS. Trust in a discovered instance is that some strong pattern around it is right; seeds are always trusted.
     """
-    known = seeds.withColumn("trust", F.lit(1.0))
+    sure = seeds.withColumn("trust", F.lit(1.0))
+    known = sure
     totals = edges.groupBy("pattern").agg(F.sum("n").alias("total"))
-    shown = edges.join(seeds, "instance").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
     for turn in range(TURNS):
-        sums = edges.join(known, "instance").groupBy("pattern", "kind").agg(F.sum(F.col("n") * F.col("trust")).alias("good"))
-        patterns = scratch.cut(sums.join(totals, "pattern").select("pattern", "kind", (F.col("good") / (F.col("total") + DOUBT)).alias("trust")))
+        sums = edges.join(known, "instance").groupBy("pattern", "kind").agg(
+            F.sum(F.col("n") * F.col("trust")).alias("good"), F.sum("trust").alias("support")
+        )
+        rated = sums.join(totals, "pattern").withColumn("trust", F.col("good") / (F.col("total") + DOUBT))
+        strong = rated.where((F.col("trust") >= TRUST) & (F.col("support") >= SEEDS) & (F.col("pattern") != ""))
+        strong = scratch.cut(strong.select("pattern", "kind", "trust"))
         if turn < TURNS - 1:
-            spread = edges.join(patterns, "pattern").groupBy("instance", "kind").agg(
+            spread = edges.join(strong, "pattern").groupBy("instance", "kind").agg(
                 (1 - F.exp(F.sum(F.log1p(-F.least("trust", F.lit(0.999)))))).alias("trust")
             )
-            known = scratch.cut(spread.join(seeds, ["instance", "kind"], "left_anti").unionByName(seeds.withColumn("trust", F.lit(1.0))))
-    strong = patterns.join(shown, ["pattern", "kind"]).where((F.col("trust") >= TRUST) & (F.col("seeds") >= SEEDS) & (F.col("pattern") != ""))
+            known = scratch.cut(spread.join(seeds, ["instance", "kind"], "left_anti").unionByName(sure))
     return strong.groupBy("pattern").agg(F.max_by("kind", F.struct("trust", -F.col("kind"))).alias("kind"))
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import time
 
 import numpy as np
 import public_tokenizers
@@ -210,5 +211,35 @@ def test_redact_keeps_rows_and_columns(table, odd):
     assert [r.text for r in found.where("doc_id = 50").collect()] == ["mail [EMAIL] or [IP] now"] * 2
 
 
+def test_a_second_generation_pattern_finds_an_identifier(table):
+    # Seeds stand under "mail:", their left neighbours only; the members named there are trusted, and stand under
+    # "member:" too, where no seed is; the last identifier is found by that pattern alone.
+    rows = [(i, f"mail: user{i}@example.com and then") for i in range(200)]
+    rows += [(1000 + i, f"mail: member_{i:02}x7 too") for i in range(60)]
+    rows += [(2000 + i, f"member: member_{i:02}x7 again") for i in range(60)]
+    rows += [(3000, "member: secret99name here"), (3001, "other: secret99name here"), (3002, "other: thing12345 there")]
+    found = {r.doc_id: [(s.start, s.kind, s.end) for s in r.more] for r in personal.find(table(rows)).collect()}
+    assert all(found[1000 + i] == [(6, 0, 17)] for i in range(60)) and all(found[2000 + i] == [(8, 0, 19)] for i in range(60))
+    assert found[3000] == [(8, 0, 20)] and found[3001] == found[3002] == []
+
+
+def test_running_sums_are_linear(spark):
+    for n in (0, 1, 63, 64, 65, 4097, 300_001):
+        rows = spark.range(1).select(F.transform(F.sequence(F.lit(0), F.lit(max(n, 1) - 1)), lambda i: (i % 7).cast("long")).alias("x"))
+        rows = rows.select(F.slice("x", 1, n).alias("x")).select(F.col("x"), personal._running(F.col("x")).alias("at"))
+        start = time.perf_counter()
+        x, at = rows.first()
+        assert at == np.concatenate([[0], np.cumsum(x)])[: len(x)].astype(int).tolist()
+        assert time.perf_counter() - start < 30
+
+
+def test_very_long_runs_are_linear(table):
+    texts = ["7" * 1_000_000, "ab" * 500_000, "1.1." * 200_000, "a@b.c " * 100_000, "+1 " * 200_000]
+    for text in texts:
+        start = time.perf_counter()
+        personal.find(table([(1, text)])).collect()
+        assert time.perf_counter() - start < 40, text[:9]
+
+
 def test_personal_of_an_empty_table(table):
     assert personal.find(table([])).count() == 0 == personal.redact(table([])).count()
