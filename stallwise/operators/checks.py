@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallwise import schemas
-from stallwise.operators import dedup
-from stallwise.plans.views import days_before, exact_avg
+from stallwise.functions import quality
+from stallwise.operators import dedup, ingest
+from stallwise.plans.views import average_of_parts, days_before, exact_avg, part_sums
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -39,23 +40,45 @@ def data_quality(scores: DataFrame) -> DataFrame:
     )
 
 
-def profiles(tables: dict[str, DataFrame], as_of: Column, hours: int = schemas.STALE_HOURS) -> DataFrame:
-    """One row per table with the counts behind completeness, freshness and site coverage: one pass over each table."""
+def profiles(
+    tables: dict[str, DataFrame], as_of: Column, hours: int = schemas.STALE_HOURS, whole: bool = False
+) -> DataFrame:
+    """One row per table with the counts behind the checks: one pass over each table.
+
+    With `whole` also what the quality and duplicate checks need: score figures and the number of distinct signatures.
+    Rows are then scored on the way and reduced to a few numbers each before they are grouped by signature.
+    """
     threshold = as_of - F.make_dt_interval(hours=F.lit(hours))
 
     def one(name: str, df: DataFrame) -> DataFrame:
         def filled(field) -> Column:
             held = F.col(field.name).isNotNull()
-            return held & (F.col(field.name) != "") if field.dataType.simpleString() == "string" else held
+            held = held & (F.col(field.name) != "") if field.dataType.simpleString() == "string" else held
+            return F.coalesce(held, F.lit(False)).cast("int")
 
         fields = df.schema.fields
-        # Only the expected sites are collected, so the set stays small whatever the column holds.
-        known = F.collect_set(F.when(F.col("site").isin(schemas.SITES), F.col("site")))
-        return df.agg(
+        # A bit per expected site, so the set stays small whatever the column holds.
+        site_bits = reduce(lambda a, b: a + b, [F.when(F.col("site") == s, 1 << i).otherwise(0) for i, s in enumerate(schemas.SITES)])
+        rows = df.withColumns({
+            "_filled": reduce(lambda a, b: a + b, [filled(f) for f in fields]),
+            "_recent": F.coalesce(F.col("scraped_at") > threshold, F.lit(False)).cast("int"), "_sites": site_bits,
+        })
+        figures = [
             F.lit(name).alias("table"), F.count("*").alias("records"), F.lit(len(fields)).alias("fields"),
-            reduce(lambda a, b: a + b, [F.count_if(filled(f)) for f in fields]).alias("filled"),
-            F.count_if(F.col("scraped_at") > threshold).alias("recent"), known.alias("sites"),
-        )
+            F.coalesce(F.sum("_filled"), F.lit(0)).alias("filled"), F.coalesce(F.sum("_recent"), F.lit(0)).alias("recent"),
+            F.filter(F.array(*[
+                F.when(F.coalesce(F.bit_or("_sites"), F.lit(0)).bitwiseAND(F.lit(1 << i)) > 0, F.lit(s)) for i, s in enumerate(schemas.SITES)
+            ]), lambda s: s.isNotNull()).alias("sites"),
+        ]
+        if whole:
+            rows = rows.withColumn("_signature", dedup.signature_hash(name, as_of))
+            rows = quality.with_scores(ingest.parse_json_columns(rows, name), name, as_of)
+            rows = rows.select("_filled", "_recent", "_sites", "_signature", "overall_score")
+            figures += [
+                F.count_if(F.col("overall_score") >= schemas.MIN_OVERALL_SCORE).alias("high"), *part_sums("overall_score", "overall"),
+                F.count_distinct("_signature").alias("distinct_rows"),
+            ]
+        return rows.agg(*figures)
 
     return _union([one(name, df) for name, df in tables.items()])
 
@@ -64,47 +87,63 @@ def _rate(part: str, whole: Column) -> Column:
     return F.col(part) / F.nullif(whole, F.lit(0))
 
 
+def _completeness() -> tuple[Column, Column]:
+    """(figure, status) of a table; whole counts, so the mean is exact."""
+    mean = _rate("filled", F.col("records") * F.col("fields"))
+    return mean, _any_data(F.col("records"), F.when(mean >= schemas.MIN_TABLE_COMPLETENESS, "PASS").otherwise("FAIL"))
+
+
+def _freshness() -> tuple[Column, Column]:
+    rate = _rate("recent", F.col("records"))
+    return rate, _any_data(F.col("records"), F.when(rate > 0.5, "PASS").otherwise("STALE"))
+
+
+def _coverage() -> tuple[Column, Column]:
+    """Expected sites that a table lacks; an empty table counts as covered."""
+    expected = F.array(*[F.lit(s) for s in schemas.SITES])
+    missing = F.when(F.col("records") == 0, F.array().cast("array<string>")).otherwise(F.array_sort(F.array_except(expected, "sites")))
+    return F.array_join(missing, ","), F.when(F.size(missing) == 0, "PASS").otherwise("PARTIAL")
+
+
+def _duplication() -> tuple[Column, Column]:
+    rate = (F.col("records") - F.col("distinct_rows")) / F.nullif(F.col("records"), F.lit(0))
+    return rate, _any_data(F.col("records"), F.when(rate > schemas.DUPLICATE_RATE_LIMIT, "FAIL").otherwise("PASS"))
+
+
 def completeness(profile: DataFrame) -> DataFrame:
-    """Share of fields that are neither NULL nor '' per table. Whole counts, so the mean is exact."""
-    n, mean = F.col("records"), _rate("filled", F.col("records") * F.col("fields"))
-    return profile.select(
-        "table", mean.alias("avg_completeness"), n.alias("records_checked"),
-        _any_data(n, F.when(mean >= schemas.MIN_TABLE_COMPLETENESS, "PASS").otherwise("FAIL")).alias("status"),
-    )
+    """Share of fields that are neither NULL nor '' per table."""
+    mean, status = _completeness()
+    return profile.select("table", mean.alias("avg_completeness"), F.col("records").alias("records_checked"), status.alias("status"))
 
 
 def freshness(profile: DataFrame) -> DataFrame:
-    n, rate = F.col("records"), _rate("recent", F.col("records"))
+    rate, status = _freshness()
     return profile.select(
-        "table", rate.alias("freshness_rate"), F.col("recent").alias("recent_records"), n.alias("total_checked"),
-        _any_data(n, F.when(rate > 0.5, "PASS").otherwise("STALE")).alias("status"),
+        "table", rate.alias("freshness_rate"), F.col("recent").alias("recent_records"), F.col("records").alias("total_checked"), status.alias("status")
     )
 
 
 def site_coverage(profile: DataFrame) -> DataFrame:
-    """Expected sites that a table lacks; an empty table counts as covered."""
-    expected = F.array(*[F.lit(s) for s in schemas.SITES])
-    missing = F.when(F.col("records") == 0, F.array().cast("array<string>")).otherwise(
-        F.array_sort(F.array_except(expected, "sites"))
-    )
-    return profile.select(
-        "table", "records", F.array_join(missing, ",").alias("missing_sites"),
-        F.when(F.size(missing) == 0, "PASS").otherwise("PARTIAL").alias("status"),
-    )
+    missing, status = _coverage()
+    return profile.select("table", "records", missing.alias("missing_sites"), status.alias("status"))
 
 
 def duplicate_rate(tables: dict[str, DataFrame], as_of: Column | None = None) -> DataFrame:
     def one(name: str, df: DataFrame) -> DataFrame:
-        n, unique = F.count("*"), F.countDistinct(dedup.signature_hash(name, as_of))
-        rate = (n - unique) / F.nullif(n, F.lit(0))
         return df.agg(
-            F.lit(name).alias("table"), n.alias("records"), (n - unique).alias("duplicates"),
-            rate.alias("duplicate_rate"),
-            _any_data(n, F.when(rate > schemas.DUPLICATE_RATE_LIMIT, "FAIL").otherwise("PASS")).alias("status"),
-            F.coalesce(rate <= schemas.DUPLICATE_RATE_TARGET, F.lit(True)).alias("within_target"),
+            F.lit(name).alias("table"), F.count("*").alias("records"),
+            F.countDistinct(dedup.signature_hash(name, as_of)).alias("distinct_rows"),
         )
 
-    return _union([one(name, df) for name, df in tables.items()])
+    return _duplicates(_union([one(name, df) for name, df in tables.items()]))
+
+
+def _duplicates(profile: DataFrame) -> DataFrame:
+    rate, status = _duplication()
+    return profile.select(
+        "table", "records", (F.col("records") - F.col("distinct_rows")).alias("duplicates"), rate.alias("duplicate_rate"), status.alias("status"),
+        F.coalesce(rate <= schemas.DUPLICATE_RATE_TARGET, F.lit(True)).alias("within_target"),
+    )
 
 
 def missing_sites(df: DataFrame) -> DataFrame:
@@ -130,38 +169,40 @@ def job_status_counts(jobs: DataFrame) -> DataFrame:
     return jobs.groupBy("site", "status").agg(F.count("*").alias("jobs"))
 
 
-def run_checks(
-    scores: DataFrame, tables: dict[str, DataFrame], jobs: DataFrame, as_of: Column, jobs_as_of: Column
-) -> DataFrame:
-    """All checks as rows (check, status, measure): the measure is the figure that decides the status."""
-    def all_pass(ok: list[str], bad: str) -> Column:
-        return F.when(F.bool_and(F.col("status").isin(ok)), "PASS").otherwise(bad)
-
-    profile = profiles(tables, as_of)
-    quality = data_quality(scores).select(
-        F.lit("data_quality").alias("check"), "status", F.col("low_quality_rate").alias("measure")
-    )
-    complete = completeness(profile).agg(
-        F.lit("completeness").alias("check"), all_pass(["PASS", "NO_DATA"], "FAIL").alias("status"),
-        F.min("avg_completeness").alias("measure"),
-    )
-    fresh = freshness(profile).agg(
-        F.lit("freshness").alias("check"),
-        F.when(F.bool_or(F.col("status") == "PASS"), "PASS").otherwise("STALE").alias("status"),
-        F.max("freshness_rate").alias("measure"),
-    )
-    copies = duplicate_rate(tables, as_of).agg(
-        F.lit("duplicates").alias("check"), all_pass(["PASS", "NO_DATA"], "FAIL").alias("status"),
-        F.max("duplicate_rate").alias("measure"),
-    )
-    sites = site_coverage(profile).agg(
-        F.lit("site_coverage").alias("check"), all_pass(["PASS"], "PARTIAL").alias("status"),
-        F.count_if(F.col("status") == "PARTIAL").cast("double").alias("measure"),
-    )
+def run_checks(profile: DataFrame, jobs: DataFrame, jobs_as_of: Column) -> DataFrame:
+    """All checks as rows (check, status, measure): the measure is the figure that decides the status.
+
+    `profile` is that of `profiles(..., whole=True)`: a row per table, from which every check is read at once.
+    """
+    def all_pass(ok: list[str], status: Column, bad: str) -> Column:
+        return F.when(F.bool_and(status.isin(ok)), "PASS").otherwise(bad)
+
+    def check(name: str, status: Column, measure: Column) -> Column:
+        return F.struct(F.lit(name).alias("check"), status.alias("status"), measure.cast("double").alias("measure"))
+
+    complete, complete_status = _completeness()
+    fresh, fresh_status = _freshness()
+    copies, copies_status = _duplication()
+    _, covered = _coverage()
+    n, high = F.sum("records"), F.sum("high")
+    low_rate = (n - high) / F.nullif(n, F.lit(0))
+    partial = F.count_if(covered == "PARTIAL")
+    found = profile.agg(F.array(
+        check("data_quality", _any_data(n, F.when(low_rate <= schemas.LOW_QUALITY_RATE_LIMIT, "PASS").otherwise("FAIL")), low_rate),
+        check("completeness", all_pass(["PASS", "NO_DATA"], complete_status, "FAIL"), F.min(complete)),
+        check("freshness", F.when(F.bool_or(fresh_status == "PASS"), "PASS").otherwise("STALE"), F.max(fresh)),
+        check("duplicates", all_pass(["PASS", "NO_DATA"], copies_status, "FAIL"), F.max(copies)),
+        check("site_coverage", all_pass(["PASS"], covered, "PARTIAL"), partial),
+    ).alias("checks"))
     health = processing_health(jobs, jobs_as_of).select(
         F.lit("processing_health").alias("check"), "status", F.col("job_success_rate").alias("measure")
     )
-    return _union([quality, complete, fresh, copies, sites, health])
+    return found.select(F.explode("checks").alias("c")).select("c.*").unionByName(health)
+
+
+def average_quality(profile: DataFrame) -> Column:
+    """The mean overall score over all tables of a whole profile, 0 without rows."""
+    return profile.agg(F.coalesce(average_of_parts("overall"), F.lit(0.0))).scalar()
 
 
 def quality_alerts(checks: DataFrame) -> DataFrame:
@@ -190,16 +231,15 @@ def overall_status(alerts: DataFrame) -> DataFrame:
     )
 
 
-def health_metrics(checks: DataFrame, scores: DataFrame) -> DataFrame:
+def health_metrics(checks: DataFrame, average: Column) -> DataFrame:
+    """Mean points of the checks beside the average quality score."""
     points = (
         F.when(F.col("status") == "PASS", 1.0).when(F.col("status").isin("FAIL", "STALE", "PARTIAL"), 0.5)
         .otherwise(0.0)
     )
-    # The same aggregate as in the checks, so Spark computes it once.
-    quality = data_quality(scores).select(F.coalesce("avg_overall_score", F.lit(0.0))).scalar()
     return checks.agg(
         F.avg(points).alias("overall_health_score"), F.count("*").alias("checks")
-    ).withColumn("avg_quality_score", quality)
+    ).withColumn("avg_quality_score", average)
 
 
 def report_rows(checks: DataFrame, alerts: DataFrame) -> DataFrame:

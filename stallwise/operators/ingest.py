@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallwise import schemas
 from stallwise.functions import quality
 from stallwise.operators import dedup
+from stallwise.sources import observed
 
 JSON_ARRAYS = {"products": ["images"], "reviews": [], "pricing": ["offers"]}
 JSON_MAPS = {"products": ["specifications"], "reviews": [], "pricing": []}
@@ -28,15 +29,41 @@ def ingest(df: DataFrame, entity: str, as_of: Column) -> DataFrame:
     return gate(score_unique(df, entity, as_of), entity)
 
 
+COUNTERS = "status string, n long"
+
+
+def _counters(spark: SparkSession, read: int, unique: int, processed: int) -> DataFrame:
+    rows = [("processed", processed), ("duplicate", read - unique), ("failed", unique - processed)]
+    return spark.createDataFrame(rows, COUNTERS)
+
+
 def ingest_counts(df: DataFrame, entity: str, as_of: Column) -> DataFrame:
-    """Counters (processed, duplicates, failures) of one ingest as rows (status, n)."""
+    """Counters (processed, duplicate, failed) of one ingest as rows (status, n).
+
+    One job: the rows read are counted as they pass by on the way to the duplicates' removal.
+    """
     kept = F.col("overall_score") >= F.lit(schemas.GATE[entity])
-    total = df.agg(F.count("*").alias("n")).scalar()
-    outcome = score_unique(df, entity, as_of).agg(F.count_if(kept).alias("processed"), F.count("*").alias("unique"))
-    counters = outcome.select(
-        "processed", (total - F.col("unique")).alias("duplicate"), (F.col("unique") - F.col("processed")).alias("failed")
-    )
-    return counters.unpivot([], ["processed", "duplicate", "failed"], "status", "n")
+    read = observed.Passing(df)
+    found = score_unique(read.frame, entity, as_of).agg(F.count("*").alias("unique"), F.count_if(kept).alias("processed")).first()
+    return _counters(df.sparkSession, read.counts()["rows"], found.unique, found.processed)
+
+
+def ingest_into(df: DataFrame, entity: str, as_of: Column, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ingest once and write what comes of it: (kept rows, rejected rows with scores and issues, counters).
+
+    The input is read once; kept and rejected rows are partitions of one table, and all counters are taken while it is
+    written.
+    """
+    spark = df.sparkSession
+    read = observed.Passing(df)
+    kept = F.coalesce(F.col("overall_score") >= F.lit(schemas.GATE[entity]), F.lit(False))
+    rows = score_unique(read.frame, entity, as_of)
+    rows = rows.withColumn("status", F.when(kept, "processed").otherwise("failed"))
+    scored = observed.Passing(rows, processed=F.col("status") == "processed")
+    scored.frame.write.mode("overwrite").partitionBy("status").parquet(folder)
+    written = spark.read.schema(rows.schema).parquet(folder)
+    parts = [written.filter(F.col("status") == status).drop("status") for status in ("processed", "failed")]
+    return *parts, _counters(spark, read.counts()["rows"], *scored.counts().values())
 
 
 def processing_stats(batches: DataFrame, since: Column | None = None) -> DataFrame:

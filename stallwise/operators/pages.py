@@ -1,7 +1,7 @@
 """Products, reviews, prices and listings out of pages.
 
-Selectors per site are data; the expressions below turn them into array functions over a page's elements, row by row
-in the JVM. Columns wanted: page_id, site, url, html, and fetched_at for prices. A page of an unknown site is read
+Selectors per site are data: the page walker indexes a page's elements by them, and the expressions below read that
+index, row by row in the JVM. Columns wanted: page_id, site, url, html, and fetched_at for prices. A page of an unknown site is read
 with the generic selectors.
 """
 
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from stallwise import schemas
 from stallwise.functions import text
 from stallwise.sources import html
-from stallwise.sources.html import all_of, attribute, first_nonempty, first_of, inside, text_of
+from stallwise.sources.html import attribute, next_text, text_of
 
 # Selectors per site, first match first.
 PRODUCT = {
@@ -99,7 +99,19 @@ LISTING = {
 }
 MAX_IMAGES, MAX_HIGHLIGHTS, MAX_SPECIFICATIONS, MAX_OFFERS, MAX_REVIEWS = 5, 5, 10, 3, 100
 
-ELEMENTS = "elements"
+
+
+def _selectors(rules: dict, *fields: str) -> list[str]:
+    """The distinct selectors of the named fields (all, if none is named) over all sites."""
+    found = [v for site in rules.values() for k, v in site.items() if not fields or k in fields]
+    return sorted({css for v in found for css in ([v] if isinstance(v, str) else v)})
+
+
+# What is looked for inside tables, keys and images, review containers, and cards.
+PARTS = ["img", "span", "td", "tr"]
+REVIEW_PARTS = _selectors(REVIEW, "title", "content", "rating", "reviewer", "verified", "date")
+LISTING_PARTS = _selectors(LISTING, "link", "title", "brand", "price", "rating", "image")
+PRODUCTS, REVIEWS, LISTINGS = html.Found(PARTS), html.Found(REVIEW_PARTS), html.Found(LISTING_PARTS)
 
 
 def _per_site(build) -> Column:
@@ -111,132 +123,144 @@ def _per_site(build) -> Column:
     return chosen.otherwise(build("generic"))
 
 
-def _first_text(elements: Column, selectors: list[str]) -> Column:
-    return text_of(first_of(elements, *selectors)) if selectors else F.lit("")
+def _first_text(found: html.Found, selectors: list[str], within: Column | None = None) -> Column:
+    return text_of(found.first_of(*selectors, within=within)) if selectors else F.lit("")
 
 
-def _name(site: str, elements: Column) -> Column:
+def _name(site: str, found: html.Found) -> Column:
     """Product name, NULL when the page has none. The third site puts the brand in front."""
     rules = PRODUCT[site]
     if site != "myntra":
-        found = first_of(elements, *rules["name"])
-        return F.when(found.isNotNull(), text_of(found))
-    brand, name = _first_text(elements, rules["brand"]), _first_text(elements, rules["name"])
+        named = found.first_of(*rules["name"])
+        return F.when(named.isNotNull(), text_of(named))
+    brand, name = _first_text(found, rules["brand"]), _first_text(found, rules["name"])
     return text.present(text.strip(F.concat_ws(" ", brand, name)))
 
 
-def _pairs_of_tables(tables: Column, elements: Column) -> Column:
+def _pairs_of_tables(tables: Column) -> Column:
     """(key, value) of the rows with exactly two cells."""
-    rows = F.flatten(F.transform(tables, lambda t: all_of(inside(elements, t), "tr")))
-    cells = F.filter(F.transform(rows, lambda r: all_of(inside(elements, r), "td")), lambda c: F.size(c) == 2)
+    rows = F.flatten(F.transform(tables, lambda t: PRODUCTS.of("tr", t)))
+    cells = F.filter(F.transform(rows, lambda r: PRODUCTS.of("td", r)), lambda c: F.size(c) == 2)
     return F.transform(cells, lambda c: F.struct(text_of(c[0]).alias("key"), text_of(c[1]).alias("value")))
 
 
-def _pairs_of_keys(site: str, elements: Column) -> Column:
+def _pairs_of_keys(site: str) -> Column:
     """(key, value) of key elements and the element after each."""
     rules = PRODUCT[site]
-    keys = F.slice(all_of(elements, *rules["specification_keys"]), 1, MAX_SPECIFICATIONS)
+    keys = F.slice(PRODUCTS.all_of(*rules["specification_keys"]), 1, MAX_SPECIFICATIONS)
 
     def pair(k: Column) -> Column:
-        sibling = F.filter(elements, lambda e: (e["idx"] > k["idx"]) & (e["parent"] == k["parent"]))
-        later = F.filter(all_of(elements, rules["specification_value"]), lambda e: e["idx"] > k["idx"])
-        value = F.coalesce(F.get(sibling, F.lit(0)), F.get(later, F.lit(0)))
-        key = F.coalesce(F.get(all_of(inside(elements, k), "span"), F.lit(0)), k)
-        return F.struct(text_of(key).alias("key"), text_of(value).alias("value"))
+        later = F.filter(PRODUCTS.of(rules["specification_value"]), lambda e: e["idx"] > k["idx"])
+        value = F.coalesce(next_text(k), text_of(F.get(later, F.lit(0))))
+        key = F.coalesce(F.get(PRODUCTS.of("span", k), F.lit(0)), k)
+        return F.struct(text_of(key).alias("key"), value.alias("value"))
 
     return F.transform(keys, pair)
 
 
+def _bound(value: Column, use) -> Column:
+    """`use(value)` with the value evaluated once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _as_map(pairs: Column) -> Column:
-    """Pairs to a map: empty keys and values are left out, and the last value of a key wins."""
-    full = F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != ""))
-    later = F.transform(full, lambda p: p["key"])
-    last = F.filter(full, lambda p, i: ~F.array_contains(F.slice(later, i + 2, F.size(later)), p["key"]))
-    return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
+    """Pairs to a map: empty keys and values are left out, and the last value of a key wins.
+
+    Sorted by key and place, the last of a key stands before another key; then back in the order of the places.
+    """
+    def last_of_each(full: Column) -> Column:
+        last = F.filter(full, lambda p, i: ~F.get(full, i + 1)["key"].eqNullSafe(p["key"]))
+        placed = F.array_sort(F.transform(last, lambda p: F.struct(p["place"], p["key"], p["value"])))
+        return F.map_from_entries(F.transform(placed, lambda p: F.struct(p["key"], p["value"])))
 
+    held = F.filter(pairs, lambda p: (p["key"] != "") & (p["value"] != ""))
+    placed = F.transform(held, lambda p, i: F.struct(p["key"].alias("key"), i.alias("place"), p["value"].alias("value")))
+    return F.coalesce(_bound(F.array_sort(placed), last_of_each), F.create_map().cast("map<string,string>"))
 
-def _specifications(site: str, elements: Column) -> Column:
+
+def _specifications(site: str) -> Column:
     rules = PRODUCT[site]
     if "specification_keys" in rules:
-        return _as_map(_pairs_of_keys(site, elements))
-    tables = all_of(elements, *rules["specifications"])
-    return _as_map(_pairs_of_tables(F.slice(tables, 1, 1) if site == "amazon" else tables, elements))
+        return _as_map(_pairs_of_keys(site))
+    tables = PRODUCTS.all_of(*rules["specifications"])
+    return _as_map(_pairs_of_tables(F.slice(tables, 1, 1) if site == "amazon" else tables))
 
 
-def _images(site: str, elements: Column) -> Column:
-    found = F.slice(first_nonempty(elements, *PRODUCT[site]["images"]), 1, MAX_IMAGES)
+def _images(site: str) -> Column:
+    found = F.slice(PRODUCTS.first_nonempty(*PRODUCT[site]["images"]), 1, MAX_IMAGES)
     source = F.transform(
         found,
         lambda e: F.when(e["tag"] == "img", attribute(e, "src")).otherwise(
-            attribute(F.get(all_of(inside(elements, e), "img"), F.lit(0)), "src")
+            attribute(F.get(PRODUCTS.of("img", e), F.lit(0)), "src")
         ),
     )
     kept = text.array_top(source, MAX_IMAGES)
     return F.array_distinct(F.transform(kept, text.larger_image)) if site == "myntra" else kept
 
 
-def _description(site: str, elements: Column) -> Column:
+def _description(site: str) -> Column:
     rules = PRODUCT[site]
     if "highlights" not in rules:
-        return _first_text(elements, rules["description"])
-    lines = F.filter(F.transform(all_of(elements, *rules["highlights"]), lambda e: text_of(e)), lambda t: t != "")
+        return _first_text(PRODUCTS, rules["description"])
+    lines = F.filter(F.transform(PRODUCTS.all_of(*rules["highlights"]), lambda e: text_of(e)), lambda t: t != "")
     return F.array_join(F.slice(lines, 1, MAX_HIGHLIGHTS), ". ")
 
 
-def _in_stock(site: str, elements: Column) -> Column:
+def _in_stock(site: str) -> Column:
     rules = PRODUCT[site]
     if "sizes" in rules:
-        return text.in_stock_from_sizes(F.transform(all_of(elements, *rules["sizes"]), lambda e: text_of(e)))
+        return text.in_stock_from_sizes(F.transform(PRODUCTS.all_of(*rules["sizes"]), lambda e: text_of(e)))
     if "stock" not in rules:
         return F.lit(True)
-    notes = all_of(elements, *rules["stock"])
+    notes = PRODUCTS.all_of(*rules["stock"])
     notes = F.slice(notes, 1, 1) if site == "amazon" else notes
     return F.forall(notes, lambda e: text.in_stock_from_text(text_of(e), F.lit(site)))
 
 
-def _category(site: str, elements: Column) -> Column:
+def _category(site: str) -> Column:
     if site == "myntra":
         return F.lit("clothing")
-    return text.category_of(_first_text(elements, PRODUCT[site].get("breadcrumb", [])))
+    return text.category_of(_first_text(PRODUCTS, PRODUCT[site].get("breadcrumb", [])))
 
 
-def _brand(site: str, elements: Column) -> Column:
-    found = _first_text(elements, PRODUCT[site].get("brand", []))
+def _brand(site: str) -> Column:
+    found = _first_text(PRODUCTS, PRODUCT[site].get("brand", []))
     return text.brand_from_byline(found) if site == "amazon" else found
 
 
 def extract_products(pages: DataFrame) -> DataFrame:
     """One product per page that names one."""
-    walked = html.with_elements(pages.select("page_id", "site", "url", "html"))
-    elements = F.col(ELEMENTS)
-    named = walked.withColumn("name", _per_site(lambda s: _name(s, elements))).filter(text.not_blank(F.col("name")))
+    wanted = sorted({*_selectors(PRODUCT), *PARTS})
+    walked = html.with_found(pages.select("page_id", "site", "url", "html"), wanted, PARTS)
+    named = walked.withColumn("name", _per_site(lambda s: _name(s, PRODUCTS))).filter(text.not_blank(F.col("name")))
     return named.select(
         "page_id", text.product_key(F.col("site"), F.col("url"), F.col("name")).alias("product_id"), "site", "name",
-        _per_site(lambda s: _category(s, elements)).alias("category"),
-        _per_site(lambda s: _brand(s, elements)).alias("brand"), "url",
-        _per_site(lambda s: _description(s, elements)).alias("description"),
-        _per_site(lambda s: _specifications(s, elements)).alias("specifications"),
-        _per_site(lambda s: _images(s, elements)).alias("images"),
-        _per_site(lambda s: _in_stock(s, elements)).alias("in_stock"),
+        _per_site(_category).alias("category"),
+        _per_site(_brand).alias("brand"), "url",
+        _per_site(_description).alias("description"),
+        _per_site(_specifications).alias("specifications"),
+        _per_site(_images).alias("images"),
+        _per_site(_in_stock).alias("in_stock"),
     )
 
 
-def _review(site: str, elements: Column, container: Column) -> Column:
-    rules, own = REVIEW[site], inside(elements, container)
-    rated = first_of(own, *rules["rating"]) if rules["rating"] else F.lit(None)
+def _review(site: str, container: Column) -> Column:
+    rules = REVIEW[site]
+    rated = REVIEWS.first_of(*rules["rating"], within=container) if rules["rating"] else F.lit(None)
     if site == "amazon":
         rating = text.rating_from_class(attribute(rated, "class"))
-        verified = F.size(all_of(own, *rules["verified"])) > 0
+        verified = F.size(REVIEWS.all_of(*rules["verified"], within=container)) > 0
     else:
         rating = text.rating_from_text(text_of(rated)) if rules["rating"] else F.lit(5.0)
         verified = (
-            F.contains(F.lower(_first_text(own, rules["verified"])), F.lit("certified buyer")) if site == "flipkart"
+            F.contains(F.lower(_first_text(REVIEWS, rules["verified"], container)), F.lit("certified buyer")) if site == "flipkart"
             else F.lit(site == "myntra")
         )
     return F.struct(
-        _first_text(own, rules["title"]).alias("title"), _first_text(own, rules["content"]).alias("content"),
-        rating.alias("rating"), _first_text(own, rules["reviewer"]).alias("reviewer_name"),
-        verified.alias("verified_purchase"), _first_text(own, rules["date"]).alias("date_text"),
+        _first_text(REVIEWS, rules["title"], container).alias("title"),
+        _first_text(REVIEWS, rules["content"], container).alias("content"), rating.alias("rating"),
+        _first_text(REVIEWS, rules["reviewer"], container).alias("reviewer_name"), verified.alias("verified_purchase"),
+        _first_text(REVIEWS, rules["date"], container).alias("date_text"),
     )
 
 
@@ -246,13 +270,11 @@ def extract_reviews(pages: DataFrame, max_reviews: int | None = None) -> DataFra
     Reviews of the first site carry its item code as product_id, as the review pages name nothing else;
     `link_item_codes` gives them the product's own id.
     """
-    walked = html.with_elements(pages.select("page_id", "site", "url", "html"))
-    elements = F.col(ELEMENTS)
+    wanted = sorted({*_selectors(REVIEW), *_selectors(PRODUCT, "name", "brand")})
+    walked = html.with_found(pages.select("page_id", "site", "url", "html"), wanted, REVIEW_PARTS)
 
     def found(site: str) -> Column:
-        reviews = F.transform(
-            first_nonempty(elements, *REVIEW[site]["container"]), lambda c: _review(site, elements, c)
-        )
+        reviews = F.transform(REVIEWS.first_nonempty(*REVIEW[site]["container"]), lambda c: _review(site, c))
         found = F.filter(reviews, lambda r: r["content"] != "")
         return found if max_reviews is None else F.slice(found, 1, max_reviews)
 
@@ -261,7 +283,7 @@ def extract_reviews(pages: DataFrame, max_reviews: int | None = None) -> DataFra
         F.when(F.col("name").isNotNull(), text.product_key(F.col("site"), F.col("url"), F.col("name")))
     )
     rows = (
-        walked.withColumn("name", _per_site(lambda s: _name(s, elements))).withColumn("product_id", product)
+        walked.withColumn("name", _per_site(lambda s: _name(s, REVIEWS))).withColumn("product_id", product)
         .filter("product_id is not null")
         .select("page_id", "product_id", "site", F.posexplode(_per_site(found)).alias("position", "r"))
     )
@@ -285,25 +307,27 @@ def link_item_codes(reviews: DataFrame, products: DataFrame) -> DataFrame:
 
 def extract_pricing(pages: DataFrame) -> DataFrame:
     """One price per page that shows one."""
-    walked = html.with_elements(pages.select("page_id", "site", "url", "fetched_at", "html"))
-    elements = F.col(ELEMENTS)
+    wanted = sorted({*_selectors(PRICE), *_selectors(PRODUCT, "name", "brand")})
+    walked = html.with_found(pages.select("page_id", "site", "url", "fetched_at", "html"), wanted, [])
+    found = html.Found([])
 
     def current(site: str) -> Column:
         return text.first_price(*[
-            text.clean_price(_first_text(elements, [s])) for s in PRICE[site]["current"]
+            text.clean_price(_first_text(found, [s])) for s in PRICE[site]["current"]
         ])
 
     def offers(site: str) -> Column:
-        spans = F.transform(all_of(elements, *PRICE[site]["offers"]), lambda e: text_of(e))
+        selectors = PRICE[site]["offers"]
+        spans = F.transform(found.all_of(*selectors), lambda e: text_of(e)) if selectors else F.array().cast("array<string>")
         pick = text.keyword_offers if site in ("amazon", "generic") else text.long_offers
         return pick(spans, MAX_OFFERS)
 
     read = walked.select(
         "page_id", "site", "url", "fetched_at",
-        F.coalesce(_per_site(lambda s: _name(s, elements)), F.lit("")).alias("name"),
+        F.coalesce(_per_site(lambda s: _name(s, found)), F.lit("")).alias("name"),
         _per_site(current).alias("current_price"),
-        _per_site(lambda s: text.clean_price(_first_text(elements, PRICE[s]["original"]))).alias("original_price"),
-        _per_site(lambda s: text.stated_percent(_first_text(elements, PRICE[s]["discount"]))).alias("stated"),
+        _per_site(lambda s: text.clean_price(_first_text(found, PRICE[s]["original"]))).alias("original_price"),
+        _per_site(lambda s: text.stated_percent(_first_text(found, PRICE[s]["discount"]))).alias("stated"),
         _per_site(offers).alias("offers"),
     ).filter("current_price is not null")
     price = (F.col("current_price"), F.col("original_price"))
@@ -317,27 +341,27 @@ def extract_pricing(pages: DataFrame) -> DataFrame:
 
 def extract_listings(pages: DataFrame) -> DataFrame:
     """Search-result cards with a link and a title: (page_id, position, site, url, name, price, rating, image)."""
-    walked = html.with_elements(pages.select("page_id", "site", "url", "html"))
-    elements = F.col(ELEMENTS)
+    walked = html.with_found(pages.select("page_id", "site", "url", "html"), _selectors(LISTING), LISTING_PARTS)
     bases = F.create_map(*[F.lit(v) for pair in schemas.SITE_BASE_URLS.items() for v in pair])
     base = F.coalesce(F.try_element_at(bases, F.col("site")), F.col("url"))
 
     def card(site: str, container: Column) -> Column:
-        rules, own = LISTING[site], inside(elements, container)
-        link, title = first_of(own, *rules["link"]), first_of(own, *rules["title"])
+        rules = LISTING[site]
+        link, title = (LISTINGS.first_of(*rules[c], within=container) for c in ("link", "title"))
         name, titled = text_of(title), title.isNotNull()
         if "brand" in rules:
-            brand = first_of(own, *rules["brand"])
+            brand = LISTINGS.first_of(*rules["brand"], within=container)
             name, titled = text.strip(F.concat_ws(" ", text_of(brand), name)), titled | brand.isNotNull()
-        rating = text.first_number(_first_text(own, rules["rating"])) if rules["rating"] else F.lit(None).cast("double")
+        rated = _first_text(LISTINGS, rules["rating"], container)
+        rating = text.first_number(rated) if rules["rating"] else F.lit(None).cast("double")
         return F.struct(
             F.when(link.isNotNull() & titled, attribute(link, "href")).alias("href"), name.alias("name"),
-            text.clean_price(_first_text(own, rules["price"])).alias("price"), rating.alias("rating"),
-            attribute(first_of(own, *rules["image"]), "src").alias("image"),
+            text.clean_price(_first_text(LISTINGS, rules["price"], container)).alias("price"), rating.alias("rating"),
+            attribute(LISTINGS.first_of(*rules["image"], within=container), "src").alias("image"),
         )
 
     def cards(site: str) -> Column:
-        found = F.transform(first_nonempty(elements, *LISTING[site]["container"]), lambda c: card(site, c))
+        found = F.transform(LISTINGS.first_nonempty(*LISTING[site]["container"]), lambda c: card(site, c))
         return F.filter(found, lambda c: c["href"].isNotNull())
 
     rows = walked.select("page_id", "site", base.alias("base"), F.posexplode(_per_site(cards)).alias("position", "c"))

@@ -160,6 +160,18 @@ select ingest_seq as page_id, site, concat('https://www.', case site when 'amazo
 from (select p.*, replace(name, '  ', '') as title, 100 + cast(ingest_seq % 1000 as bigint) as price_value, 100 + cast(ingest_seq % 700 as bigint) as mrp_value,
   concat('1,', cast(100 + cast(ingest_seq % 1000 as bigint) as string)) as price, concat('1,', cast(100 + cast(ingest_seq % 700 as bigint) as string), '.50') as mrp from products p where product_id not like '%-copy') q
 """
+# Result pages of the three shops: a whole card of a product, and a card without a link.
+SQL["listing_pages"] = """
+select page_id, site, url, concat('<html><body>', case site
+  when 'amazon' then concat('<div data-component-type="s-search-result"><a class="a-link-normal" href="/dp/', code, '"><img class="s-image" src="https://img.example.com/', code, '.jpg"></a><span class="a-size-medium">', shown, '</span><span class="a-price-whole">', price, '</span><span class="a-icon-alt">', stars, ' out of 5 stars</span></div>',
+    '<div data-component-type="s-search-result"><span class="a-size-medium">No link</span></div>')
+  when 'flipkart' then concat('<div class="_13oc-S"><a class="_1fQZEK" href="p/', code, '"><img class="_396cs4" src="https://img.example.com/', code, '.jpg"><div class="_4rR01T">', shown, '</div></a><div class="_3LWZlK">', stars, '</div><div class="_30jeq3">₹', price, '</div></div>',
+    '<div class="_13oc-S"><div class="_4rR01T">No link</div></div>')
+  else concat('<ul><li class="product-base"><a href="/buy/', code, '"><img class="img-responsive" src="https://img.example.com/', code, '.jpg"><h3 class="product-brand">', coalesce(brand, ''), '</h3><h4 class="product-product">', shown, '</h4></a><span class="product-discountedPrice">Rs. ', price, '</span><span class="product-rating">', stars, '</span></li>',
+    '<li class="product-base"><h4 class="product-product">No link</h4></li></ul>') end, '</body></html>') as html, code, title, brand, price_value, stars
+from (select page_id, site, url, brand, title, price, price_value, upper(substring(md5(title), 1, 10)) as code, replace(replace(title, '&', '&amp;'), '<', '&lt;') as shown,
+  concat(cast(1 + page_id % 4 as string), '.', cast(page_id % 10 as string)) as stars from shop_pages) p
+"""
 # One review page per review, in the markup of its shop.
 SQL["review_pages"] = """
 select ingest_seq as page_id, site, concat('https://www.', case site when 'amazon' then 'amazon.in/product-reviews/' when 'flipkart' then 'flipkart.com/p/' else 'myntra.com/buy/' end, upper(substring(md5(product_id), 1, 10))) as url,
@@ -174,7 +186,7 @@ from (select r.*, cast(1 + ingest_seq % 5 as string) as stars, cast(1 + ingest_s
 """
 
 DEPENDS = {
-    "pricing_2024": ["pricing"], "pricing_gap": ["pricing_2024"], "jobs_2024": ["jobs"], "shop_pages": ["products"], "review_pages": ["reviews"],
+    "pricing_2024": ["pricing"], "pricing_gap": ["pricing_2024"], "jobs_2024": ["jobs"], "shop_pages": ["products"], "listing_pages": ["shop_pages"], "review_pages": ["reviews"],
 }
 AS_OF = "2024-01-25 00:00:00"
 PRICES_AS_OF = "2001-11-04 00:00:00"

@@ -14,13 +14,13 @@ from stallwise.plans import bindings, reports, views
 from stallwise.plans.bindings import AS_OF, METRICS_AS_OF, PRICES_AS_OF, timestamp
 from stallwise.sources import export, html, landing, scratch, staging, warehouse
 from stallwise.streaming import jobs as streams
-from stallwise.streaming import silence
+from stallwise.streaming import silence, timers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 # Inputs of the cost report: rupees per row and per job, and the monthly budget.
-RATES = {"storage_per_row": 0.25, "query_per_row": 0.5, "compute_per_job": 1.5}
+RATES = {"storage_per_row": 0.25, "query_per_row": 0.5, "compute_per_job": 1.5, "storage_per_gigabyte": 1.75}
 BUDGET = 1515.0
 # Words that occur in the test products' names, in the place of the search terms.
 TEST_TERMS = {
@@ -251,6 +251,37 @@ def retention_cleanup(spark, products):
     return kept.select("product_id", "scraped_at", "processed")
 
 
+@query("products", "reviews", "pricing")
+def retention_counts(spark, products, reviews, pricing):
+    """Kept and dropped rows of each staging table; rows with an even sequence number are loaded."""
+    versions = {"products": products, "reviews": reviews, "pricing": pricing}
+    until = {"products": "2024-02-10 00:00:00", "reviews": "2024-02-10 00:00:00", "pricing": "1998-06-01 00:00:00"}
+    parts = []
+    for name, df in versions.items():
+        key = schemas.PRIMARY_KEY[name]
+        order = ["ingest_seq"] if name != "pricing" else ["ingest_seq", "product_id", "current_price", "original_price", "discount_percentage"]
+        latest = dedup.latest_rows(df, key, order)
+        ledger = staging.marks(latest.filter("ingest_seq % 2 = 0"), key)
+        counts = staging.retention_counts(latest, ledger, key, timestamp(until[name]), 30)
+        parts.append(counts.select(F.lit(name).alias("table"), "kept", "dropped"))
+    return checks._union(parts)
+
+
+@query("metrics")
+def metrics_export_json(spark, samples):
+    """The JSON export read back."""
+    folder = scratch.new_folder(spark, "metrics")
+    export.write_metrics(labelled(samples), folder, "json")
+    rows = spark.read.schema("ts timestamp_ntz, name string, value double, type string, labels map<string,string>").json(f"{folder}/samples")
+    return rounded(rows.select("ts", "name", "value", "type", F.col("labels")["site"].alias("site")), "value")
+
+
+@query("metrics")
+def recent_metrics(spark, samples):
+    """The buffer of the last thousand samples."""
+    return rounded(metrics.recent(samples, 1000).select("ts", "seq", "name", "value"), "value")
+
+
 @query("metrics")
 def metrics_export(spark, samples):
     folder = scratch.new_folder(spark, "metrics")
@@ -356,6 +387,15 @@ def clean_reviews(spark, reviews):
     return ingest.clean(texts, "reviews").select("review_id", "review_date", "scraped_at", "rating")
 
 
+@query("products")
+def ingest_rows(spark, products):
+    """The rows that come out of an ingest, kept and rejected, each with its score."""
+    folder = scratch.new_folder(spark, "ingest")
+    kept, rejected, _ = ingest.ingest_into(typed(products, "products"), "products", timestamp(AS_OF), folder)
+    rows = kept.withColumn("status", F.lit("processed")).unionByName(rejected.withColumn("status", F.lit("failed")))
+    return rounded(rows.select("product_id", "status", "overall_score"), "overall_score")
+
+
 @query("products", "reviews", "pricing")
 def processing_stats(spark, products, reviews, pricing):
     batches = []
@@ -508,10 +548,9 @@ def job_status_counts(spark, jobs):
 
 
 def _all_checks(products, reviews, pricing, jobs) -> tuple[DataFrame, DataFrame]:
-    scores = all_scores(products, reviews, pricing)
     as_of = timestamp(AS_OF)
-    found = checks.run_checks(scores, _tables(products, reviews, pricing), jobs, as_of, as_of)
-    return found, scores
+    profile = checks.profiles(_tables(products, reviews, pricing), as_of, whole=True)
+    return checks.run_checks(profile, jobs, as_of), profile
 
 
 CHECKED = ("products", "reviews", "pricing_2024", "jobs_2024")
@@ -519,7 +558,8 @@ CHECKED = ("products", "reviews", "pricing_2024", "jobs_2024")
 
 @query(*CHECKED)
 def health_metrics(spark, *tables):
-    return rounded(checks.health_metrics(*_all_checks(*tables)), "overall_health_score", "avg_quality_score")
+    found, profile = _all_checks(*tables)
+    return rounded(checks.health_metrics(found, checks.average_quality(profile)), "overall_health_score", "avg_quality_score")
 
 
 @query(*CHECKED)
@@ -672,6 +712,23 @@ def cost_report(spark, pricing, jobs):
     return rounded(reports.cost_report(usage, RATES, BUDGET), "utilization_percentage")
 
 
+@query("products", "reviews", "pricing")
+def storage_costs(spark, products, reviews, pricing):
+    """Costs of all stored tables by the bytes of their files: the figures that don't hang on how files are packed."""
+    root = scratch.new_folder(spark, "stored")
+    folders = {}
+    for name, df in (("products", products), ("reviews", reviews), ("pricing", pricing)):
+        folders[name] = f"{root}/{name}"
+        warehouse.append(ingest.clean(df, name), folders[name], name)
+    costs = reports.storage_cost(reports.stored_bytes(spark, folders), RATES["storage_per_gigabyte"], BUDGET)
+    rows = checks._union([warehouse.read(spark, path).agg(F.lit(name).alias("table"), F.count("*").alias("rows")) for name, path in folders.items()])
+    return rounded(costs, "share").join(rows, "table").select(
+        "table", "rows", (F.col("bytes") > 8 * F.col("rows")).alias("measured"), (F.col("share") > 0).alias("has_share"),
+        (F.floor(F.col("cost") / F.col("bytes") * 1e13 + 0.5) / 1e4).alias("cost_per_gigabyte"),
+        (F.col("remaining_budget") < BUDGET).alias("charged"),
+    )
+
+
 @query(*REPORTED)
 def dashboard_rows(spark, products, reviews, pricing, jobs, samples):
     board = reports.dashboard(
@@ -868,6 +925,21 @@ def extract_reviews(spark, shop):
     )
 
 
+@query("review_pages", "shop_pages")
+def linked_reviews(spark, review_pages, shop_pages):
+    """Reviews of the first shop, which carry item codes, joined to the products that have these codes."""
+    reviews = pages.extract_reviews(review_pages.filter("site = 'amazon'"))
+    products = pages.extract_products(shop_pages.filter("site = 'amazon'").select("page_id", "site", "url", "html"))
+    linked = pages.link_item_codes(reviews, products).join(products.select("product_id", "name"), "product_id", "left")
+    return linked.groupBy("product_id", "name").agg(F.count("*").alias("reviews"), F.sum("rating").alias("rating_sum"))
+
+
+@query("listing_pages")
+def shop_listings(spark, shop):
+    """Cards of the three shops' result pages with all of their fields."""
+    return pages.extract_listings(shop).select("page_id", "position", "site", "url", "name", "price", "rating", "image")
+
+
 @query("shop_pages")
 def extract_pricing(spark, shop):
     prices = pages.extract_pricing(shop).withColumn("offers", F.array_join("offers", "|"))
@@ -946,3 +1018,10 @@ def stream_silence_alerts(spark, log, folder):
 def stream_ingest_counts(spark, pricing, folder):
     _, counts = streams.ingest(typed(pricing, "pricing"), "pricing", timestamp(PRICES_AS_OF), f"{folder}/out", f"{folder}/checkpoint")
     return counts.groupBy("entity").agg(*[F.sum(c).alias(c) for c in ("rows", "processed", "duplicates", "failures")])
+
+
+@stream_query("events", "metrics")
+def stream_timer_windows(spark, samples, folder):
+    with silence.keyed_state(spark):
+        rows = streams.run_to_end(timers.timer_windows(samples), f"{folder}/out", f"{folder}/checkpoint")
+    return rounded(bindings.zone_free(rows), "avg", "min", "max", "p95")

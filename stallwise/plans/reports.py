@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -223,10 +223,24 @@ def monthly_usage(stored: dict[str, tuple[DataFrame, str]], jobs: DataFrame) ->
     )
 
 
-def stored_bytes(files: DataFrame) -> DataFrame:
-    """Bytes of the files a file-backed frame reads, from file metadata."""
-    return files.select("_metadata.file_path", "_metadata.file_size").distinct().agg(
-        F.sum("file_size").alias("bytes")
+def stored_bytes(spark: SparkSession, folders: dict[str, str]) -> DataFrame:
+    """(table, files, bytes) of stored tables `{name: folder}`: from the listing of their files, no row or byte is read."""
+    parts = [
+        spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet").load(folder)
+        .agg(F.lit(name).alias("table"), F.count("path").alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
+        for name, folder in folders.items()
+    ]
+    return _union(parts)
+
+
+def storage_cost(stored: DataFrame, per_gigabyte: float, budget: float) -> DataFrame:
+    """Cost of each stored table by its bytes, its share of all, and what all of them leave of the budget."""
+    cost = F.col("bytes") / F.lit(1e9) * per_gigabyte
+    every = stored.agg(F.sum("bytes")).scalar()
+    whole = every / F.lit(1e9) * per_gigabyte
+    return stored.select(
+        "table", "files", "bytes", cost.alias("cost"), (F.col("bytes") / F.nullif(every, F.lit(0))).alias("share"),
+        (F.lit(budget) - whole).alias("remaining_budget"), (whole / budget * 100).alias("utilization_percentage"),
     )
 
 

@@ -3,11 +3,16 @@
 `with_elements` adds two arrays to each page: its text pieces and its elements in document order. An element names its
 range of text pieces and its last descendant, so text and containment are plain array expressions, no text is stored
 twice, and nothing about a page ever leaves its row: extraction needs no shuffle.
+
+`with_found` gives, in place of all elements, an index by selector of those that the selectors asked for name. Elements
+that others are looked for in carry, for each such selector, the range of its matches that stand inside them. So every
+look-up is a map access or a slice, and the work on a page is linear in what it holds.
 """
 
 from __future__ import annotations
 
 import sys
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from html.parser import HTMLParser
 
@@ -23,6 +28,12 @@ VOID = frozenset(
 )
 SILENT = frozenset("rp rt script style template".split())
 PAGES_PER_BATCH = 200
+# Places in an element's record.
+LAST, TEXT_FROM, TEXT_TO, NEXT, WITHIN, WITHIN_TO = 1, 4, 5, 6, 7, 8
+FOUND_DDL = (
+    "array<struct<idx:int,last:int,tag:string,attrs:map<string,string>,text_from:int,text_to:int,next_from:int,next_to:int,"
+    "within:array<int>,within_to:array<int>>>"
+)
 
 ELEMENT_DDL = (
     "struct<idx:int,parent:int,last:int,tag:string,id:string,classes:array<string>,attrs:map<string,string>,"
@@ -141,6 +152,138 @@ class _Walker(HTMLParser):
         )
 
 
+class _Finder(HTMLParser):
+    """Gathers the texts of many pages, and their elements by selector, as columns."""
+
+    def __init__(self, wanted: list[str], inner: list[str]) -> None:
+        super().__init__(convert_charrefs=True)
+        self.rules: dict[str, list[tuple[str, str | None, str | None]]] = {}
+        for css in wanted:
+            selector = Selector(css)
+            self.rules.setdefault(selector.tag, []).append((css, selector.attr, selector.value))
+        self.inner = inner
+        self.texts: list[str] = []
+        self.text_ends, self.found_ends = [0], [0]
+        self.keys: list[str] = []
+        self.key_ends = [0]
+        self.hits: list[list] = []
+
+    def read(self, html: str | None) -> None:
+        # Open elements: tag, its record if anything asks for it, the record of its last child.
+        self.open: list[list] = [["", None, None]]
+        self.tags: Counter[str] = Counter()
+        self.pending: list[str] = []
+        self.silent = self.idx = 0
+        self.first_text = len(self.texts)
+        self.found: dict[str, list[list]] = {}
+        self.reset()
+        self.feed(html or "")
+        self.close()
+        self._end_text()
+        while len(self.open) > 1:
+            self._close()
+        for css, hits in self.found.items():
+            self.keys.append(css)
+            self.hits.extend(hits)
+            self.key_ends.append(len(self.hits))
+        self.found_ends.append(len(self.keys))
+        self.text_ends.append(len(self.texts))
+
+    def updatepos(self, i: int, j: int) -> int:
+        return j  # line numbers are not needed
+
+    def _end_text(self) -> None:
+        if self.pending:
+            piece = "".join(self.pending).strip()
+            self.pending.clear()
+            if piece and not self.silent:
+                self.texts.append(piece)
+
+    def _counts(self) -> list[int]:
+        return [len(self.found.get(css, ())) for css in self.inner]
+
+    def _end(self, record: list | None) -> None:
+        if record:
+            record[TEXT_TO] = len(self.texts) - self.first_text
+            record[LAST] = self.idx - 1
+            record[WITHIN_TO] = self._counts()
+
+    def _close(self) -> None:
+        tag, record, _ = self.open.pop()
+        self.tags[tag] -= 1
+        self.silent -= tag in SILENT
+        self._end(record)
+
+    def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self._end_text()
+        named = {k: v or "" for k, v in attrs}
+        own = [css for css, attr, value in self.rules.get(tag, ()) if attr is None or (value in named.get("class", "").split() if attr == "class" else named.get(attr) == value)]
+        record, before = None, self.open[-1][2]
+        if own or before:
+            at = len(self.texts) - self.first_text
+            record = [self.idx, self.idx, tag, list(named.items()), at, at, None, None, None]
+        if before:
+            before[NEXT] = record
+        for css in own:
+            self.found.setdefault(css, []).append(record)
+        if own:
+            record[WITHIN] = record[WITHIN_TO] = self._counts()
+        # Only a wanted element is asked for the one after it.
+        self.open[-1][2] = record if own else None
+        self.idx += 1
+        if tag not in VOID:
+            self.open.append([tag, record, None])
+            self.tags[tag] += 1
+            self.silent += tag in SILENT
+
+    def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        self.handle_starttag(tag, attrs)
+        if tag not in VOID:
+            self.handle_endtag(tag)
+
+    def handle_endtag(self, tag: str) -> None:
+        self._end_text()
+        if self.tags[tag]:
+            while self.open[-1][0] != tag:
+                self._close()
+            self._close()
+
+    def handle_data(self, data: str) -> None:
+        self.pending.append(data)
+
+    def handle_comment(self, data: str) -> None:
+        self._end_text()
+
+    handle_decl = handle_pi = handle_comment
+
+    def unknown_decl(self, data: str) -> None:
+        self._end_text()
+        if data.upper().startswith("CDATA["):
+            self.pending.append(data[6:])
+            self._end_text()
+
+    def columns(self) -> tuple[pa.Array, pa.Array]:
+        """(texts, found), one list and one map per page."""
+        def whole(values) -> pa.Array:
+            return pa.array(values, pa.int32())
+
+        numbers, counts = pa.int32(), pa.list_(pa.int32())
+        column = list(zip(*self.hits)) if self.hits else [()] * 9
+        after = [(r[TEXT_FROM], r[TEXT_TO]) if r else (None, None) for r in column[NEXT]]
+        fields = {
+            "idx": whole(column[0]), "last": whole(column[LAST]), "tag": pa.array(column[2], pa.string()),
+            "attrs": pa.array(column[3], pa.map_(pa.string(), pa.string())), "text_from": whole(column[TEXT_FROM]),
+            "text_to": whole(column[TEXT_TO]), "next_from": pa.array([x for x, _ in after], numbers),
+            "next_to": pa.array([x for _, x in after], numbers), "within": pa.array(column[WITHIN], counts),
+            "within_to": pa.array(column[WITHIN_TO], counts),
+        }
+        lists = pa.ListArray.from_arrays(whole(self.key_ends), pa.StructArray.from_arrays(list(fields.values()), names=list(fields)))
+        return (
+            pa.ListArray.from_arrays(whole(self.text_ends), pa.array(self.texts, pa.string())),
+            pa.MapArray.from_arrays(whole(self.found_ends), pa.array(self.keys, pa.string()), lists),
+        )
+
+
 def walk(pages: Iterable[str | None]) -> tuple[pa.Array, pa.Array]:
     walker = _Walker()
     for html in pages:
@@ -169,6 +312,26 @@ def with_elements(pages: DataFrame) -> DataFrame:
     return pages.mapInArrow(_walk_batches, ", ".join([*kept, "texts array<string>", f"elements array<{ELEMENT_DDL}>"]))
 
 
+def with_found(pages: DataFrame, wanted: list[str], inner: list[str]) -> DataFrame:
+    """Replace `html` by `texts` and `found`: the elements of each selector in `wanted`, in document order.
+
+    `inner` are the selectors of `wanted` that are also looked for inside elements. Every other column is kept.
+    """
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in pages.schema.fields if f.name != "html"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, PAGES_PER_BATCH):
+                batch = whole.slice(start, PAGES_PER_BATCH)
+                finder = _Finder(wanted, inner)
+                for html in batch.column("html").to_pylist():
+                    finder.read(html)
+                keep = [n for n in batch.schema.names if n != "html"]
+                yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in keep], *finder.columns()], names=[*keep, "texts", "found"])
+
+    return pages.mapInArrow(run, ", ".join([*kept, "texts array<string>", f"found map<string,{FOUND_DDL}>"]))
+
+
 def element_rows(pages: DataFrame) -> DataFrame:
     """One row per element: (page_id, idx, parent, tag, id, classes, attrs, text)."""
     walked = with_elements(pages.select("page_id", "html"))
@@ -204,37 +367,39 @@ class Selector:
         else:
             self.tag = css
 
-    def matches(self, element: Column) -> Column:
-        is_tag = element["tag"] == self.tag
-        if self.attr is None:
-            return is_tag
-        if self.attr == "class":
-            return is_tag & F.array_contains(element["classes"], self.value)
-        if self.attr == "id":
-            return is_tag & F.coalesce(element["id"] == self.value, F.lit(False))
-        return is_tag & F.coalesce(F.try_element_at(element["attrs"], F.lit(self.attr)) == self.value, F.lit(False))
 
+class Found:
+    """Look-ups in the `found` column of `with_found(pages, wanted, inner)`."""
 
-def all_of(elements: Column, *selectors: str) -> Column:
-    """Elements of the first selector, then those of the next."""
-    found = [F.filter(elements, Selector(s).matches) for s in selectors]
-    return found[0] if len(found) == 1 else F.concat(*found)
+    def __init__(self, inner: list[str]) -> None:
+        self.place = {css: i for i, css in enumerate(inner)}
 
+    def of(self, css: str, within: Column | None = None) -> Column:
+        """Elements of one selector: all of them, or those inside an element."""
+        hits = F.coalesce(F.try_element_at("found", F.lit(css)), F.array().cast(FOUND_DDL))
+        if within is None:
+            return hits
+        start, end = (F.get(within[c], F.lit(self.place[css])) for c in ("within", "within_to"))
+        return F.slice(hits, start + 1, end - start)
 
-def first_nonempty(elements: Column, *selectors: str) -> Column:
-    """All elements of the first selector that has any."""
-    options = [all_of(elements, s) for s in selectors]
-    chosen = options[-1]
-    for option in reversed(options[:-1]):
-        chosen = F.when(F.size(option) > 0, option).otherwise(chosen)
-    return chosen
+    def all_of(self, *selectors: str, within: Column | None = None) -> Column:
+        """Elements of the first selector, then those of the next."""
+        found = [self.of(s, within) for s in selectors]
+        return found[0] if len(found) == 1 else F.concat(*found)
 
+    def first_nonempty(self, *selectors: str, within: Column | None = None) -> Column:
+        """All elements of the first selector that has any."""
+        *options, chosen = [self.of(s, within) for s in selectors]
+        for option in reversed(options):
+            chosen = F.when(F.size(option) > 0, option).otherwise(chosen)
+        return chosen
 
-def first_of(elements: Column, *selectors: str) -> Column:
-    """The first element of the first selector that has any, else NULL."""
-    return F.coalesce(*[F.get(all_of(elements, s), F.lit(0)) for s in selectors])
+    def first_of(self, *selectors: str, within: Column | None = None) -> Column:
+        """The first element of the first selector that has any, else NULL."""
+        return F.coalesce(*[F.get(self.of(s, within), F.lit(0)) for s in selectors])
 
 
-def inside(elements: Column, container: Column) -> Column:
-    """Descendants of an element: a contiguous range."""
-    return F.slice(elements, container["idx"] + 2, container["last"] - container["idx"])
+def next_text(element: Column) -> Column:
+    """The text of the element after this one, under the same parent; NULL where there is none."""
+    pieces = F.slice(F.col("texts"), element["next_from"] + 1, element["next_to"] - element["next_from"])
+    return F.array_join(pieces, "")

@@ -58,6 +58,12 @@ def retained(latest: DataFrame, ledger: DataFrame, key: str, as_of: Column, days
     return with_processed(latest, ledger, key).filter(~expired(as_of, days))
 
 
+def retention_counts(latest: DataFrame, ledger: DataFrame, key: str, as_of: Column, days: int = 30) -> DataFrame:
+    """(kept, dropped): how many rows `retained` keeps and leaves out."""
+    old = expired(as_of, days)
+    return with_processed(latest, ledger, key).agg(F.count_if(~old).alias("kept"), F.count_if(old).alias("dropped"))
+
+
 def compact(rows: DataFrame, new_path: str, key: str, max_records_per_file: int = 5_000_000) -> None:
     """Write the latest versions (or the retained ones) to a new folder, which then takes the log's place."""
     current(rows, key).write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file).parquet(new_path)

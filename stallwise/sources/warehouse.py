@@ -7,12 +7,12 @@ in which each key is unique, under the deltas loaded since. Compaction writes a
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallwise import schemas
 from stallwise.operators import dedup, ingest
-from stallwise.sources import manifest
+from stallwise.sources import manifest, observed
 
 DAY = "dt"
 
@@ -79,12 +79,11 @@ def load_pending(
     if versions is None:
         return 0
     number = manifest.next_number(manifest.entries(spark, root, table))
-    counted = Observation("load")
     rows = _by_day(ingest.clean(dedup.latest_rows(versions, schemas.PRIMARY_KEY[table]), table), table)
-    rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
-    _written(rows, f"{root}/warehouse/{table}/load={number}", table, "overwrite", max_records_per_file)
-    manifest.commit(spark, root, table, number, "load", upto, counted.get["rows"])
-    return counted.get["rows"]
+    counted = observed.Passing(rows)
+    _written(counted.frame, f"{root}/warehouse/{table}/load={number}", table, "overwrite", max_records_per_file)
+    manifest.commit(spark, root, table, number, "load", upto, counted.counts()["rows"])
+    return counted.counts()["rows"]
 
 
 def _live(spark: SparkSession, root: str, table: str) -> tuple[list[int], list[int]]:
@@ -122,11 +121,10 @@ def compact(spark: SparkSession, root: str, table: str, max_records_per_file: in
     if not deltas:
         return 0
     number = manifest.next_number(manifest.entries(spark, root, table))
-    counted = Observation("compact")
-    rows = _by_day(read_current(spark, root, table).drop("load", DAY), table).observe(counted, F.count(F.lit(1)).alias("rows"))
-    _written(rows, f"{root}/warehouse/{table}/load={number}", table, "overwrite", max_records_per_file)
-    manifest.commit(spark, root, table, number, "base", deltas[-1], counted.get["rows"])
-    return counted.get["rows"]
+    counted = observed.Passing(_by_day(read_current(spark, root, table).drop("load", DAY), table))
+    _written(counted.frame, f"{root}/warehouse/{table}/load={number}", table, "overwrite", max_records_per_file)
+    manifest.commit(spark, root, table, number, "base", deltas[-1], counted.counts()["rows"])
+    return counted.counts()["rows"]
 
 
 def process_all_pending(

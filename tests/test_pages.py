@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -121,15 +123,69 @@ def test_walker_on_malformed_markup(spark):
 
 
 def test_text_of_missing_element_is_empty(spark):
-    df = html.with_elements(spark.createDataFrame([(1, "<a>x</a>")], "page_id long, html string"))
+    df = html.with_found(spark.createDataFrame([(1, "<a>x</a>")], "page_id long, html string"), ["a", "b"], [])
+    found = html.Found([])
     row = df.select(
-        html.text_of(html.first_of(F.col("elements"), "b")).alias("gone"),
-        html.text_of(html.first_of(F.col("elements"), "b", "a")).alias("there"),
-        text.clean_price(html.text_of(html.first_of(F.col("elements"), "b"))).alias("price"),
+        html.text_of(found.first_of("b")).alias("gone"), html.text_of(found.first_of("b", "a")).alias("there"),
+        text.clean_price(html.text_of(found.first_of("b"))).alias("price"),
     ).first()
     assert tuple(row) == ("", "x", None)
 
 
+def test_found_elements_equal_a_search_through_all(spark):
+    rng = random.Random(3)
+
+    def markup(depth):
+        tag = rng.choice(("div", "p", "tr", "td", "span", "img"))
+        mark = rng.choice(("", " class='a'", " class='b a'", " id='a'", " data-x='a'"))
+        inner = "".join(markup(depth - 1) for _ in range(rng.randrange(4))) if depth else "t"
+        return f"<{tag}{mark}>{inner}" + (f"</{tag}>" if rng.random() < 0.8 else "")
+
+    pages_ = [(i, "".join(markup(4) for _ in range(3))) for i in range(40)] + [(90, None), (91, "")]
+    df = spark.createDataFrame(pages_, "page_id long, html string")
+    wanted = ["div", "div.a", "p#a", "span[data-x=a]", "td", "tr.a", "img.b"]
+    found = html.Found(wanted)
+    shown = [F.transform(found.of(s), lambda e: F.struct(e["idx"], e["last"], html.text_of(e))).alias(f"all_{i}") for i, s in enumerate(wanted)]
+
+    def inside(css):
+        return F.transform(found.of("div"), lambda d: F.transform(found.of(css, d), lambda e: e["idx"]))
+
+    shown += [inside(s).alias(f"in_{i}") for i, s in enumerate(wanted)]
+    shown += [F.transform(found.of("div"), html.next_text).alias("next")]
+    rows = {r.page_id: r for r in html.with_found(df, wanted, wanted).select("page_id", *shown).collect()}
+    whole = {r.page_id: r for r in html.with_elements(df).collect()}
+    for page, row in rows.items():
+        every = whole[page].elements
+        text_of = lambda e: "".join(whole[page].texts[e.text_from : e.text_to])
+        for i, css in enumerate(wanted):
+            s = html.Selector(css)
+            held = [e for e in every if e.tag == s.tag and (s.attr is None or (s.value in e.classes if s.attr == "class" else e.attrs.get(s.attr) == s.value))]
+            assert [tuple(x) for x in row[f"all_{i}"]] == [(e.idx, e.last, text_of(e)) for e in held]
+            assert row[f"in_{i}"] == [[e.idx for e in held if d.idx < e.idx <= d.last] for d in every if d.tag == "div"]
+        after = [next((text_of(e) for e in every if e.idx > d.idx and e.parent == d.parent), None) for d in every if d.tag == "div"]
+        assert row.next == after
+
+
+def test_extraction_is_linear_in_the_page(spark):
+    def page(n):
+        rows = "".join(f"<tr><td>key {i % (n // 2)}</td><td>value {i}</td></tr>" for i in range(n))
+        return f"<span id='productTitle'>Item</span><table id='productDetails_techSpec_section_1'>{rows}</table>"
+
+    def seconds(n):
+        # As much markup in all, in few long pages or many short ones.
+        df = spark.createDataFrame([(i, "amazon", "u", page(n)) for i in range(24_000 // n)], "page_id long, site string, url string, html string").coalesce(1).cache()
+        df.count()
+        best = []
+        for _ in range(3):
+            start = time.perf_counter()
+            rows = pages.extract_products(df).select(F.size("specifications").alias("n"), F.col("specifications")[f"key {n // 2 - 1}"].alias("v")).collect()
+            best.append(time.perf_counter() - start)
+        assert {(r.n, r.v) for r in rows} == {(n // 2, f"value {n - 1}")}
+        return min(best)
+
+    assert seconds(4000) < 3 * seconds(100) + 0.5
+
+
 def test_extraction_needs_no_shuffle(spark):
     plan = pages.extract_products(page_frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1

@@ -57,6 +57,26 @@ def test_dedup_and_upsert_are_idempotent_and_counters_add_up(spark, rows):
     assert sum(counts.values()) == len(rows) and counts["duplicate"] == len(rows) - len(seen)
 
 
+def test_ingest_reads_its_input_once_and_gives_rows(spark, tmp_path):
+    df = prices(spark, [("a", 0, 1), ("a", 0, 2), ("b", 0, 3), ("c", 1, 4)]).withColumn("discount_percentage", F.when(F.col("product_id") != "c", 5.0))
+    df = df.withColumn("original_price", F.when(F.col("product_id") != "c", F.col("original_price")))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    kept, rejected, counters = ingest.ingest_into(df.mapInArrow(counted, df.schema), "pricing", as_of(), f"{tmp_path}/out")
+    assert sorted(r.ingest_seq for r in kept.collect()) == [0, 2] and [r.product_id for r in rejected.collect()] == ["c"]
+    assert rejected.first().overall_score < 0.76 and reads.value == 4
+    assert {r.status: r.n for r in counters.collect()} == {"processed": 2, "duplicate": 1, "failed": 1}
+    assert {r.status: r.n for r in ingest.ingest_counts(df.mapInArrow(counted, df.schema), "pricing", as_of()).collect()} == {"processed": 2, "duplicate": 1, "failed": 1}
+    assert reads.value == 8
+    empty = ingest.ingest_into(df.limit(0), "pricing", as_of(), f"{tmp_path}/none")
+    assert [part.count() for part in empty] == [0, 0, 3]
+
+
 def test_dedup_across_batches(spark):
     first, second = prices(spark, [("a", 0, 1), ("b", 0, 1)]), prices(spark, [("a", 0, 2), ("a", 1, 2), ("a", 1, 3)])
     seen = dedup.drop_duplicates(first, "pricing").select(dedup.signature_hash("pricing").alias("signature"))

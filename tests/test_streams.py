@@ -8,9 +8,9 @@ import random
 
 from pyspark.sql import functions as F
 
-from stallwise.operators import dedup, ingest
+from stallwise.operators import dedup, ingest, metrics
 from stallwise.plans import bindings
-from stallwise.streaming import jobs, silence
+from stallwise.streaming import jobs, silence, timers
 
 T0 = dt.datetime(2024, 1, 1)
 
@@ -154,3 +154,29 @@ def test_stream_keys_agree_with_batch_signatures(spark):
     assert df.select(dedup.signature_hash("reviews")).distinct().count() == 1
     assert jobs.keyed_by_text(df, "content").select("copy_key").distinct().count() == 1
     assert bindings.tables_of("review_pages") == {"documents", "labels"}
+
+
+def test_timer_windows_equal_batch_figures(spark, tmp_path):
+    rng = random.Random(9)
+    # One metric has most samples; some come out of order, in another file.
+    rows = [(T0 + dt.timedelta(seconds=rng.randrange(20_000)), i, "hot" if rng.random() < 0.8 else rng.choice("ab"), rng.random() * 9, "timer") for i in range(3000)]
+    rows += [(None, 9000, "a", 1.0, "timer"), (T0, 9001, "a", None, "timer"), (T0, 9002, "a", 5.0, "gauge"), (T0, 9003, None, 2.0, "timer")]
+    ddl = "ts timestamp_ntz, seq long, name string, value double, type string"
+    for part in range(3):
+        spark.createDataFrame(rows[part::3], ddl).coalesce(2).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = spark.readStream.schema(ddl).parquet(f"{tmp_path}/in")
+    with silence.keyed_state(spark):
+        found = jobs.run_to_end(timers.timer_windows(stream), f"{tmp_path}/out", f"{tmp_path}/checkpoint").collect()
+    want = {}
+    end = max(r[0] for r in rows if r[0]) - dt.timedelta(hours=1)
+    for hour in range(6):
+        start = T0 + dt.timedelta(hours=hour)
+        inside = spark.createDataFrame([r for r in rows if r[0] and r[3] is not None and r[2] and start <= r[0] < start + dt.timedelta(hours=1)], ddl)
+        if start + dt.timedelta(hours=1) <= end:
+            want |= {(start, r.key): r for r in metrics.timer_stats(inside).collect()}
+    named = {(r.window_start, r.name): r for r in found if r.name is not None}
+    assert set(named) == set(want) and max(r["count"] for r in found) == 100
+    for key, r in want.items():
+        assert (named[key]["count"], named[key].min, named[key].max, named[key].p95) == (r["count"], r.min, r.max, r.p95)
+        assert abs(named[key].avg - r.avg) < 1e-12
+    assert [r["count"] for r in found if r.name is None] == [1]

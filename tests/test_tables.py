@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stallwise import schemas
+from stallwise.functions import quality
 from stallwise.operators import alerts, checks, ingest, metrics
 from stallwise.plans import reports, views
 from stallwise.sources import export, landing, staging, warehouse
@@ -191,11 +192,32 @@ def test_checks_alerts_and_status(spark):
     assert checks.overall_status(raised).first().overall_status == "ALERT"
     assert checks.overall_status(raised.filter("severity = 'MEDIUM'")).first().overall_status == "WARNING"
     assert checks.overall_status(raised.limit(0)).first().overall_status == "PASS"
-    health = checks.health_metrics(found, scores(spark, [0.5])).first()
+    health = checks.health_metrics(found, checks.data_quality(scores(spark, [0.5])).select("avg_overall_score").scalar()).first()
     assert (health.overall_health_score, health.avg_quality_score) == (0.625, 0.5)
     assert checks.report_rows(found, raised).count() == 7
 
 
+def test_all_checks_read_each_table_once(spark, tmp_path):
+    rows = staged(spark, [("a", True, 1), ("b", None, 2), ("a", True, 3)]).withColumns({"url": F.lit("https://amazon.in/x"), "brand": F.lit("n"), "description": F.lit(None).cast("string"), "specifications": F.lit("{}")})
+    rows.write.parquet(f"{tmp_path}/products")
+    stored = spark.read.parquet(f"{tmp_path}/products")
+    jobs = spark.createDataFrame([], "status string, created_at timestamp_ntz")
+    profile = checks.profiles({"products": stored}, at(T0 + dt.timedelta(hours=1)), whole=True)
+    found = checks.run_checks(profile, jobs, at())
+    status = checks.overall_status(checks.quality_alerts(found))
+    status.collect()
+    assert status._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+    got = {r.check: (r.status, r.measure) for r in found.collect()}
+    assert got["duplicates"] == ("FAIL", pytest.approx(2 / 3)) and got["site_coverage"] == ("PARTIAL", 1.0) and got["freshness"] == ("PASS", 1.0)
+    scored = quality.with_scores(ingest.parse_json_columns(stored, "products"), "products", at(T0 + dt.timedelta(hours=1)))
+    mean = scored.agg(F.avg("overall_score")).first()[0]
+    assert checks.health_metrics(found, checks.average_quality(profile)).first().avg_quality_score == pytest.approx(mean)
+    none = checks.profiles({"products": stored.limit(0)}, at(), whole=True)
+    assert {r.check: r.status for r in checks.run_checks(none, jobs, at()).collect()} == {
+        "data_quality": "NO_DATA", "completeness": "PASS", "freshness": "STALE", "duplicates": "PASS", "site_coverage": "PASS", "processing_health": "PASS",
+    }
+
+
 def samples(spark, rows):
     return spark.createDataFrame(
         [(T0 + dt.timedelta(seconds=s), s, n, float(v), k, labels) for s, n, v, k, labels in rows],
@@ -231,6 +253,17 @@ def test_metric_export(spark, tmp_path):
         export.write_metrics(df, f"{tmp_path}/x", "xml")
 
 
+def test_stored_bytes_come_from_the_listing(spark, tmp_path):
+    spark.range(1000).write.parquet(f"{tmp_path}/a/x=1")
+    spark.range(10).write.parquet(f"{tmp_path}/b")
+    found = {r.table: r for r in reports.storage_cost(reports.stored_bytes(spark, {t: f"{tmp_path}/{t}" for t in "ab"}), 2.0, 10.0).collect()}
+    size = {t: sum(f.stat().st_size for f in (tmp_path / t).rglob("*.parquet")) for t in "ab"}
+    assert {t: r.bytes for t, r in found.items()} == size and found["a"].cost == size["a"] / 1e9 * 2
+    assert found["a"].share + found["b"].share == pytest.approx(1) and found["b"].remaining_budget == pytest.approx(10 - sum(size.values()) / 1e9 * 2)
+    plan = reports.stored_bytes(spark, {"a": f"{tmp_path}/a"})._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan.split("ReadSchema")[1]
+
+
 def test_alerts(spark):
     rules = alerts.rules_frame(spark, {"mine": {"metric": "x", "threshold": 1, "operator": "~", "severity": "LOW", "message": "m"}})
     gauges = spark.createDataFrame([("error_rate", 20.0), ("data_quality_score", 0.9)], "key string, value double")
