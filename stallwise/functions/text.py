@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 # What Unicode calls white space; the \s of Java is ASCII only.
 SPACE = r"[\s\x0B\x1C-\x1F\x85\p{Z}]"
+# Tracking parameters, keywords and phrases, in the order in which they are looked for.
 TRACKING_PARAMETERS = ["utm_source", "utm_medium", "utm_campaign", "ref", "tag"]
 OFFER_KEYWORDS = ["offer", "discount", "save", "deal"]
 SPAM_PHRASES = ["buy now", "click here", "visit", "website"]
@@ -17,6 +18,7 @@ BREADCRUMB_CATEGORIES = [
     ("clothing", ["clothing", "fashion"]), ("home-kitchen", ["home", "kitchen"]), ("books", ["book"]),
     ("sports", ["sport"]),
 ]
+# Fixed value: what counts as a valid URL.
 URL_PATTERN = (
     r"(?i)^https?://(?:(?:[A-Z0-9](?:[A-Z0-9-]{0,61}[A-Z0-9])?\.)+[A-Z]{2,6}\.?|localhost"
     r"|[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3})(?::[0-9]+)?(?:/?|[/?]\S+)$"
