@@ -72,7 +72,7 @@ def with_spam_checks(df: DataFrame, content: str) -> DataFrame:
         # Ten characters from the first visible one to the last, without a stripped copy of the text.
         "too_short": ~c.rlike(f"(?s){VISIBLE}.{{8,}}?{VISIBLE}"),
         "repetitive": F.size(F.array_distinct(ws)) < F.size(ws) * F.lit(0.3),
-        "repeated_character": lowered.rlike(r"(?d)(.)\1{10}"),
+        "repeated_character": lowered.rlike(r"([^\n])\1{10}"),
         "spam_phrase": any_of([lowered.contains(p) for p in SPAM_PHRASES]),
         "long_number": c.rlike(r"\p{Nd}{10}") & c.rlike(digits),
     }

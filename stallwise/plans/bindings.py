@@ -169,7 +169,7 @@ select page_id, site, url, concat('<html><body>', case site
     '<div class="_13oc-S"><div class="_4rR01T">No link</div></div>')
   else concat('<ul><li class="product-base"><a href="/buy/', code, '"><img class="img-responsive" src="https://img.example.com/', code, '.jpg"><h3 class="product-brand">', coalesce(brand, ''), '</h3><h4 class="product-product">', shown, '</h4></a><span class="product-discountedPrice">Rs. ', price, '</span><span class="product-rating">', stars, '</span></li>',
     '<li class="product-base"><h4 class="product-product">No link</h4></li></ul>') end, '</body></html>') as html, code, title, brand, price_value, stars
-from (select page_id, site, url, brand, title, price, price_value, upper(substring(md5(title), 1, 10)) as code, replace(replace(title, '&', '&amp;'), '<', '&lt;') as shown,
+from (select page_id, site, url, brand, title, price_value, concat('1,', cast(price_value as string)) as price, upper(substring(md5(title), 1, 10)) as code, replace(replace(title, '&', '&amp;'), '<', '&lt;') as shown,
   concat(cast(1 + page_id % 4 as string), '.', cast(page_id % 10 as string)) as stars from shop_pages) p
 """
 # One review page per review, in the markup of its shop.

@@ -272,8 +272,7 @@ def metrics_export_json(spark, samples):
     """The JSON export read back."""
     folder = scratch.new_folder(spark, "metrics")
     export.write_metrics(labelled(samples), folder, "json")
-    rows = spark.read.schema("ts timestamp_ntz, name string, value double, type string, labels map<string,string>").json(f"{folder}/samples")
-    return rounded(rows.select("ts", "name", "value", "type", F.col("labels")["site"].alias("site")), "value")
+    return rounded(export.read_metrics(spark, folder).select("ts", "name", "value", "type", F.col("labels")["site"].alias("site")), "value")
 
 
 @query("metrics")
@@ -490,6 +489,43 @@ def site_comparison_preagg(spark, products, pricing, reviews):
     return rounded(compared, "avg_current_price", "avg_discount", "avg_rating")
 
 
+# --- views over tables written by day, whose look-backs read only the days they need ---
+
+
+def _stored(spark, **tables) -> list[DataFrame]:
+    """The tables written by day, products and prices as the warehouse does, and read back."""
+    root = scratch.new_folder(spark, "stored")
+    for name, df in tables.items():
+        if name == "scores":
+            df.withColumn("dt", F.to_date("evaluated_at")).write.partitionBy("dt").parquet(f"{root}/{name}")
+        else:
+            warehouse.append(ingest.clean(df, name), f"{root}/{name}", name)
+    return [warehouse.read(spark, f"{root}/{name}") for name in tables]
+
+
+@query("products", "pricing")
+def stored_price_trends(spark, products, pricing):
+    stored = _stored(spark, products=products, pricing=pricing)
+    return rounded(views.product_price_trends(*stored, timestamp(PRICES_AS_OF)), "discount_percentage", "price_change")
+
+
+@query("products")
+def stored_daily_summary(spark, products):
+    return rounded(views.daily_scraping_summary(*_stored(spark, products=products), timestamp(AS_OF)), "spec_completeness", "desc_completeness")
+
+
+@query("products", "reviews", "pricing_2024")
+def stored_quality_summary(spark, products, reviews, pricing):
+    scores = all_scores(products, reviews, pricing).drop("issues")
+    return rounded(views.quality_summary(*_stored(spark, scores=scores), timestamp(AS_OF)), *AVERAGES)
+
+
+@query("products", "pricing_2024", "reviews")
+def stored_site_comparison(spark, products, pricing, reviews):
+    stored = _stored(spark, products=products, pricing=pricing, reviews=reviews)
+    return rounded(views.site_comparison(*stored, timestamp(AS_OF)), "avg_current_price", "avg_discount", "avg_rating")
+
+
 @query("offer_texts")
 def offer_keyword_hits(spark, offers):
     spans = F.array("a", "b", "c", "d")
@@ -991,8 +1027,8 @@ def stream_ingest(spark, pricing, folder):
 
 @stream_query("events", "fetch_log")
 def stream_dedup(spark, log, folder):
-    first = streams.first_within(log.select("ts", "user_id"), ["user_id"], "ts", "100 days")
-    return streams.run_to_end(first, f"{folder}/out", f"{folder}/checkpoint").select("user_id")
+    first = streams.first_within(log.select("ts", "user_id", "seq"), ["user_id"], "ts", "100 days", ["ts", "seq"])
+    return bindings.zone_free(streams.run_to_end(first, f"{folder}/out", f"{folder}/checkpoint")).select("user_id", "ts", "seq")
 
 
 @stream_query("events", "metrics")

@@ -379,6 +379,8 @@ put("site_comparison_preagg", f"""select site, category, count(distinct k.produc
   group by 1, 2""", "products", "pricing_2024", "reviews", "kept")
 EXTRA["kept"] = (["products", "pricing_2024"], f"""select product_id, site, category from products p where scraped_at >= {NOW} - interval 7 day
   and (not exists (select 1 from pricing_2024 q where q.product_id = p.product_id) or exists (select 1 from pricing_2024 q where q.product_id = p.product_id and q.price_date >= {NOW} - interval 7 day))""")
+for _view, _name in (("product_price_trends", "stored_price_trends"), ("daily_scraping_summary", "stored_daily_summary"), ("quality_summary", "stored_quality_summary"), ("site_comparison", "stored_site_comparison")):
+    SQL[_name] = SQL[_view]
 put("offer_keyword_hits", """select row_id, array_to_string(list_filter([a, b, c, d], lambda x: regexp_matches(lower(x), 'offer|discount|save|deal'))[1:3], '|') as by_keyword,
   array_to_string(list_filter([a, b, c, d], lambda x: length(x) > 10)[1:3], '|') as by_length from offer_texts""", "offer_texts")
 put("check_data_quality", f"""select case when low / n <= 0.3 then 'PASS' else 'FAIL' end as status, n as total_records, n - low as high_quality_records, low as low_quality_records, {r4('low / n')} as low_quality_rate,
@@ -583,7 +585,7 @@ put("politeness_audit", """select domain, count(*) as requests, count(*) filter
   from (select domain, epoch_us(ts) - epoch_us(lag(ts) over (partition by domain order by ts, seq)) as gap from fetch_log) g group by domain""", "fetch_log")
 put("stream_ingest", f"""select price_id, product_id, {r4('current_price')} as current_price, ingest_seq from (select *, row_number() over (partition by price_id order by ingest_seq desc, product_id desc, current_price desc) as v
   from ({_counts('pricing')[0]}) s where overall_score >= {GATE['pricing']}) w where v = 1""", "pricing")
-put("stream_dedup", "select distinct user_id from fetch_log", "fetch_log")
+put("stream_dedup", "select user_id, ts, seq from (select *, row_number() over (partition by user_id order by ts, seq) as rn from fetch_log) f where rn = 1", "fetch_log")
 put("stream_metric_windows", f"""select * from (select date_trunc('hour', ts) as window_start, date_trunc('hour', ts) + interval 1 hour as window_end, name, count(*) as samples,
     {r4(plain_sum("value", "type = 'counter'"))} as counter_sum, {r4("arg_max(value, (ts, seq)) filter (type = 'gauge')")} as gauge_last,
     {r4("min(value) filter (type = 'timer')")} as timer_min, {r4("max(value) filter (type = 'timer')")} as timer_max from metrics group by 1, 2, 3) w

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -41,19 +42,26 @@ def run_to_end(df: DataFrame, path: str, checkpoint: str, mode: str = "append")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def first_of_batch(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """The first row along `order` of each `key` within a micro-batch, whatever tasks and files its rows come from.
+def first_of_batch(stream: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row along `order` of each value of `keys` within a micro-batch, whatever tasks and files rows come from.
 
     Done once before the shuffle, where a key that very many rows share becomes a row per Arrow batch, and once after
     it, where a task holds its share of the micro-batch's distinct keys.
     """
-    sorting = [(c, "ascending") for c in (key, *order)]
+    sorting = [(c, "ascending") for c in (*keys, *order)]
+
+    def changes(column: pa.ChunkedArray) -> pa.Array:
+        """Whether each value but the first differs from the one before; NULL equals NULL."""
+        values = column.combine_chunks()
+        before, now = values.slice(0, len(values) - 1), values.slice(1)
+        differ = pc.fill_null(pc.not_equal(before, now), True)
+        return pc.and_not(differ, pc.and_(before.is_null(), now.is_null()))
 
     def firsts(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         if rows.num_rows:
             rows = rows.take(pc.sort_indices(rows, sorting, null_placement="at_start"))
-            keys = rows.column(key).combine_chunks()
-            opens = pa.concat_arrays([pa.array([True]), pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1))])
+            opens = reduce(pc.or_, [changes(rows.column(c)) for c in keys])
+            opens = pa.concat_arrays([pa.array([True]), opens])
             yield from rows.filter(opens).combine_chunks().to_batches()
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,7 +73,7 @@ def first_of_batch(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
         if held:
             yield from firsts(pa.Table.from_batches(held))
 
-    return stream.mapInArrow(each, stream.schema).repartition(key).mapInArrow(whole, stream.schema)
+    return stream.mapInArrow(each, stream.schema).repartition(*keys).mapInArrow(whole, stream.schema)
 
 
 def unseen(stream: DataFrame, entity: str, as_of: Column) -> DataFrame:
@@ -76,7 +84,7 @@ def unseen(stream: DataFrame, entity: str, as_of: Column) -> DataFrame:
     disk.
     """
     signed = stream.withColumn("signature", dedup.signature_hash(entity, as_of))
-    return first_of_batch(signed, "signature", dedup.ORDER[entity]).dropDuplicates(["signature"])
+    return first_of_batch(signed, ["signature"], dedup.ORDER[entity]).dropDuplicates(["signature"])
 
 
 def ingest_batch(fresh: DataFrame, batch_id: int, entity: str, as_of: Column, root: str) -> None:
@@ -120,10 +128,13 @@ def ingest(
     return dedup.latest_rows(kept, schemas.PRIMARY_KEY[entity], version), counts
 
 
-def first_within(stream: DataFrame, keys: list[str], ts: str, delay: str) -> DataFrame:
-    """First row of each key, forgotten `delay` after its time, so that state stays bounded."""
+def first_within(stream: DataFrame, keys: list[str], ts: str, delay: str, order: list[str]) -> DataFrame:
+    """First row of each key, forgotten `delay` after its time, so that state stays bounded.
+
+    Of the rows of one micro-batch the first along `order` wins; a row of an earlier micro-batch wins over all of them.
+    """
     return (
-        stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+        first_of_batch(stream, keys, order).withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
         .dropDuplicatesWithinWatermark(keys)
     )
 

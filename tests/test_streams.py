@@ -77,7 +77,7 @@ def test_first_of_a_batch_is_chosen_by_order(spark, tmp_path):
     rows = spark.range(4000).select((F.col("id") % 7).cast("string").alias("signature"), (-F.col("id")).alias("ingest_seq"), F.array("id").alias("own"))
     rows.repartition(5).write.parquet(f"{tmp_path}/in")
     stream = spark.readStream.schema(rows.schema).parquet(f"{tmp_path}/in")
-    found = jobs.run_to_end(jobs.first_of_batch(stream, "signature", ["ingest_seq"]), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    found = jobs.run_to_end(jobs.first_of_batch(stream, ["signature"], ["ingest_seq"]), f"{tmp_path}/out", f"{tmp_path}/checkpoint")
     assert sorted(r.own[0] for r in found.collect()) == list(range(3993, 4000))
 
 
@@ -144,9 +144,11 @@ def test_silent_users_are_reported(spark, tmp_path):
 
 def test_stream_dedup_keeps_one_of_each(spark, tmp_path):
     _, stream = event_stream(spark, tmp_path)
-    first = jobs.first_within(stream.select("ts", "user_id"), ["user_id"], "ts", "100 days")
+    stream = stream.select("ts", F.when(F.col("user_id") < 6, F.col("user_id")).alias("user_id"), "name", "seq")
+    first = jobs.first_within(stream, ["user_id", "name"], "ts", "100 days", ["ts", "seq"])
     rows = jobs.run_to_end(first, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
-    assert sorted(r.user_id for r in rows.collect()) == list(range(7))
+    # A NULL is a key like any other.
+    assert sorted((str(r.user_id), r.seq) for r in rows.collect()) == [*((str(i), i) for i in range(6)), ("None", 6)]
 
 
 def test_stream_keys_agree_with_batch_signatures(spark):

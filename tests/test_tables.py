@@ -158,6 +158,29 @@ def test_replaced_row_is_unprocessed_again_and_retention(spark, tmp_path):
     assert [r.product_id for r in kept.collect()] == ["a"]
 
 
+def test_what_cannot_be_summed_is_in_neither_sum_nor_divisor(spark):
+    products = spark.createDataFrame(
+        [(p, p, "b", "books", "amazon", T0) for p in "abc"], "product_id string, name string, brand string, category string, site string, scraped_at timestamp_ntz"
+    )
+    ratings = {"a": [4.0, float("nan"), 2.0], "b": [float("inf"), None, 1e20], "c": [0.00004, 1e17, 1.0]}
+    reviews = spark.createDataFrame(
+        [(f"{p}{i}", p, r, True, T0) for p, own in ratings.items() for i, r in enumerate(own)],
+        "review_id string, product_id string, rating double, verified_purchase boolean, review_date timestamp_ntz",
+    )
+    summary = {r.product_id: r.avg_rating for r in views.product_review_summary(products, reviews).collect()}
+    assert summary["a"] == 3.0 and summary["b"] is None and summary["c"] == pytest.approx((1e17 + 1.00004) / 3, rel=1e-15)
+    amounts = {"a": [9e15, 9e15], "b": [float("nan"), 5.0], "c": [1e17, float("-inf")]}
+    pricing = spark.createDataFrame(
+        [(p, v, 10.0, T0) for p, own in amounts.items() for v in own], "product_id string, current_price double, discount_percentage double, price_date timestamp_ntz"
+    )
+    for fan_out in (True, False):
+        row = views.site_comparison(products, pricing, reviews, at(), fan_out=fan_out).first()
+        # Each product has three reviews and two prices, so both ways of weighing agree.
+        assert row.avg_current_price == pytest.approx((9e15 * 2 + 5 + 1e17) / 4, rel=1e-15)
+        assert row.avg_discount == 10.0 and row.total_reviews == 9
+        assert row.avg_rating == pytest.approx((6 + 1e17 + 1.00004) / 5, rel=1e-15)
+
+
 def scores(spark, values):
     return spark.createDataFrame(
         [(str(i), "product", v, v, v, v, [], T0) for i, v in enumerate(values)], schemas.QUALITY_SCORES
