@@ -1,4 +1,4 @@
-"""Pages to elements. The only per-row Python in the package: a tag walker over the standard library's HTML parser.
+"""Pages to elements. The only per-row Python in the package: a tag scanner and two walkers over it.
 
 `with_elements` adds two arrays to each page: its text pieces and its elements in document order. An element names its
 range of text pieces and its last descendant, so text and containment are plain array expressions, no text is stored
@@ -11,10 +11,11 @@ look-up is a map access or a slice, and the work on a page is linear in what it
 
 from __future__ import annotations
 
+import re
 import sys
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from html.parser import HTMLParser
+from html import unescape
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -41,11 +42,84 @@ ELEMENT_DDL = (
 )
 
 
-class _Walker(HTMLParser):
+# Elements whose content is text up to their end tag; of the first kind character references are text too.
+RAW_ENDS = {name: re.compile(rf"</{name}(?=[\s/>])", re.IGNORECASE) for name in ("script", "style")}
+NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+ATTRIBUTE = re.compile(r"""[\s/]*(?:([^\s/>=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)(?:"|\Z)|'([^']*)(?:'|\Z)|([^\s>]*)))?|=)?""")
+COMMENT_END = re.compile("--!?>")
+
+
+class _Scanner:
+    """Calls `handle_starttag`, `handle_endtag`, `handle_data` and `handle_comment` along a page, in one pass.
+
+    Tolerant: a sign that opens no markup is text; a tag, comment or quoted value that never ends takes the rest.
+    """
+
+    def scan(self, source: str) -> None:
+        at, end, find = 0, len(source), source.find
+        while at < end:
+            mark = find("<", at)
+            if mark < 0:
+                self.handle_data(unescape(source[at:]) if "&" in source else source[at:])
+                return
+            if mark > at:
+                piece = source[at:mark]
+                self.handle_data(unescape(piece) if "&" in piece else piece)
+            closing = source.startswith("</", mark)
+            name = NAME.match(source, mark + 1 + closing)
+            if name is None:
+                at = self._other(source, mark, closing)
+                continue
+            tag, at = name[0].lower(), name.end()
+            attrs, last = [], None
+            while at < end and source[at] != ">":
+                last = ATTRIBUTE.match(source, at)
+                at = last.end()
+                if last[1]:
+                    value = next((v for v in last.group(2, 3, 4) if v is not None), None)
+                    attrs.append((last[1].lower(), unescape(value) if value and "&" in value else value))
+            if at >= end:
+                return
+            at += 1
+            if closing:
+                self.handle_endtag(tag)
+            elif source[at - 2] == "/" and not (last and last.end(4) == at - 1):
+                self.handle_startendtag(tag, attrs)
+            else:
+                self.handle_starttag(tag, attrs)
+                if tag in RAW_ENDS:
+                    found = RAW_ENDS[tag].search(source, at)
+                    stop = found.start() if found else end
+                    self.handle_data(source[at:stop])
+                    at = stop
+
+    def _other(self, source: str, mark: int, closing: bool) -> int:
+        """What follows a `<` that opens no tag; gives the place to go on from."""
+        if source.startswith("<!--", mark):
+            self.handle_comment("")
+            if source.startswith((">", "->"), mark + 4):
+                return source.index(">", mark) + 1
+            found = COMMENT_END.search(source, mark + 4)
+            return found.end() if found else len(source)
+        if source.startswith("<![CDATA[", mark):
+            found = source.find("]]>", mark)
+            stop = found if found >= 0 else len(source)
+            self.handle_comment("")
+            self.handle_data(source[mark + 9 : stop])
+            self.handle_comment("")
+            return stop + 3
+        if closing and mark + 2 < len(source) or source.startswith(("<!", "<?"), mark):
+            self.handle_comment("")
+            found = source.find(">", mark)
+            return found + 1 if found >= 0 else len(source)
+        self.handle_data("<")
+        return mark + 1
+
+
+class _Walker(_Scanner):
     """Gathers the texts and elements of many pages as columns, one `read` per page."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
         self.texts: list[str] = []
         self.text_ends = [0]
         self.element_ends = [0]
@@ -64,18 +138,13 @@ class _Walker(HTMLParser):
         self.pending: list[str] = []
         self.silent = 0
         self.first, self.first_text = len(self.idx), len(self.texts)
-        self.reset()
-        self.feed(html or "")
-        self.close()
+        self.scan(html or "")
         self._end_text()
         while self.open:
             self._close(self.open.pop())
         self.element_ends.append(len(self.idx))
         self.text_ends.append(len(self.texts))
 
-    def updatepos(self, i: int, j: int) -> int:
-        return j  # line numbers are not needed
-
     def _end_text(self) -> None:
         if self.pending:
             piece = "".join(self.pending).strip()
@@ -125,14 +194,6 @@ class _Walker(HTMLParser):
     def handle_comment(self, data: str) -> None:
         self._end_text()
 
-    handle_decl = handle_pi = handle_comment
-
-    def unknown_decl(self, data: str) -> None:
-        self._end_text()
-        if data.upper().startswith("CDATA["):
-            self.pending.append(data[6:])
-            self._end_text()
-
     def columns(self) -> tuple[pa.Array, pa.Array]:
         """(texts, elements), each one list per page."""
         def whole(values: list[int]) -> pa.Array:
@@ -152,11 +213,10 @@ class _Walker(HTMLParser):
         )
 
 
-class _Finder(HTMLParser):
+class _Finder(_Scanner):
     """Gathers the texts of many pages, and their elements by selector, as columns."""
 
     def __init__(self, wanted: list[str], inner: list[str]) -> None:
-        super().__init__(convert_charrefs=True)
         self.rules: dict[str, list[tuple[str, str | None, str | None]]] = {}
         for css in wanted:
             selector = Selector(css)
@@ -176,9 +236,7 @@ class _Finder(HTMLParser):
         self.silent = self.idx = 0
         self.first_text = len(self.texts)
         self.found: dict[str, list[list]] = {}
-        self.reset()
-        self.feed(html or "")
-        self.close()
+        self.scan(html or "")
         self._end_text()
         while len(self.open) > 1:
             self._close()
@@ -189,9 +247,6 @@ class _Finder(HTMLParser):
         self.found_ends.append(len(self.keys))
         self.text_ends.append(len(self.texts))
 
-    def updatepos(self, i: int, j: int) -> int:
-        return j  # line numbers are not needed
-
     def _end_text(self) -> None:
         if self.pending:
             piece = "".join(self.pending).strip()
@@ -206,7 +261,8 @@ class _Finder(HTMLParser):
         if record:
             record[TEXT_TO] = len(self.texts) - self.first_text
             record[LAST] = self.idx - 1
-            record[WITHIN_TO] = self._counts()
+            if record[WITHIN] is not None:
+                record[WITHIN_TO] = self._counts()
 
     def _close(self) -> None:
         tag, record, _ = self.open.pop()
@@ -216,8 +272,10 @@ class _Finder(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self._end_text()
-        named = {k: v or "" for k, v in attrs}
-        own = [css for css, attr, value in self.rules.get(tag, ()) if attr is None or (value in named.get("class", "").split() if attr == "class" else named.get(attr) == value)]
+        named, own = {k: v or "" for k, v in attrs}, []
+        if tag in self.rules:
+            classes = named.get("class", "").split()
+            own = [css for css, attr, value in self.rules[tag] if attr is None or (value in classes if attr == "class" else named.get(attr) == value)]
         record, before = None, self.open[-1][2]
         if own or before:
             at = len(self.texts) - self.first_text
@@ -254,14 +312,6 @@ class _Finder(HTMLParser):
     def handle_comment(self, data: str) -> None:
         self._end_text()
 
-    handle_decl = handle_pi = handle_comment
-
-    def unknown_decl(self, data: str) -> None:
-        self._end_text()
-        if data.upper().startswith("CDATA["):
-            self.pending.append(data[6:])
-            self._end_text()
-
     def columns(self) -> tuple[pa.Array, pa.Array]:
         """(texts, found), one list and one map per page."""
         def whole(values) -> pa.Array:
