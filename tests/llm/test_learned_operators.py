@@ -144,3 +144,12 @@ def test_language_model_with_nothing_to_learn(table):
     rows = classmodel.score(docs, F.lit(True)).collect()
     assert [(r.n_known, r.train_tokens, r.base_score) for r in rows] == [(0, 0, 0.0)] * 2
     assert classmodel.score(docs.limit(0), F.lit(False)).count() == 0
+
+
+def test_words_tied_at_the_cut_are_numbered_by_hash(spark):
+    counts = spark.range(10_000).select(F.xxhash64("id").alias("h"), F.when(F.col("id") < 10, 50).otherwise(3).cast("long").alias("c"))
+    head = counts.where(classmodel.frequent(counts, 2000))
+    assert head.where("c = 50").count() == 10 and 1800 <= head.count() <= 2200
+    assert counts.where(classmodel.frequent(counts, 10_000)).count() == 10_000
+    # Where all words are tied, some are numbered all the same.
+    assert 900 <= counts.where("c = 3").where(classmodel.frequent(counts.where("c = 3"), 1000)).count() <= 1100
