@@ -26,6 +26,8 @@ CONTAINED = 0.8
 BANDS = 64
 WIDTH = 2
 GROWTH = 2
+# Bytes of templates that a worker holds at most; all public licence texts together are a tenth of that.
+MOST_BYTES = 64_000_000
 SPLIT = bytes(b if chr(b).isalnum() or b >= 128 else 32 for b in range(128)) + bytes(range(128, 256))
 FOUND = "array<struct<license:string,containment:double,first_word:int,last_word:int>>"
 
@@ -119,12 +121,31 @@ class Templates:
         return [{"license": n, "containment": -s, "first_word": a, "last_word": b} for s, a, b, n in sorted(kept, key=lambda x: x[3])]
 
 
-def with_licenses(docs: DataFrame, templates: dict[str, list[str]] = TEMPLATES, text: str = "text", out: str = "licenses") -> DataFrame:
+def templates_of(table: DataFrame) -> dict[str, list[str]]:
+    """Templates out of a table (license, notice); rows with a NULL are left out.
+
+    Every worker holds all templates, so the table is measured first and refused above MOST_BYTES.
+    """
+    rows = table.where("license is not null and notice is not null").select("license", "notice").distinct()
+    size = rows.agg(F.sum(F.octet_length("notice"))).first()[0] or 0
+    if size > MOST_BYTES:
+        raise ValueError(f"templates hold {size} bytes, more than {MOST_BYTES}")
+    found: dict[str, list[str]] = defaultdict(list)
+    for row in rows.orderBy("license", "notice").collect():
+        found[row.license].append(row.notice)
+    return dict(found)
+
+
+def with_licenses(
+    docs: DataFrame, templates: dict[str, list[str]] | DataFrame = TEMPLATES, text: str = "text", out: str = "licenses"
+) -> DataFrame:
     """Add `out`: licences whose notice the text contains to CONTAINED or more, with the word range (end excluded).
 
-    NULL, empty and very short texts have none (an empty array).
+    `templates` are notices by licence, or a table (license, notice) of them, which may hold whole licence texts. NULL,
+    empty and very short texts have none (an empty array); repeated rows stay; a column called `out` is replaced; an
+    empty table gives no rows.
     """
-    known = Templates(templates)
+    known = Templates(templates_of(templates) if isinstance(templates, DataFrame) else templates)
 
     @F.pandas_udf(FOUND)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:

@@ -82,6 +82,21 @@ def test_licenses(table):
         assert {n for n, s in every.items() if s == max(every.values(), default=0)} == {n for n, s in found[i].items() if s == max(found[i].values())} if every else not found[i]
 
 
+def test_licenses_out_of_a_table(spark, table):
+    whole = " ".join(f"clause{i} of the licence says what may be done" for i in range(300))
+    templates = spark.createDataFrame([("long", whole), ("long", whole), ("short", "you may use this as you see fit"), (None, "x"), ("none", None)], "license string, notice string")
+    docs = table([(1, "before " + whole.upper() + " after"), (1, "before " + whole.upper() + " after"), (2, "you may use this as you see fit"), (3, None)]).withColumn("licenses", F.lit("old"))
+    found = sorted((r.doc_id, [(x.license, round(x.containment, 6)) for x in r.licenses]) for r in licenses.with_licenses(docs, templates).collect())
+    assert found == [(1, [("long", 1.0)]), (1, [("long", 1.0)]), (2, [("short", 1.0)]), (3, [])]
+    assert licenses.with_licenses(docs.limit(0), templates).count() == 0 and licenses.with_licenses(docs, templates.limit(0)).count() == 4
+
+
+def test_too_many_templates_are_refused(spark, table, monkeypatch):
+    monkeypatch.setattr(licenses, "MOST_BYTES", 10)
+    with pytest.raises(ValueError):
+        licenses.with_licenses(table([(1, "a")]), spark.createDataFrame([("a", "longer than that")], "license string, notice string"))
+
+
 def edits(a, b):
     """Least edit distance of `a` to any stretch of `b`."""
     row = [0] * (len(b) + 1)
