@@ -139,7 +139,8 @@ def index(found: DataFrame, shards: int) -> DataFrame:
 
     dealt = found.withColumn("shard", F.pmod(F.xxhash64("embedding"), F.lit(shards)).cast("int")).withColumn("first", F.col("ids")[0])
     schema = "dim int, embedding array<double>, ids array<long>, shard int, at int, links array<int>, entry boolean"
-    return dealt.groupBy("dim", "shard").applyInPandas(run, schema)
+    # Small partitions merged at run time would put several shards into one task.
+    return dealt.repartition(4 * shards, "dim", "shard").groupBy("dim", "shard").applyInPandas(run, schema)
 
 
 def search(graphs: DataFrame, queries: DataFrame, shards: int, k: int, blocks: int = 1) -> DataFrame:

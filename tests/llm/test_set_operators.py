@@ -131,6 +131,18 @@ def test_neighbours(spark):
     assert sorted(x for x in found if x[0] == 100) == [(100, r, 100 + r) for r in range(1, 6)]
 
 
+def test_neighbours_over_several_shards(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SHARD", 300)
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(40, 24))
+    points = centres[rng.integers(0, 40, 2000)] + 0.4 * rng.normal(size=(2000, 24))
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {(r.query_id, r.vec_id) for r in vectors.nearest(df, 5, 50).collect()}
+    want = {(q, v) for q, _, v in brute_neighbours(rows, 5, 50)}
+    assert len(found) == len(want) and len(found & want) >= 0.95 * len(want)
+
+
 def test_few_neighbours(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (50, [1.0, 1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in vectors.nearest(df).collect()] == [(0, 1, 1, 0.0)]
