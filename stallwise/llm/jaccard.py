@@ -99,13 +99,15 @@ def _rare(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
             place, shared_place = _bucket(values, buckets), _bucket(shared, buckets)
             order = np.lexsort((owner, place))
             values, owner, place = values[order], owner[order], place[order]
-            edges = np.searchsorted(place, np.arange(buckets + 1))
+            order = np.argsort(shared_place, kind="stable")
+            shared, shared_place = shared[order], shared_place[order]
+            # Only buckets that this chunk has something for are visited.
+            met = np.union1d(place, shared_place)
+            low, high = np.searchsorted(place, met), np.searchsorted(place, met, "right")
+            more_low, more_high = np.searchsorted(shared_place, met), np.searchsorted(shared_place, met, "right")
             rows: dict[str, list] = {"bucket": [], "names": [], "sizes": [], "single": [], "shared": []}
-            for b in range(buckets):
-                span = slice(edges[b], edges[b + 1])
-                more = shared[shared_place == b]
-                if span.start == span.stop and not len(more):
-                    continue
+            for i, b in enumerate(met.tolist()):
+                span, more = slice(low[i], high[i]), shared[more_low[i] : more_high[i]]
                 who, sizes = np.unique(owner[span], return_counts=True)
                 rows["bucket"].append(b)
                 rows["names"].append(b"".join(names[i] for i in who))
@@ -125,12 +127,11 @@ def _rare(docs: DataFrame, k: int, percent: int, buckets: int) -> DataFrame:
         found = sums[ends] - sums[ends - sizes]
         # One packed row for each part of the sets, not one for each set and bucket.
         part = np.where(found > 0, (names[:, 0] % np.uint64(buckets)).astype(np.int64), -1)
-        order = np.argsort(part, kind="stable")
-        edges = np.searchsorted(part[order], np.arange(buckets + 1))
-        cut = [order[edges[i] : edges[i + 1]] for i in range(buckets)]
+        order = np.argsort(part, kind="stable")[np.count_nonzero(part < 0) :]
+        met, first = np.unique(part[order], return_index=True)
+        cut = np.split(order, first[1:]) if len(met) else []
         return pd.DataFrame({
-            "part": [i for i, own in enumerate(cut) if len(own)], "names": [names[own].tobytes() for own in cut if len(own)],
-            "alone": [found[own].astype("<u4").tobytes() for own in cut if len(own)],
+            "part": met, "names": [names[own].tobytes() for own in cut], "alone": [found[own].astype("<u4").tobytes() for own in cut],
         })
 
     def total(rows: pd.DataFrame) -> pd.DataFrame:
