@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stallwise import schemas
 from stallwise.functions import quality
 from stallwise.operators import dedup, ingest
-from stallwise.plans.views import average_of_parts, days_before, exact_avg, part_sums
+from stallwise.plans.views import average_of_parts, days_before, exact_avg, part_sums, since
 
 
 def _union(parts: list[DataFrame]) -> DataFrame:
@@ -153,7 +153,7 @@ def missing_sites(df: DataFrame) -> DataFrame:
 
 
 def processing_health(jobs: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
-    recent = jobs.filter(F.col("created_at") >= days_before(as_of, days))
+    recent = jobs.filter(since(jobs, "created_at", days_before(as_of, days)))
     done, failed = (F.count_if(F.col("status") == s) for s in ("completed", "failed"))
     finished = F.nullif(done + failed, F.lit(0))
     failure_share = F.coalesce(failed / finished, F.lit(0.0))

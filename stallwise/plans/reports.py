@@ -12,7 +12,7 @@ from stallwise import schemas
 from stallwise.operators import alerts as alert_ops
 from stallwise.operators import dedup
 from stallwise.operators import metrics as metric_ops
-from stallwise.plans.views import days_before, exact_avg
+from stallwise.plans.views import days_before, exact_avg, stored_by_day_of, within
 
 
 def _section(df: DataFrame, section: str) -> DataFrame:
@@ -25,8 +25,10 @@ def _union(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _on(c: str, day: Column) -> Column:
-    return F.to_date(c) == day
+def _on(c: str, day: Column, table: DataFrame | None = None) -> Column:
+    """Rows of a day; of a table written by that day only its partition is read."""
+    inside = F.to_date(c) == day
+    return inside & (F.col("dt") == day) if table is not None and stored_by_day_of(table, c) else inside
 
 
 def _status(name: str) -> Column:
@@ -42,18 +44,18 @@ def daily_report(
     samples: DataFrame, episodes: DataFrame, costs: DataFrame, day: Column,
 ) -> DataFrame:
     """Figures of one day as rows (section, metric, value). `costs` are the monthly ones of `cost_report`."""
-    scraped = products.filter(_on("scraped_at", day)).agg(
+    scraped = products.filter(_on("scraped_at", day, products)).agg(
         F.count("*").alias("total_products_scraped"), F.countDistinct("site").alias("sites_scraped"),
         F.countDistinct("category").alias("categories_covered"),
     )
-    seen = reviews.filter(_on("scraped_at", day)).agg(F.count("*").alias("total_reviews_scraped"))
-    priced = pricing.filter(_on("scraped_at", day)).agg(F.count("*").alias("total_pricing_updates"))
-    worked = jobs.filter(_on("created_at", day)).agg(
+    seen = reviews.filter(_on("scraped_at", day, reviews)).agg(F.count("*").alias("total_reviews_scraped"))
+    priced = pricing.filter(_on("scraped_at", day, pricing)).agg(F.count("*").alias("total_pricing_updates"))
+    worked = jobs.filter(_on("created_at", day, jobs)).agg(
         _status("completed").alias("jobs_completed"), _status("failed").alias("jobs_failed"),
         _success().alias("success_rate_percentage"),
     )
     overall = F.col("overall_score")
-    judged = scores.filter(_on("evaluated_at", day)).agg(
+    judged = scores.filter(_on("evaluated_at", day, scores)).agg(
         exact_avg("overall_score").alias("avg_quality_score"),
         F.count_if(overall >= 0.8).alias("high_quality_records"),
         F.count_if((overall >= 0.5) & (overall < 0.8)).alias("medium_quality_records"),
@@ -61,12 +63,12 @@ def daily_report(
         (F.count_if(overall < schemas.MIN_OVERALL_SCORE) / F.nullif(F.count("*"), F.lit(0)) * 100).alias(
             "validation_failure_rate"),
     )
-    fresh = products.filter(_on("scraped_at", day)).withColumn("signature", dedup.signature_hash("products"))
+    fresh = products.filter(_on("scraped_at", day, products)).withColumn("signature", dedup.signature_hash("products"))
     repeated = fresh.agg(
         ((F.count("*") - F.countDistinct("signature")) / F.nullif(F.count("*"), F.lit(0)) * 100).alias(
             "duplicate_rate_percentage")
     )
-    that_day = samples.filter(_on("ts", day)).drop("labels")
+    that_day = samples.filter(_on("ts", day, samples)).drop("labels")
 
     def read(key: str, c: str) -> Column:
         return F.coalesce(F.max(F.when(F.col("key") == key, F.col(c))), F.lit(0))
@@ -108,7 +110,7 @@ def _weeks(c: str, end: Column) -> Column:
 
 
 def _two_weeks(df: DataFrame, c: str, end: Column) -> DataFrame:
-    return df.filter((F.col(c) >= days_before(end, 14)) & (F.col(c) < end)).withColumn("week", _weeks(c, end))
+    return df.filter(within(df, c, days_before(end, 14), end)).withColumn("week", _weeks(c, end))
 
 
 def _in(week: str) -> Column:
@@ -118,7 +120,7 @@ def _in(week: str) -> Column:
 def weekly_growth(tables: dict[str, tuple[DataFrame, str, Column]]) -> DataFrame:
     """Rows of the week and the week before per table `{name: (frame, time column, end)}`, with growth in percent."""
     def one(name: str, df: DataFrame, c: str, end: Column) -> DataFrame:
-        return _two_weeks(df.select(c), c, end).agg(
+        return _two_weeks(df, c, end).agg(
             F.lit(name).alias("table"), F.count_if(_in("current")).alias("current_rows"),
             F.count_if(_in("previous")).alias("previous_rows"),
         )
@@ -133,7 +135,7 @@ def weekly_summary(
 ) -> DataFrame:
     """Totals of the seven days before `end` as rows (metric, value)."""
     def during(df: DataFrame, c: str, until: Column) -> DataFrame:
-        return df.filter((F.col(c) >= days_before(until, 7)) & (F.col(c) < until))
+        return df.filter(within(df, c, days_before(until, 7), until))
 
     totals = [
         _section(during(df, c, until).agg(F.count("*").alias(f"total_{name}")), "Summary")

@@ -33,10 +33,22 @@ def unsummable(c: str | Column) -> Column:
     return F.count_if(c.isNotNull() & summable(c).isNull())
 
 
+def stored_by_day_of(df: DataFrame, c: str) -> bool:
+    """Whether the table is written by the day of this time column, and not of another that it has too."""
+    day_of = next((name for name in ("price_date", "evaluated_at", "created_at", "scraped_at") if name in df.columns), None)
+    return "dt" in df.columns and day_of == c
+
+
 def since(df: DataFrame, c: str, start: Column) -> Column:
     """Rows from `start` on; in a table written by day also on the day, so that only those partitions are read."""
     inside = F.col(c) >= start
-    return inside & (F.col("dt") >= F.to_date(start)) if "dt" in df.columns else inside
+    return inside & (F.col("dt") >= F.to_date(start)) if stored_by_day_of(df, c) else inside
+
+
+def within(df: DataFrame, c: str, start: Column, end: Column) -> Column:
+    """Rows from `start` on and before `end`, by the same rule."""
+    inside = since(df, c, start) & (F.col(c) < end)
+    return inside & (F.col("dt") <= F.to_date(end)) if stored_by_day_of(df, c) else inside
 
 
 def days_before(as_of: Column, days: int) -> Column:
@@ -146,7 +158,7 @@ def _compared_products(products: DataFrame, pricing: DataFrame, reviews: DataFra
     recent = products.filter(since(products, "scraped_at", start)).select("product_id", "site", "category")
     keys = recent.select("product_id").distinct()
     inside = F.col("price_date").isNull() | (F.col("price_date") >= start)
-    if "dt" in pricing.columns:
+    if stored_by_day_of(pricing, "price_date"):
         inside &= F.col("dt").isNull() | (F.col("dt") >= F.to_date(start))
     prices = pricing.filter(inside).join(keys, "product_id", "left_semi").groupBy("product_id").agg(
         F.count("*").alias("prices"), *part_sums("current_price", "price"), *part_sums("discount_percentage", "discount"),

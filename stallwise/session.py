@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.codegen.hugeMethodLimit": "8000",
     # Pages are large rows: bound what a Python worker holds at once.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Checkpoints go once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Sessions of activity are merged before the shuffle.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }

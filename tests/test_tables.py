@@ -131,6 +131,12 @@ def test_views_prune_days_and_keys_skip_row_groups(spark, tmp_path):
         assert re.search(r"PartitionFilters: \[[^]]*dt#\d+ >= 20", plan), (name, plan)
         assert sorted(map(str, df.collect())) == sorted(map(str, plain[name].collect()))
     assert views.product_price_trends(stored["products"], stored["pricing"], at()).count() == 4
+    # Prices lie by the day of the price, so the time of the scrape says nothing of their folder.
+    assert views.stored_by_day_of(stored["pricing"], "price_date") and not views.stored_by_day_of(stored["pricing"], "scraped_at")
+    growth = reports.weekly_growth({"products": (stored["products"], "scraped_at", at()), "pricing": (stored["pricing"], "scraped_at", at())})
+    plan = growth._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"PartitionFilters: \[isnotnull\(dt", plan)) == 1
+    assert sorted(map(str, growth.collect())) == sorted(map(str, reports.weekly_growth({"products": (products, "scraped_at", at()), "pricing": (pricing, "scraped_at", at())}).collect()))
     recent = stored["pricing"].filter(views.since(stored["pricing"], "price_date", views.days_before(at(), 30)))
     assert "PartitionFilters: [isnotnull(dt" in recent._jdf.queryExecution().executedPlan().toString()
     file = next((tmp_path / "pricing").rglob("*.parquet"))
