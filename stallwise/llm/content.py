@@ -52,7 +52,7 @@ SIDE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising advertorial banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies "
     "disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice pagination pager popup promo promoted promotion "
     "recommended related reply replies respond share sharing sidebar sidenav signup skip social sponsor sponsored subscribe teaser toolbar topbar "
-    "widget header alert notification paywall reactions discussion".split()
+    "widget header alert notification paywall reactions discussion complementary contentinfo".split()
 )
 PUNCTUATION = re.compile("[.,;:!?…،؛؟।。、，．！？：；]")
 
@@ -68,6 +68,8 @@ HUMP = re.compile(r"(?<=[a-z])(?=[A-Z])")
 NOTHING, MAIN, SIDE, HEAD = range(4)
 # The odds that go with it where some of the page is marked as the article, and the weights of smoothing.
 LANDMARK, ELSEWHERE = 60.0, 1 / 60
+# The odds of a heading where nothing is marked: it is short by nature and stands for what follows.
+HEADED = 4.0
 SMOOTH = (1.0, 0.5, 0.25)
 # A side name says nothing on an element that holds so much of the page's text.
 MOST = 0.9
@@ -114,7 +116,8 @@ class Page:
         side = tag == "form" or not SIDE_WORDS.isdisjoint(names) and tag != "main"
         # A paragraph's names tell nothing of its role but that it is side matter.
         names = names if tag != "p" or side else []
-        mark = MAIN if tag == "main" or tag == "article" and not side else HEAD if tag == "header" or names == ["header"] else SIDE if side else NOTHING
+        main = tag == "main" or not side and (tag == "article" or named.get("role") in ("main", "article"))
+        mark = MAIN if main else HEAD if tag == "header" or names == ["header"] else SIDE if side else NOTHING
         hidden = "hidden" in named or named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", "")
         silent = self.silent[up] or hidden or tag in SILENT
         key = (up, tag, *names, silent)
@@ -301,7 +304,7 @@ def odds(page: Page) -> list[float]:
         by_length = min((length / weight + 1) / (0.3 * usual[0] + 1), 10.0)
         by_marks = min(max((punctuation / weight + 0.2) / (0.3 * usual[1] + 0.2), 0.25), 4.0)
         by_links = max(2 * (1.02 - links / weight), 0.05)
-        prior = LANDMARK if role[path] == MAIN else ELSEWHERE if landmark else 1.0
+        prior = LANDMARK if role[path] == MAIN else ELSEWHERE if landmark else HEADED if page.heading[path] else 1.0
         out[path] = prior * max(by_length, 0.1) * by_marks * by_links
     return out
 

@@ -156,7 +156,8 @@ def ends_of(turn_rows: DataFrame) -> DataFrame:
 def below(rows: DataFrame, depth: int, *names: str) -> DataFrame:
     """(id, names...): sums of the named columns of `rows` (id, up, depth, names...) over each node and all under it.
 
-    `up` is the parent's id, NULL at the root; `depth` is the greatest depth.
+    An id is (conv_id, depth), `up` the parent's id, NULL at the root; `depth` is the greatest depth. What points at the
+    root has nowhere to go from there and takes no part in the join, whose largest key it would be.
     """
     now = rows.select("id", "up", *names)
     jump = 1
@@ -166,7 +167,9 @@ def below(rows: DataFrame, depth: int, *names: str) -> DataFrame:
         jump *= 2
         if jump <= depth:
             above = now.select(F.col("id").alias("up"), F.col("up").alias("far"))
-            after = after.join(above, "up", "left").select("id", F.col("far").alias("up"), *names)
+            moved = after.where("up.depth > 0").join(above, "up").select("id", F.col("far").alias("up"), *names)
+            still = after.where("up is null or up.depth = 0").select("id", F.lit(None).cast(now.schema["up"].dataType).alias("up"), *names)
+            after = moved.union(still)
         now = scratch.cut(after)
     return now.select("id", *names)
 
@@ -194,7 +197,11 @@ def trie(rebuilt: DataFrame) -> DataFrame:
         F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"), ((F.col("n_convs") - 1) * F.col("words")).alias("own_saved"),
     )
     above = every.select((F.col("depth") + 1).alias("depth"), F.col("a").alias("a0"), F.col("b").alias("b0"), F.col("conv_id").alias("parent_conv_id"))
-    own = scratch.cut(own.join(above, ["depth", "a0", "b0"], "left"))
+    # The first turns' parent is the root, whose smallest member is that of all.
+    first = every.where("depth = 0").agg(F.min("conv_id")).scalar()
+    deeper = own.where("depth > 1").join(above, ["depth", "a0", "b0"]).select(*own.columns, "parent_conv_id")
+    top = own.where("depth <= 1").withColumn("parent_conv_id", F.when(F.col("depth") == 1, first))
+    own = scratch.cut(deeper.unionByName(top))
     # The smallest member and the depth name a node.
     name = F.struct("conv_id", "depth")
     up = F.when(F.col("depth") > 0, F.struct(F.col("parent_conv_id").alias("conv_id"), (F.col("depth") - 1).alias("depth")))

@@ -29,7 +29,9 @@ def text(body):
     f"<article><h1>Head</h1><p>{LONG}</p><p>Short.</p></article><section class=comments><article><p>{LONG}</p></article></section>",
     f"<div class=cookie-notice>We use cookies, as all do. {LONG}</div><article><h1>Head</h1><p>{LONG}</p><p>Short.</p></article>",
     f"<article><h1>Head</h1><script>var a = '</article>';</script><p>{LONG}<button>Like</button></p><p hidden>No</p><p>Short.</article>",
+    f"<div id=content role=main><h1>Head</h1><div><p>{LONG}</p></div><p>Short.</p></div><div role=complementary>{LONG}</div>",
     # Nothing is marked: the ratios decide.
+    f"<div class=notice>Please note, all of you.</div><div class=story><h1>Head</h1><p>{LONG}</p><p>Short.</p></div><div class=comments><p>{LONG}</p></div>",
     f"<div>{MENU}</div><div class=c1><h2>Head</h2><p>{LONG}</p><p>Short.</p></div><div class=c2>{MENU}</div><p>Copyright</p>",
     f"<table><tr><td>{MENU}</td><td><h2>Head</h2><p>{LONG}</p><p>Short.</p></td></tr></table>",
     f"<form action=/x><div>{MENU}</div><div id=b7><h2>Head</h2><p>{LONG}</p><p>Short.</p></div></form>",
