@@ -25,18 +25,19 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles at a similarity of 0.8.
+    """One row of each group linked by five-word shingles at a similarity of 0.8: the one of the smallest doc_id.
 
-    Rows that repeat a doc_id are one document, of which the first by its text stays. Rows without a doc_id can't be
-    named in a group and all stay.
+    Rows are told apart by doc_id and text, so an id that repeats with unlike texts keeps a row of each, and rows without
+    an id, which come after all others, are compared too. Rows of one id and text are one.
     """
-    groups = jaccard.similar(docs, k=5, percent=80)
-    kept = groups.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    place = words.free(docs, "_place")
-    named = named.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
-    return named.unionByName(docs.where("doc_id is null")).select(docs.columns)
+    key, place = words.free(docs, "_key"), words.free(docs, "_place")
+    number = F.coalesce(F.lpad(F.col("doc_id").cast("string"), 20, "0"), F.lit("~"))
+    keyed = docs.withColumn(key, F.concat(number, F.lit("-"), F.hex(F.xxhash64(F.coalesce("text", F.lit(""))))))
+    groups = jaccard.similar(keyed.select(F.col(key).alias("doc_id"), "text"), k=5, percent=80)
+    kept = groups.where("doc_id = component_id").select(F.col("doc_id").alias(key)).distinct()
+    first = Window.partitionBy(key).orderBy(*[c for c in docs.columns if c not in ("doc_id", "text")])
+    named = keyed.join(kept, key, "left_semi").withColumn(place, F.row_number().over(first))
+    return named.where(F.col(place) == 1).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
