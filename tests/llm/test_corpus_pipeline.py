@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -15,6 +16,7 @@ needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables
 OPERATORS = [
     "op1_class_bigrams", "op2_license_windows", "op3_pairwise_quality", "op4_edit_decontamination", "op5_nearest_toxicity", "op6_bootstrapped_pii",
     "op7_pruned_graph_neighbours", "op8_byte_bpe", "op9_differencing_shards", "op10_ngram_jaccard",
+    "op11_tag_path_text", "op12_block_hash_trie", "op13_token_alignment",
 ]
 
 
@@ -69,5 +71,30 @@ def test_query_covers_its_table(spark, name):
     elif name.startswith("op7_"):
         ids = spark.read.parquet(f"{SF_DIR}/embeddings.parquet").where("vec_id % 50 = 0").count()
         assert rows.count() == 5 * ids
+    elif name.startswith("op11_"):
+        assert rows.count() == spark.read.parquet(f"{SF_DIR}/pages.parquet").count()
+    elif name.startswith("op12_"):
+        conversations = spark.read.parquet(f"{SF_DIR}/conversations.parquet").select("conv_id").distinct().count()
+        assert rows.where("depth = 0").first().n_convs == conversations
     else:
         assert rows.count() == whole
+
+
+def test_rows_are_told_apart_by_id_and_text(spark):
+    words = lambda a, n=30: " ".join(f"w{a}x{i}" for i in range(n))
+    rows = [(5, words(1)), (5, words(2)), (7, words(1)), (None, words(3)), (None, words(3)), (None, words(4)), (9, words(4)), (11, None), (11, None), (12, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long").withColumn("_key", F.lit(1))
+    found = corpus_pipeline.keep_distinct(spark, docs, "")
+    assert found.columns == docs.columns
+    want = [(5, words(1)), (5, words(2)), (None, words(3)), (9, words(4)), (11, None), (12, "")]
+    assert sorted(((r.doc_id, r.text) for r in found.collect()), key=str) == sorted(want, key=str)
+
+
+def test_stages_of_empty_documents(spark, tmp_path):
+    folder = str(tmp_path)
+    corpus(spark, folder)
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, folder).write.parquet(f"{folder}/empty-{name}")
+        docs = spark.read.parquet(f"{folder}/empty-{name}")
+        assert docs.count() == 0

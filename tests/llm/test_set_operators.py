@@ -63,6 +63,21 @@ def test_similar_in_one_large_group(table):
     assert sorted(map(tuple, jaccard.similar(table(rows), 3, 90).collect()), key=str) == brute_groups(rows, 3, 90)
 
 
+def test_similar_where_many_share_a_passage_and_do_not_link(table):
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"shared{i}" for i in range(14))
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 10**6, 20)) + " " + passage) for i in range(250)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(0, 40, 4)]
+    assert sorted(map(tuple, jaccard.similar(table(rows), 3, 90).collect()), key=str) == brute_groups(rows, 3, 90)
+
+
+def test_counting_rare_shingles_by_few_or_many_buckets(table):
+    rng = np.random.default_rng(9)
+    docs = table([(i, " ".join(f"w{x}" for x in rng.integers(0, 300, 60))) for i in range(60)] + [(100, None), (101, "a b c")])
+    few, many = (sorted((bytes(r.digest), r.alone) for r in jaccard._rare(docs, 3, 90, n).collect()) for n in (1, 5000))
+    assert few == many and len(few) > 30
+
+
 def test_similar_of_an_empty_table(table):
     assert jaccard.similar(table([])).count() == 0
 
@@ -102,6 +117,11 @@ def test_shards(table, odd):
     assert sums[1] - sums[0] <= 10 and sums[3] == 300_001
 
 
+def test_shards_of_rows_that_are_all_alike(table):
+    rows = sharding.balanced(table([(None, "same")] * 400), 4).collect()
+    assert len({r.shard for r in rows}) == 1 and sorted(r.slot for r in rows) == list(range(400))
+
+
 def test_shards_of_an_empty_table(table):
     assert sharding.balanced(table([])).count() == 0
 
