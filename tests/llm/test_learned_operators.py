@@ -40,6 +40,41 @@ def test_quality_without_pairs(spark, table):
         assert all((s >= quality.CUT) == passes for s in scores)
 
 
+def test_quality_learns_from_all_labels(spark):
+    n, poor = 24_000, 3_000
+    ids = spark.range(n).withColumnRenamed("id", "doc_id")
+    noise = [F.pmod(F.xxhash64("doc_id", F.lit(i)), F.lit(most)).cast("int") for i, most in enumerate((97, 1009))]
+    docs = ids.withColumn("text", F.concat(F.sha2(F.col("doc_id").cast("string"), 256), F.repeat(F.lit(" ab!"), noise[0]), F.repeat(F.lit("z"), noise[1])))
+    marks = ids.withColumn("quality", (F.col("doc_id") >= poor).cast("int"))
+    ranking = quality.learn(docs, marks, "quality", F.lit(True))
+    x = np.stack([r[0] for r in docs.select(quality.shape("text")).collect()])
+    s = np.sort(ranking.strength(x))
+    # The cut lies exactly where as many texts are below as have poor labels, over all texts.
+    assert s[poor - 1] < ranking.cut < s[poor] and np.isclose(ranking.cut, (s[poor - 1] + s[poor]) / 2)
+    assert np.isclose(ranking.slope, 4 / s.std())
+
+
+def test_every_label_is_in_a_block(spark):
+    figures = lambda i: [float(i)] * quality.FIGURES
+    rows = spark.createDataFrame([(i, int(i >= 3), figures(i)) for i in range(4500)] + [(7, 1, figures(7))], "doc_id long, mark int, x array<double>")
+    blocks = quality.dealt(rows, {0: 3, 1: 4498}).collect()
+    held = [[np.frombuffer(v).reshape(-1, quality.FIGURES)[:, 0].astype(int).tolist() for v in (b.good, b.poor)] for b in blocks]
+    assert len(held) == 5 and all(good and poor for good, poor in held)
+    assert sorted(i for good, _ in held for i in good) == sorted([*range(3, 4500), 7])
+    assert {i for _, poor in held for i in poor} == {0, 1, 2} and sum(len(poor) for _, poor in held) == 5
+    mean, unit, w = np.zeros(quality.FIGURES), np.full(quality.FIGURES, 1e-3), np.full(quality.FIGURES, 0.01)
+    pairs, slope, bend = quality.bends(spark.createDataFrame(blocks), mean, unit, w)
+    x = np.array([(a - b) * 1e-3 for good, poor in held for a in good for b in poor])
+    p = 1 / (1 + np.exp(-x * w.sum()))
+    assert pairs == len(x) and np.allclose(slope, ((1 - p) * x).sum()) and np.allclose(bend, (p * (1 - p) * x * x).sum())
+
+
+def test_ranked_finds_order_statistics(spark):
+    values = np.concatenate([np.random.default_rng(6).normal(size=700), np.zeros(40), [1e9, -1e9]])
+    rows = spark.createDataFrame([(float(v),) for v in values], "s double")
+    assert all(quality.ranked(rows, k) == np.sort(values)[k] for k in (0, 1, 350, 360, 741))
+
+
 def test_block_max_finds_the_nearest():
     rng = np.random.default_rng(2)
     ids = [np.sort(rng.choice(40, int(rng.integers(1, 8)), replace=False)) for _ in range(900)]
