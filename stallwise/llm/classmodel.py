@@ -2,9 +2,9 @@
 
 1. Words are counted over the whole training part. The most frequent (HEAD at most, by a cut in the count that leaves
    no ties behind) get numbers; each text is written once as numbers, with the hashes of its rarer words beside.
-2. The CLUSTERED most frequent are put in classes by exchange: a word moves to the class that raises the likelihood of
-   the class bigrams most. Words lie in blocks; a sweep lets every block exchange its words against the classes of the
-   last sweep. All other numbered words then make the same move once, from their neighbours' classes.
+2. All numbered words are put in classes by exchange: a word moves to the class that raises the likelihood of the class
+   bigrams most. Words lie in blocks, each with the whole lists of their neighbours, made once; a sweep lets every block
+   exchange its words against the classes of the last sweep.
 3. Rarer and unseen words share one class, in which their own counts, joined by hash, tell them apart.
 4. log10 P(text) = sum of log10 P(class | class before) + log10 P(word | class); the end of a text is a class too, and
    stands before its first word.
@@ -29,10 +29,12 @@ from stallwise.sources import scratch
 HEAD = 1 << 18
 # Parts into which words of one count are dealt by hash.
 TIES = 1 << 20
-CLUSTERED = 4096
 CLASSES = 64
 SWEEPS = 6
-BLOCKS = 16
+# Blocks of words, at least, and tokens that a block is worth; a packed row of a block: 2 * word + side, neighbour, times.
+BLOCKS = 32
+LIST_TOKENS = 1_000_000
+LISTED = np.dtype([("word", "<i4"), ("other", "<i4"), ("n", "<i8")])
 CHUNK = 4_000_000
 # Weight of a class's own frequency in its transitions, and of each word in emissions.
 TRANSITION_PRIOR = 20.0
@@ -160,32 +162,103 @@ def gains(table: np.ndarray, before: np.ndarray, after: np.ndarray, at: int) ->
     ins, outs = table.sum(axis=0), table.sum(axis=1)
     ins[at] -= before.sum()
     outs[at] -= after.sum()
-    rest = table.copy()
-    rest[:, at] -= before
-    rest[at, :] -= after
-    rest = np.maximum(rest, 0)
-    old, cross = xlogx(rest), np.diag(rest)
-    # The word adds `before` to the column of its class and `after` to the row; where these cross, both meet.
-    column = (xlogx(rest + before[:, None]) - old).sum(axis=0)
-    line = (xlogx(rest + after[None, :]) - old).sum(axis=1)
+    cross = table.diagonal().copy()
+    cross[at] = max(0, cross[at] - before[at] - after[at])
+    # The word adds `before` to the column of its class and `after` to the row; where these cross, both meet. Only
+    # classes beside which the word stands change anything, and a rare word has few of them.
+    left, right = np.flatnonzero(before), np.flatnonzero(after)
+    above, beside = table[left], table[:, right]
+    above[:, at] -= before[left]
+    above[left == at] -= after
+    beside[at] -= after[right]
+    beside[:, right == at] -= before[:, None]
+    above, beside = np.maximum(above, 0), np.maximum(beside, 0)
+    column = (xlogx(above + before[left, None]) - xlogx(above)).sum(axis=0)
+    line = (xlogx(beside + after[right]) - xlogx(beside)).sum(axis=1)
     meeting = xlogx(cross + before + after) + xlogx(cross) - xlogx(cross + before) - xlogx(cross + after)
     size = xlogx(ins + before.sum()) - xlogx(ins) + xlogx(outs + after.sum()) - xlogx(outs)
     gain = column + line + meeting - size
     return gain - gain[at]
 
 
-def neighbours(contexts: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words in order, and the class counts of their left and right neighbours."""
-    known, row = np.unique(contexts["word"].to_numpy(np.int64), return_inverse=True)
-    counts = np.zeros((2, len(known), CLASSES + 1))
-    np.add.at(counts, (contexts["side"].to_numpy(np.int64), row, contexts["class"].to_numpy(np.int64)), contexts["n"].to_numpy(float))
+@dataclass
+class Lists:
+    """Neighbours of a block of words: `other` stood `n` times left (side 0) or right (side 1) of `word`."""
+
+    word: np.ndarray
+    side: np.ndarray
+    other: np.ndarray
+    n: np.ndarray
+
+    @staticmethod
+    def of(packed: bytes) -> Lists:
+        rows = np.frombuffer(packed, LISTED)
+        return Lists(rows["word"] >> 1, rows["word"] & 1, rows["other"], rows["n"])
+
+
+def neighbour_lists(texts: DataFrame, words_: int, tokens: int) -> DataFrame:
+    """(block, rows): for every numbered word all of its neighbours among numbered words and ends, packed by block.
+
+    The end of a text is word number `words_`. A task sends its counts packed, so a block is merged from one row per task
+    and chunk; blocks grow in number with the corpus.
+    """
+    blocks, end = max(BLOCKS, tokens // LIST_TOKENS), words_ + 1
+    code = np.arange(words_ + 2)
+    code[words_], code[end] = -1, words_
+    shipped = texts.sparkSession.sparkContext.broadcast(code)
+
+    @words.tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = shipped.value
+        for batch in batches:
+            for stream in running(batch, end):
+                coded = held[stream]
+                a, b = coded[:-1], coded[1:]
+                keep = (a >= 0) & (b >= 0) & ((a < words_) | (b < words_))
+                pair, n = np.unique(a[keep] * (words_ + 1) + b[keep], return_counts=True)
+                a, b = np.divmod(pair, words_ + 1)
+                rows = np.empty(2 * len(pair), LISTED)
+                rows["word"], rows["other"], rows["n"] = np.concatenate([a * 2 + 1, b * 2]), np.concatenate([b, a]), np.concatenate([n, n])
+                place = (rows["word"] >> 1) % blocks
+                order = np.lexsort((rows["other"], rows["word"], place))
+                rows, place = rows[order], place[order]
+                met, first = np.unique(place, return_index=True)
+                parts = np.split(rows, first[1:]) if len(met) else []
+                yield pa.RecordBatch.from_pydict({"block": met.astype(np.int64), "rows": [p.tobytes() for p in parts]}, schema=pa.schema([("block", pa.int64()), ("rows", pa.binary())]))
+
+    def merge(held: pd.DataFrame) -> pd.DataFrame:
+        rows = np.frombuffer(b"".join(held["rows"]), LISTED)
+        rows = rows[np.lexsort((rows["other"], rows["word"]))]
+        first = np.flatnonzero(np.concatenate([[True], (rows["word"][1:] != rows["word"][:-1]) | (rows["other"][1:] != rows["other"][:-1])]))
+        merged = rows[first].copy()
+        merged["n"] = np.add.reduceat(rows["n"], first)
+        return pd.DataFrame({"block": held["block"].iloc[:1], "rows": [merged.tobytes()]})
+
+    # Partitions of about one block, as a task holds the rows of its partition at once.
+    packed = texts.select("ids").mapInArrow(run, "block long, rows binary").repartition(blocks, "block")
+    return packed.groupBy("block").applyInPandas(merge, "block long, rows binary")
+
+
+def contexts(lists: Lists, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words in order, and the class counts of their left and right neighbours. `classes` ends with that of the end."""
+    # A word beside itself says nothing about where it should go; the end stays where it is.
+    keep = (lists.word != lists.other) & (lists.word < len(classes) - 1)
+    known, row = np.unique(lists.word[keep], return_inverse=True)
+    shape = (2, len(known), CLASSES + 1)
+    spots = np.ravel_multi_index((lists.side[keep], row, classes[lists.other[keep]]), shape) if len(known) else np.zeros(0, np.int64)
+    counts = np.bincount(spots, lists.n[keep], int(np.prod(shape))).reshape(shape)
     return known, counts[0], counts[1]
 
 
-def exchange(contexts: pd.DataFrame, classes: np.ndarray, table: np.ndarray) -> pd.DataFrame:
-    """Move each word of a block in turn to its best class, most frequent first; a later one sees the earlier moves."""
+def exchange(lists: Lists, classes: np.ndarray, table: np.ndarray, half: int | None) -> pd.DataFrame:
+    """Move each word of a block in turn to its best class, most frequent first; a later one sees the earlier moves.
+
+    `half`: only words of even (0) or odd (1) number; None: all.
+    """
     table, out = table.copy(), []
-    for word, before, after in zip(*neighbours(contexts)):
+    for word, before, after in zip(*contexts(lists, classes)):
+        if half is not None and word % 2 != half:
+            continue
         at = int(classes[word])
         gain = gains(table, before, after, at)
         best = int(np.argmax(gain[:CLASSES]))
@@ -194,83 +267,53 @@ def exchange(contexts: pd.DataFrame, classes: np.ndarray, table: np.ndarray) ->
             table[at, :] -= after
             table[:, best] += before
             table[best, :] += after
-        else:
-            best = at
-        out.append((int(word), best))
-    return pd.DataFrame(out, columns=["word", "class"])
+            out.append((int(word), best))
+    return pd.DataFrame(out, columns=["word", "class"], dtype=np.int64)
 
 
-def likeliest(contexts: pd.DataFrame, table: np.ndarray) -> pd.DataFrame:
-    """The class of each word that its neighbours make likeliest: the exchange gain to first order."""
-    known, before, after = neighbours(contexts)
-    smooth = table + 0.5
-    ratio = np.log(smooth * smooth.sum() / (smooth.sum(axis=1, keepdims=True) * smooth.sum(axis=0, keepdims=True)))
-    gain = before @ ratio + after @ ratio.T
-    return pd.DataFrame({"word": known, "class": gain[:, :CLASSES].argmax(axis=1)})
+def table_of(lists: DataFrame, classes: np.ndarray) -> np.ndarray:
+    """Counts of class pairs; bounded by the number of classes."""
+    k = CLASSES + 1
+
+    @words.tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(k * k, np.int64)
+        for batch in batches:
+            for packed in batch.column("rows"):
+                own = Lists.of(packed.as_py())
+                after = own.side == 1
+                np.add.at(table, classes[own.word[after]] * k + classes[own.other[after]], own.n[after])
+        met = np.flatnonzero(table)
+        yield pa.RecordBatch.from_pydict({"cell": met, "n": table[met]})
+
+    found = lists.select("rows").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
+    table = np.zeros(k * k)
+    table[found["cell"].to_numpy(np.int64)] = found["n"].to_numpy(float)
+    return table.reshape(k, k)
+
+
+def moved(lists: DataFrame, classes: np.ndarray, table: np.ndarray, half: int | None) -> pd.DataFrame:
+    """(word, class) of the words that a sweep moves; at most a row per numbered word."""
+
+    @words.tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for packed in batch.column("rows"):
+                moves = exchange(Lists.of(packed.as_py()), classes, table, half)
+                yield pa.RecordBatch.from_pydict({"word": moves["word"].to_numpy(), "class": moves["class"].to_numpy()})
+
+    return lists.select("rows").mapInArrow(run, "word long, class long").toPandas()
 
 
 def cluster(texts: DataFrame, head: Head) -> np.ndarray:
-    """The class of every numbered word (and of the end: the last class)."""
-    spark, n = texts.sparkSession, min(head.size, CLUSTERED)
-    end, last = head.size + 1, CLASSES
-    classes = np.full(head.size + 2, -1)
-    classes[:n], classes[end] = np.arange(n) % CLASSES, last
-    code = np.full(head.size + 2, -1)
-    code[:n], code[end] = np.arange(n), n
-    bigrams = scratch.cut(pair_counts(texts, code, code, n + 1, end).where(F.col("pair") != n * (n + 1) + n))
+    """The class of every numbered word (and of the end: the last class), all of them exchanged in every pair of sweeps."""
+    n, last = head.size, CLASSES
+    lists = scratch.cut(neighbour_lists(texts, n, int(head.counts.sum())))
+    now = np.append(np.arange(n) % CLASSES, last)
     for sweep in range(SWEEPS):
-        now = np.append(classes[:n], last)
-        known = spark.createDataFrame(pd.DataFrame({"other": np.arange(n + 1), "class": now}))
-        ends = [F.floor(F.col("pair") / (n + 1)), F.col("pair") % (n + 1)]
-        sides = [bigrams.select(ends[1 - s].alias("word"), F.lit(s).alias("side"), ends[s].alias("other"), "n") for s in (0, 1)]
-        # A word beside itself says nothing about where it should go.
-        contexts = sides[0].union(sides[1]).where(f"word < {n} and word <> other").join(F.broadcast(known), "other")
-        contexts = contexts.groupBy("word", "side", "class").agg(F.sum("n").alias("n"))
-        table = table_of(bigrams, known, n)
-        moving = contexts.where(F.col("word") % 2 == sweep % 2) if sweep < SWEEPS - 1 else contexts
-        moves = moving.groupBy((F.col("word") % BLOCKS).alias("block")).applyInPandas(
-            _mover(now, table), "word long, class int"
-        ).toPandas()
-        classes[moves["word"].to_numpy(np.int64)] = moves["class"].to_numpy(np.int64)
-    known = spark.createDataFrame(pd.DataFrame({"other": np.arange(n + 1), "class": np.append(classes[:n], last)}))
-    return assign(texts, head, classes, table_of(bigrams, known, n), n)
-
-
-def _mover(classes: np.ndarray, table: np.ndarray):
-    return lambda rows: exchange(rows, classes, table)
-
-
-def table_of(bigrams: DataFrame, known: DataFrame, n: int) -> np.ndarray:
-    """Counts of class pairs; bounded by the number of classes."""
-    one, other = known.select(F.col("other").alias("a"), F.col("class").alias("x")), known.select(F.col("other").alias("b"), F.col("class").alias("y"))
-    pairs = bigrams.select(F.floor(F.col("pair") / (n + 1)).alias("a"), (F.col("pair") % (n + 1)).alias("b"), "n")
-    rows = pairs.join(F.broadcast(one), "a").join(F.broadcast(other), "b").groupBy("x", "y").agg(F.sum("n").alias("n")).toPandas()
-    table = np.zeros((CLASSES + 1, CLASSES + 1))
-    table[rows["x"].to_numpy(np.int64), rows["y"].to_numpy(np.int64)] = rows["n"].to_numpy(float)
-    return table
-
-
-def assign(texts: DataFrame, head: Head, classes: np.ndarray, table: np.ndarray, n: int) -> np.ndarray:
-    """Classes for the numbered words that are not clustered, from their clustered neighbours."""
-    if head.size <= n:
-        return classes
-    width = CLASSES + 1
-    code = np.full(head.size + 2, -1)
-    code[n : head.size] = np.arange(n, head.size)
-    after = pair_counts(texts, code, classes, width, head.size + 1)
-    before = pair_counts(texts, classes, code, head.size, head.size + 1)
-    contexts = after.select(F.floor(F.col("pair") / width).alias("word"), F.lit(1).alias("side"), (F.col("pair") % width).alias("class"), "n").union(
-        before.select((F.col("pair") % head.size).alias("word"), F.lit(0).alias("side"), F.floor(F.col("pair") / head.size).alias("class"), "n")
-    )
-    placed = contexts.groupBy(F.pmod(F.xxhash64("word"), F.lit(BLOCKS * 8)).alias("block")).applyInPandas(
-        lambda rows: likeliest(rows, table), "word long, class int"
-    ).toPandas()
-    classes = classes.copy()
-    classes[placed["word"].to_numpy(np.int64)] = placed["class"].to_numpy(np.int64)
-    # A word that never stands beside a clustered one goes with the words of its frequency.
-    lost = np.flatnonzero(classes[: head.size] < 0)
-    classes[lost] = lost % CLASSES
-    return classes
+        moves = moved(lists, now, table_of(lists, now), sweep % 2 if sweep < SWEEPS - 1 else None)
+        now[moves["word"].to_numpy(np.int64)] = moves["class"].to_numpy(np.int64)
+    return np.concatenate([now[:n], [-1, last]])
 
 
 @dataclass

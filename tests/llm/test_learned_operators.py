@@ -136,6 +136,27 @@ def test_gains_equal_the_change_of_likelihood():
             assert math.isclose(found[c], likelihood(moved)[1] - now, abs_tol=1e-6)
 
 
+def test_every_numbered_word_is_exchanged(spark, table):
+    """Rare words, far behind the most frequent ones, end in the classes that their neighbours call for."""
+    rng = np.random.default_rng(9)
+    rows = [" ".join(f"{'ab'[j % 2]}{rng.integers(0, 2600)}" for j in range(40)) for _ in range(1300)]
+    docs = table(list(enumerate(rows))).select("doc_id", "text", F.lit(False).alias("held_out"))
+    head = classmodel.head_of(classmodel.counted(docs))
+    texts = classmodel.encoded(docs, head)
+    assert head.size > 5000
+    classes = classmodel.cluster(texts, head)
+    names = dict(zip(head.hashes.tolist(), classes.tolist()))
+    kinds = [[names[int(h)] for h in words.hashes([f"{k}{i}".encode() for i in range(2600)]) if int(h) in names] for k in "ab"]
+    mixed = [min(kinds[0].count(c), kinds[1].count(c)) for c in range(classmodel.CLASSES)]
+    assert sum(mixed) <= 0.02 * head.size and classes[head.size + 1] == classmodel.CLASSES
+    # The lists hold every pair of neighbours, counted in both directions.
+    lists = [classmodel.Lists.of(r.rows) for r in classmodel.neighbour_lists(texts, head.size, 10).collect()]
+    want = collections.Counter(p for row in rows for p in zip([None, *row.encode().split()], [*row.encode().split(), None]))
+    number = {None: head.size} | {w: int(head.number(words.hashes([w]))[0]) for row in rows for w in row.encode().split()}
+    found = {(int(a), int(s), int(b)): int(c) for x in lists for a, s, b, c in zip(x.word, x.side, x.other, x.n)}
+    assert found == {k: c for (a, b), c in want.items() for k in ((number[a], 1, number[b]), (number[b], 0, number[a]))}
+
+
 def test_language_model(table, odd):
     rng = np.random.default_rng(5)
     rows = [(r.doc_id, r.text) for r in odd.select("doc_id", "text").collect()]
