@@ -188,6 +188,8 @@ from (select r.*, cast(1 + ingest_seq % 5 as string) as stars, cast(1 + ingest_s
 DEPENDS = {
     "pricing_2024": ["pricing"], "pricing_gap": ["pricing_2024"], "jobs_2024": ["jobs"], "shop_pages": ["products"], "listing_pages": ["shop_pages"], "review_pages": ["reviews"],
 }
+# Pages made from table rows: a row of few bytes becomes a page that takes long to walk.
+MADE_PAGES = {"shop_pages", "listing_pages", "review_pages"}
 AS_OF = "2024-01-25 00:00:00"
 PRICES_AS_OF = "2001-11-04 00:00:00"
 METRICS_AS_OF = "2024-01-31 00:00:00"
@@ -205,11 +207,23 @@ def zone_free(df: DataFrame) -> DataFrame:
 def load(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
     """Register the test tables that the named bindings (or tables) read, and give each as a frame."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    walked = set().union(*[tables_of(name) for name in MADE_PAGES.intersection(names)])
     for table in sorted(set().union(*[tables_of(name) for name in names])):
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+        read = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+        (dealt(read) if table in walked else read).createOrReplaceTempView(table)
     return [bound(spark, name) for name in names]
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt out evenly to as many tasks as a shuffle has.
+
+    A file of small rows is read by one task or a few, however many cores there are, and what is made of the rows would
+    stay in these tasks. The rows are dealt out before pages are made of them, while they are small.
+    """
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def tables_of(name: str) -> set[str]:
     if name not in SQL:
         return {name}

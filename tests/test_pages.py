@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stallwise.functions import text
 from stallwise.operators import pages
+from stallwise.plans import bindings
 from stallwise.sources import html
 
 T0 = dt.datetime(2024, 1, 5, 10)
@@ -189,3 +190,16 @@ def test_extraction_is_linear_in_the_page(spark):
 def test_extraction_needs_no_shuffle(spark):
     plan = pages.extract_products(page_frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and plan.count("MapInArrow") == 1
+
+
+def test_made_pages_are_dealt_out(spark, tmp_path):
+    """A file that one task reads gives pages to as many tasks as a shuffle has, and the same pages."""
+    rows = [(k, f"name {k}", "Brand#1", "TYPE", 3) for k in range(80)]
+    rows += [(None, "no key", None, None, None)] * 2
+    parts = spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int")
+    parts.coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    made = bindings.load(spark, str(tmp_path), "shop_pages")[0]
+    held = [n for n in made.rdd.glom().map(len).collect() if n]
+    assert len(held) >= int(spark.conf.get("spark.sql.shuffle.partitions")) and max(held) < 2 * min(held)
+    spark.read.parquet(f"{tmp_path}/part.parquet").createOrReplaceTempView("part")
+    assert sorted(map(str, bindings.bound(spark, "shop_pages").collect())) == sorted(map(str, made.collect()))
