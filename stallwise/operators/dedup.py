@@ -11,7 +11,10 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stallwise.functions import text
+from stallwise.sources import scratch
 
+# Above so many keys with several versions, all rows are dealt out by key.
+FEW_KEYS = 500_000
 ORDER = {
     "products": ["ingest_seq"], "reviews": ["ingest_seq"], "pricing": ["ingest_seq", "price_id", "current_price"],
 }
@@ -33,6 +36,16 @@ def signature_hash(entity: str, as_of: Column | None = None) -> Column:
     return F.md5(F.concat_ws("\x1f", *parts))
 
 
+def stored_signature(entity: str, as_of: Column | None = None) -> dict[str, Column]:
+    """The signature as short columns by name, for rows that carry it: a name is a row's own column or one to be added."""
+    parts = signature(entity, as_of)
+    if entity == "pricing":
+        return dict(zip(("product_id", "_day"), parts))
+    if entity == "reviews":
+        return {"product_id": parts[0], "_content": F.unhex(parts[1])}
+    return {"_signature": F.unhex(signature_hash(entity, as_of))}
+
+
 def first_rows(df: DataFrame, keys: list[Column | str], order: list[Column | str]) -> DataFrame:
     window = W.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
@@ -64,3 +77,19 @@ def upsert(current: DataFrame, incoming: DataFrame, key: str, order: list[str] |
 
 def latest_rows(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
     return first_rows(df, [key], [F.col(c).desc() for c in order or ["ingest_seq"]])
+
+
+def latest_of_few(df: DataFrame, key: str, order: list[str] | None = None) -> DataFrame:
+    """`latest_rows` for a stored table, most keys of which have one version.
+
+    Digests of the keys are counted first; only rows of keys that may have several versions are compared, all others
+    pass as they are. Where there are many such keys, all rows are compared.
+    """
+    digest = F.xxhash64(key).alias("_digest")
+    several = scratch.cut(df.groupBy(digest).agg(F.count("*").alias("_n")).filter("_n > 1").select("_digest"))
+    if several.count() > FEW_KEYS:
+        return latest_rows(df, key, order)
+    several = F.broadcast(several.withColumn("_several", F.lit(True)))
+    marked = df.withColumn("_digest", digest).join(several, "_digest", "left").drop("_digest")
+    once, more = marked.filter("_several is null"), latest_rows(marked.filter("_several"), key, order)
+    return once.unionByName(more).drop("_several")

@@ -17,22 +17,34 @@ from stallwise.sources import manifest, observed
 DAY = "dt"
 
 
-def _by_day(df: DataFrame, table: str) -> DataFrame:
+# A task sorts and writes about so many rows at most, which its memory holds.
+ROWS_PER_TASK = 1_000_000
+
+
+def _by_day(df: DataFrame, table: str, rows: int = 0) -> DataFrame:
     """Rows under their day, dealt out for writing.
 
     Rows are range-partitioned on day, clustering columns and key: a day with very many rows is spread over several
     tasks, and each task writes to few days. Sorted files let a reader skip row groups on the clustering columns.
+    Where a shuffle's usual tasks are too few for the number of rows, there are more.
     """
     order = [DAY, *schemas.CLUSTER_COLUMNS[table]]
     days = df.withColumn(DAY, F.to_date(schemas.DAY_COLUMN[table]))
-    return days.repartitionByRange(*order, schemas.PRIMARY_KEY[table]).sortWithinPartitions(*order)
+    tasks = -(-rows // ROWS_PER_TASK)
+    more = [tasks] if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else []
+    return days.repartitionByRange(*more, *order, schemas.PRIMARY_KEY[table]).sortWithinPartitions(*order)
 
 
 def _written(dealt: DataFrame, path: str, table: str, mode: str, max_records_per_file: int) -> None:
-    """Files by day; a bloom filter on the key lets look-ups by key skip row groups that can't hold it."""
+    """Files by day; a bloom filter on the key lets look-ups by key skip row groups that can't hold it.
+
+    Filters are as large as the keys of a file need, 2 KB to 1 MB; else a day of few rows would take 1 MB too.
+    """
     (
         dealt.write.partitionBy(DAY).mode(mode).option("maxRecordsPerFile", max_records_per_file)
-        .option(f"parquet.bloom.filter.enabled#{schemas.PRIMARY_KEY[table]}", "true").parquet(path)
+        .option("compression", "zstd").option(f"parquet.bloom.filter.enabled#{schemas.PRIMARY_KEY[table]}", "true")
+        .option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.candidates.number", "10")
+        .parquet(path)
     )
 
 
@@ -48,7 +60,7 @@ def stage(df: DataFrame, root: str, table: str) -> int:
     """Write rows as the next staged batch; gives its number."""
     spark = df.sparkSession
     number = manifest.next_number(manifest.entries(spark, root, table))
-    df.write.mode("overwrite").parquet(f"{root}/staging/{table}/batch={number}")
+    df.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/staging/{table}/batch={number}")
     manifest.commit(spark, root, table, number, "staged")
     return number
 
@@ -79,7 +91,8 @@ def load_pending(
     if versions is None:
         return 0
     number = manifest.next_number(manifest.entries(spark, root, table))
-    rows = _by_day(ingest.clean(dedup.latest_rows(versions, schemas.PRIMARY_KEY[table]), table), table)
+    latest = dedup.latest_of_few(versions, schemas.PRIMARY_KEY[table])
+    rows = _by_day(ingest.clean(latest, table), table, versions.count())
     counted = observed.Passing(rows)
     _written(counted.frame, f"{root}/warehouse/{table}/load={number}", table, "overwrite", max_records_per_file)
     manifest.commit(spark, root, table, number, "load", upto, counted.counts()["rows"])

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from stallwise import schemas
 from stallwise.functions import quality
-from stallwise.operators import alerts, checks, ingest, metrics
+from stallwise.operators import alerts, checks, dedup, ingest, metrics
 from stallwise.plans import reports, views
 from stallwise.sources import export, landing, staging, warehouse
 
@@ -346,3 +346,38 @@ def test_costs_growth_and_advice(spark):
     gauges = spark.createDataFrame([("data_quality_score", 0.5), ("memory_usage_percentage", 90.0)], "key string, value double")
     assert reports.recommendations(gauges).count() == 2
     assert reports.recommendations(gauges.limit(0)).count() == 1
+
+
+@pytest.mark.parametrize("few", [500_000, 0])
+def test_latest_of_few(spark, monkeypatch, few):
+    """The latest of each key, a NULL one too, whether few or many keys have several versions."""
+    monkeypatch.setattr(dedup, "FEW_KEYS", few)
+    df = staged(spark, [("a", True, 1), ("a", False, 3), ("a", True, 2), ("b", True, 1), (None, True, 1), (None, False, 2)])
+    found = dedup.latest_of_few(df, "product_id")
+    assert found.columns == df.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, dedup.latest_rows(df, "product_id").collect()))
+    assert found.count() == 3
+
+
+def test_loaded_rows_pass_one_shuffle(spark, tmp_path):
+    """Rows whose keys have one version are not dealt out by key."""
+    staged(spark, [(f"k{n}", True, n) for n in range(50)]).write.parquet(f"{tmp_path}/in")
+    plan = dedup.latest_of_few(spark.read.parquet(f"{tmp_path}/in"), "product_id")._jdf.queryExecution().optimizedPlan().toString()
+    once = plan.split("Union", 1)[1].split("Window", 1)[0]
+    assert "isnull(_several" in once and "Repartition" not in once
+
+
+def test_key_filters_fit_their_files(spark, tmp_path):
+    """A day of few rows takes a small filter, not one of 1 MB."""
+    rows = [(f"k{n}", True, n) for n in range(30)]
+    warehouse.stage(staged(spark, rows).withColumn("scraped_at", F.col("scraped_at") + F.make_dt_interval(days=(F.col("ingest_seq") % 3).cast("int"))), str(tmp_path), "products")
+    assert warehouse.load_pending(spark, str(tmp_path), "products") == 30
+    files = list((tmp_path / "warehouse").rglob("*.parquet"))
+    assert len(files) >= 3 and max(f.stat().st_size for f in files) < 100_000
+    assert all(pq.ParquetFile(f).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
+
+
+def test_more_tasks_for_more_rows(spark, monkeypatch):
+    monkeypatch.setattr(warehouse, "ROWS_PER_TASK", 5)
+    df = staged(spark, [(f"k{n}", True, n) for n in range(40)])
+    assert warehouse._by_day(df, "products", 40).rdd.getNumPartitions() == 8
