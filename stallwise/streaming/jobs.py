@@ -77,14 +77,15 @@ def first_of_batch(stream: DataFrame, keys: list[str], order: list[str]) -> Data
 
 
 def unseen(stream: DataFrame, entity: str, as_of: Column) -> DataFrame:
-    """Rows with `signature`, the first of each signature over the whole stream.
+    """The first row of each signature over the whole stream, with the columns of `dedup.stored_signature`.
 
     Signatures live in keyed state: a micro-batch looks up its own and adds the new ones, so its cost doesn't grow with
     the batches before it, and none is ever forgotten. To be started within `silence.keyed_state`, which keeps state on
     disk.
     """
-    signed = stream.withColumn("signature", dedup.signature_hash(entity, as_of))
-    return first_of_batch(signed, ["signature"], dedup.ORDER[entity]).dropDuplicates(["signature"])
+    signature = dedup.stored_signature(entity, as_of)
+    signed = stream.withColumns({c: part for c, part in signature.items() if c not in stream.columns})
+    return first_of_batch(signed, [*signature], dedup.ORDER[entity]).dropDuplicates([*signature])
 
 
 def ingest_batch(fresh: DataFrame, batch_id: int, entity: str, as_of: Column, root: str) -> None:
@@ -92,14 +93,22 @@ def ingest_batch(fresh: DataFrame, batch_id: int, entity: str, as_of: Column, ro
 
     The folder is overwritten as a whole, and the rows depend on the batch's input alone, so a replay leaves the same.
     """
-    scored = quality.with_scores(fresh, entity, as_of).withColumn("kept", F.col("overall_score") >= F.lit(schemas.GATE[entity]))
-    scored.write.mode("overwrite").parquet(f"{root}/scored/batch={batch_id}")
+    rows = fresh.drop(*[c for c in dedup.stored_signature(entity, as_of) if c.startswith("_")])
+    scored = quality.with_scores(rows, entity, as_of).withColumn("kept", F.col("overall_score") >= F.lit(schemas.GATE[entity]))
+    scored.write.mode("overwrite").option("compression", "zstd").parquet(f"{root}/scored/batch={batch_id}")
 
 
 def ingest(
     stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint: str, version: list[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """Ingest a stream; gives (kept rows, latest version of each key along `version`; counters per batch).
+    """Ingest a stream; gives (kept rows, latest version of each key along `version`; counters per batch)."""
+    counts = ingest_counts(stream, entity, as_of, root, checkpoint)
+    kept = stream.sparkSession.read.parquet(f"{root}/scored").filter("kept").drop("kept", "batch")
+    return dedup.latest_of_few(kept, schemas.PRIMARY_KEY[entity], version), counts
+
+
+def ingest_counts(stream: DataFrame, entity: str, as_of: Column, root: str, checkpoint: str) -> DataFrame:
+    """Ingest a stream; gives the counters per batch.
 
     Counters (entity, batch, rows, processed, duplicates, failures) take the number of rows read from the stream's own
     metrics, so nothing is read again to be counted.
@@ -120,12 +129,10 @@ def ingest(
     # A replayed batch reads the same rows again.
     read = spark.read.schema("batch long, rows long").parquet(f"{root}/read").groupBy("batch").agg(F.max("rows").alias("rows"))
     filled = read.join(outcome, "batch", "left").fillna(0, ["processed", "unique"])
-    counts = filled.select(
+    return filled.select(
         F.lit(entity).alias("entity"), "batch", "rows", "processed", (F.col("rows") - F.col("unique")).alias("duplicates"),
         (F.col("unique") - F.col("processed")).alias("failures"),
     )
-    kept = scored.filter("kept").drop("kept", "signature", "batch")
-    return dedup.latest_rows(kept, schemas.PRIMARY_KEY[entity], version), counts
 
 
 def first_within(stream: DataFrame, keys: list[str], ts: str, delay: str, order: list[str]) -> DataFrame:

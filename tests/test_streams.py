@@ -182,3 +182,37 @@ def test_timer_windows_equal_batch_figures(spark, tmp_path):
         assert (named[key]["count"], named[key].min, named[key].max, named[key].p95) == (r["count"], r.min, r.max, r.p95)
         assert abs(named[key].avg - r.avg) < 1e-12
     assert [r["count"] for r in found if r.name is None] == [1]
+
+
+def test_scored_rows_hold_no_signature(spark, tmp_path):
+    """Signatures are neither shuffled nor written with the rows: prices have theirs in their own columns."""
+    batch = price_files(spark, f"{tmp_path}/in")
+    kept, _ = run_ingest(spark, batch.schema, tmp_path)
+    written = spark.read.parquet(f"{tmp_path}/out/scored")
+    assert set(batch.columns) <= set(written.columns) and not {"signature", "_day"} & set(written.columns) and kept
+    assert dedup.stored_signature("pricing", as_of()).keys() == {"product_id", "_day"}
+
+
+def test_counts_alone_equal_those_of_ingest(spark, tmp_path):
+    batch = price_files(spark, f"{tmp_path}/in")
+    _, counts = run_ingest(spark, batch.schema, tmp_path)
+    stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in")
+    alone = jobs.ingest_counts(stream, "pricing", as_of(), f"{tmp_path}/alone", f"{tmp_path}/other")
+    assert alone.agg(F.sum("rows"), F.sum("processed"), F.sum("duplicates"), F.sum("failures")).first() == (300, *[
+        sum(int(c.split(f"{name}=")[1].split(",")[0].rstrip(")")) for c in counts) for name in ("processed", "duplicates", "failures")])
+
+
+def test_unseen_of_each_entity_equals_batch(spark, tmp_path):
+    """Stored signatures tell the same rows apart as the batch's, NULL ones too."""
+    rows = [
+        (n, name, site, f"u{n % 2}", None if n % 5 == 0 else f"p{n % 3}", content, None if n % 4 == 0 else T0 + dt.timedelta(hours=n * 9), f"i{n}", float(n))
+        for n, (name, site, content) in enumerate([("Big ", "amazon", "Good"), ("big", "amazon", " good "), (None, None, None), ("x", None, "bad")] * 6)
+    ]
+    df = spark.createDataFrame(rows, "ingest_seq long, name string, site string, url string, product_id string, content string, price_date timestamp_ntz, price_id string, current_price double")
+    df.coalesce(1).write.parquet(f"{tmp_path}/in")
+    for entity in ("products", "reviews", "pricing"):
+        stream = spark.readStream.schema(df.schema).parquet(f"{tmp_path}/in")
+        with silence.keyed_state(spark):
+            found = jobs.run_to_end(jobs.unseen(stream, entity, as_of()), f"{tmp_path}/{entity}", f"{tmp_path}/{entity}-checkpoint")
+        expected = dedup.drop_duplicates(df, entity, as_of())
+        assert sorted(r.ingest_seq for r in found.collect()) == sorted(r.ingest_seq for r in expected.collect())
