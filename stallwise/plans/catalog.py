@@ -1052,7 +1052,7 @@ def stream_silence_alerts(spark, log, folder):
 
 @stream_query("lineitem", "pricing")
 def stream_ingest_counts(spark, pricing, folder):
-    _, counts = streams.ingest(typed(pricing, "pricing"), "pricing", timestamp(PRICES_AS_OF), f"{folder}/out", f"{folder}/checkpoint")
+    counts = streams.ingest_counts(typed(pricing, "pricing"), "pricing", timestamp(PRICES_AS_OF), f"{folder}/out", f"{folder}/checkpoint")
     return counts.groupBy("entity").agg(*[F.sum(c).alias(c) for c in ("rows", "processed", "duplicates", "failures")])
 
 
